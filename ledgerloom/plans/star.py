@@ -115,10 +115,10 @@ RAW_QUERIES: dict[str, str] = {
                CAST(floor(o.o_totalprice) AS DECIMAL(12,0)) AS amount,
                CASE o.o_orderpriority WHEN '1-URGENT' THEN 12 WHEN '2-HIGH' THEN 24 WHEN '3-MEDIUM' THEN 36
                     WHEN '4-NOT SPECIFIED' THEN 48 ELSE 60 END AS duration,
-               CAST(CAST(floor(o.o_totalprice) AS DOUBLE)
-                    / CASE o.o_orderpriority WHEN '1-URGENT' THEN 12 WHEN '2-HIGH' THEN 24 WHEN '3-MEDIUM' THEN 36
-                           WHEN '4-NOT SPECIFIED' THEN 48 ELSE 60 END
-                    * CASE WHEN o.o_orderstatus = 'P' THEN 1.05E0 ELSE 1.0E0 END AS DECIMAL(10,2)) AS payments,
+               CAST(floor(100 * CAST(floor(o.o_totalprice) AS DOUBLE)
+                          / CASE o.o_orderpriority WHEN '1-URGENT' THEN 12 WHEN '2-HIGH' THEN 24 WHEN '3-MEDIUM' THEN 36
+                                 WHEN '4-NOT SPECIFIED' THEN 48 ELSE 60 END
+                          * CASE WHEN o.o_orderstatus = 'P' THEN 1.05E0 ELSE 1.0E0 END) / 100E0 AS DECIMAL(10,2)) AS payments,
                CASE WHEN o.o_orderstatus = 'F' THEN 'A' WHEN o.o_orderstatus = 'O' THEN 'C'
                     WHEN o.o_totalprice > 440000 THEN 'D' ELSE 'B' END AS status
         FROM {{orders}} o
