@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import month_start, month_text
+from ledgerloom.functions.dates import Calendar, month_start, month_text
 from ledgerloom.functions.measures import sum_where
 
+FLOWS = ["credits", "debits", "net_flow", "txn_count"]
+
 
 def month_spine(accounts: DataFrame, account: str, opened: str, first: str, last: str) -> DataFrame:
     """One row (account, month) from the month of opening, but not before ``first``, to ``last``.
@@ -16,23 +18,24 @@ def month_spine(accounts: DataFrame, account: str, opened: str, first: str, last
     ``first`` and ``last`` are days like ``1993-01-01``. An account without an opening date, or
     opened after the end, has no months. The months are generated per account; nothing is joined.
     """
-    begin, end = _begin(opened, first), month_start(F.lit(last).cast("date"))
-    months = F.sequence(begin, end, F.expr("interval 1 month"))
-    return accounts.filter(begin <= end).select(account, F.explode(months).alias("month"))
+    calendar = Calendar(first, last)
+    begin = _begin(calendar, opened)
+    months = F.slice(calendar.texts(), begin, F.lit(calendar.months) + 1 - begin)
+    return accounts.filter(begin <= calendar.months).select(account, F.explode(months).alias("month"))
 
 
-def _begin(opened: str, first: str):
-    # greatest() skips NULL, an account without an opening date must stay NULL.
-    floor = month_start(F.lit(first).cast("date"))
-    return F.when(F.col(opened).isNotNull(), F.greatest(month_start(F.col(opened)), floor))
+def _begin(calendar: Calendar, opened: str):
+    # greatest() skips NULL; an account without an opening date must stay without a month.
+    number = calendar.number(F.col(opened))
+    return F.when(number.isNotNull(), F.greatest(number, F.lit(1)))
 
 
 def period_flows(postings: DataFrame, account: str, posted: str, amount: str) -> DataFrame:
     """Credits, debits, net flow and number of postings per account and month."""
     value = F.col(amount)
-    return (
-        postings.select(account, month_start(F.col(posted)).alias("month"), value)
-        .groupBy(account, "month")
+    flows = (
+        postings.select(account, month_start(F.col(posted)).alias("_month"), value)
+        .groupBy(account, "_month")
         .agg(
             sum_where(value, value > 0).alias("credits"),
             sum_where(-value, value < 0).alias("debits"),
@@ -40,6 +43,8 @@ def period_flows(postings: DataFrame, account: str, posted: str, amount: str) ->
             F.count(F.lit(1)).alias("txn_count"),
         )
     )
+    # Months become text once they are few.
+    return flows.select(account, month_text(F.col("_month")).alias("month"), *FLOWS)
 
 
 def account_month(
@@ -64,51 +69,40 @@ def account_month(
     to the next one. That takes two shuffles, of aggregated rows, and no join; joining a spine to
     the flows would shuffle the dense table twice.
     """
-    begin, end = _begin(opened, first), month_start(F.lit(last).cast("date"))
-    value = F.col(amount)
-    month = month_start(F.col(posted))
+    calendar = Calendar(first, last)
+    begin, end = _begin(calendar, opened), calendar.months
+    posted_in = calendar.number(F.col(posted))
+    value_type = postings.schema[amount].dataType
     openings = accounts.filter(begin <= end).select(
-        F.col(account), begin.alias("month"), F.lit(None).cast(postings.schema[amount].dataType).alias("_value"), F.lit(True).alias("_opening")
+        F.col(account), begin.alias("_month"), F.lit(None).cast(value_type).alias("_value"), F.lit(True).alias("_opening")
     )
-    moves = postings.filter((F.col(posted) >= F.lit(first).cast("date")) & (month <= end)).select(
-        F.col(account), month.alias("month"), value.alias("_value"), F.lit(False).alias("_opening")
+    moves = postings.filter(posted_in.between(1, end)).select(
+        F.col(account), posted_in.alias("_month"), F.col(amount).alias("_value"), F.lit(False).alias("_opening")
     )
     flow = F.col("_value")
     active = (
         openings.unionByName(moves)
-        .groupBy(account, "month")
+        .groupBy(account, "_month")
         .agg(
             F.bool_or("_opening").alias("_opening"),
             sum_where(flow, flow > 0).alias("credits"),
             sum_where(-flow, flow < 0).alias("debits"),
-            F.coalesce(F.sum(flow), F.lit(0)).alias("net_flow"),
             F.count_if(~F.col("_opening")).alias("txn_count"),
         )
+        .withColumn("net_flow", F.col("credits") - F.col("debits"))
     )
-    by_month = W.partitionBy(account).orderBy("month")
+    by_month = W.partitionBy(account).orderBy("_month")
     so_far = by_month.rowsBetween(W.unboundedPreceding, W.currentRow)
     balances = (
         active.withColumn("_open", F.bool_or("_opening").over(so_far))
         .filter("_open")
         .withColumn("est_balance", F.sum("net_flow").over(so_far))
-        .withColumn("_until", F.coalesce(F.lead("month").over(by_month), F.add_months(end, 1)))
-    )
-    unrolled = balances.withColumn(
-        "_month", F.explode(F.sequence(F.col("month"), F.add_months("_until", -1), F.expr("interval 1 month")))
-    )
-
-    def in_own_month(name: str):
-        return F.when(F.col("_month") == F.col("month"), F.col(name)).otherwise(F.lit(0)).alias(name)
-
-    return unrolled.select(
-        F.col(account),
-        month_text(F.col("_month")).alias("month"),
-        in_own_month("credits"),
-        in_own_month("debits"),
-        in_own_month("net_flow"),
-        in_own_month("txn_count"),
-        "est_balance",
+        .withColumn("_until", F.coalesce(F.lead("_month").over(by_month), F.lit(end + 1)))
     )
+    covered = F.slice(calendar.texts(), F.col("_month"), F.col("_until") - F.col("_month"))
+    unrolled = balances.select(account, *FLOWS, "est_balance", F.posexplode(covered).alias("_later", "month"))
+    flows = [F.when(F.col("_later") == 0, F.col(name)).otherwise(F.lit(0)).alias(name) for name in FLOWS]
+    return unrolled.select(account, "month", *flows, "est_balance")
 
 
 def balance_gaps(

@@ -7,6 +7,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.tables import stored
+
 
 def student_t_two_sided(t: Column, df: Column) -> Column:
     """P(|T| > t) for whole degrees of freedom, by the finite trigonometric series for Student's t.
@@ -41,6 +43,7 @@ def rank_correlation(df: DataFrame, metrics: list[str], target: str) -> DataFram
     metric come back.
     """
     spark = df.sparkSession
+    df = stored(df.select(*metrics, target), "ranked")
     results = []
     for metric in metrics:
         pairs = df.select(F.col(metric).cast("double").alias("x"), F.col(target).cast("double").alias("y")).dropna()

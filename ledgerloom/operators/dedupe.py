@@ -50,7 +50,8 @@ def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str]) -> Spl
     once are found by an aggregation that combines before its shuffle and moves the key columns
     only; they are written, so the joins below know their true size. While they are few they are
     broadcast by the planner and the full rows are never shuffled; beyond its size limit the joins
-    shuffle and adaptive execution splits a hot key.
+    shuffle and adaptive execution splits a hot key. The rows of repeated keys are written too, so
+    both results read the input itself only once.
     """
     columns = df.columns
     rest = [c for c in columns if c not in keys and c not in order_by]
@@ -70,7 +71,7 @@ def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str]) -> Spl
     )
 
     single = _match(df, repeated_keys.drop("_first"), keys, "left_anti")
-    repeated = _match(df, repeated_keys, keys, "inner")
+    repeated = stored(_match(df, repeated_keys, keys, "inner"), "repeated-rows")
     leads = lead.eqNullSafe(F.col("_first"))
     leaders = repeated.filter(leads).drop("_first")
     followers = repeated.filter(~leads).drop("_first")

@@ -74,11 +74,8 @@ def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
 
     Equal values are counted before anything moves, so a value held by most rows costs one row.
     """
-    long = df.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns])
-        )
-    ).filter("value is not null")
+    values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
+    long = values.unpivot([], columns, "metric", "value").filter("value is not null")
     counted = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("_n"))
     ordered = _range_sorted(counted, [F.col("metric"), F.col("value")], "median")
 

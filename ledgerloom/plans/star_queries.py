@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.codes import blank_to, decode_codes, flag, merge_code, signed
-from ledgerloom.functions.dates import month_text, year_text
+from ledgerloom.functions.dates import month_start, month_text
 from ledgerloom.functions.measures import percent, sum_where
 from ledgerloom.operators.balances import account_month, balance_gaps, month_spine, period_flows
 from ledgerloom.operators.categories import best_category
@@ -60,8 +60,7 @@ def orders_month_spine(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders_period_flows(spark: SparkSession, folder: str) -> DataFrame:
-    flows = period_flows(_postings(spark, folder), "account_id", "txn_date", "signed_amount")
-    return flows.withColumn("month", month_text(F.col("month")))
+    return period_flows(_postings(spark, folder), "account_id", "txn_date", "signed_amount")
 
 
 def orders_clean(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,7 +76,7 @@ def orders_clean(spark: SparkSession, folder: str) -> DataFrame:
         blank_to(gappy, "NONE").alias("symbol"),
         flag(priority.isin("1-URGENT", "2-HIGH")).alias("is_urgent"),
         month_text(day).alias("month"),
-        year_text(day).alias("year"),
+        F.year(day).cast("string").alias("year"),
     )
 
 
@@ -145,11 +144,12 @@ def orders_balance_gaps(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _monthly_orders(spark: SparkSession, folder: str, *by: str) -> DataFrame:
-    return (
+    totals = (
         _read(spark, folder, "orders")
-        .groupBy(*by, month_text(F.col("o_orderdate")).alias("month"))
+        .groupBy(*by, month_start(F.col("o_orderdate")).alias("_month"))
         .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("total"))
     )
+    return totals.select(*by, month_text(F.col("_month")).alias("month"), "total")
 
 
 def orders_growth(spark: SparkSession, folder: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.dates import month_text
+from ledgerloom.functions.dates import month_start, month_text
 from ledgerloom.functions.measures import percent, sum_where
 from ledgerloom.plans import fixed_values as fixed
 
@@ -54,11 +54,13 @@ def tier_summary(t: Tables) -> DataFrame:
 
 
 def cashflow_monthly(t: Tables) -> DataFrame:
-    return (
+    groups = ["txn_type", "operation", "k_symbol"]
+    flows = (
         t["stg_trans"]
-        .groupBy(month_text(F.col("txn_date")).alias("month"), "txn_type", "operation", "k_symbol")
+        .groupBy(month_start(F.col("txn_date")).alias("_month"), *groups)
         .agg(_rows().alias("txn_count"), F.sum("amount").alias("amount"))
     )
+    return flows.select(month_text(F.col("_month")).alias("month"), *groups, "txn_count", "amount")
 
 
 def loan_portfolio(t: Tables) -> DataFrame:
