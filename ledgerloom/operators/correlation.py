@@ -55,7 +55,15 @@ def rank_correlation(df: DataFrame, metrics: list[str], target: str) -> DataFram
             vectors = VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(pairs).select("v")
             rho = float(Correlation.corr(vectors, "v", "spearman").head()[0][0, 1])
         results.append((metric, shape[0], rho))
-    found = spark.createDataFrame(results, "metric string, pairs long, rho double")
+    entries = [
+        F.struct(
+            F.lit(metric).alias("metric"),
+            F.lit(pairs).cast("long").alias("pairs"),
+            F.lit(rho).cast("double").alias("rho"),
+        )
+        for metric, pairs, rho in results
+    ]
+    found = spark.range(1).select(F.inline(F.array(*entries)))
     freedom = (F.col("pairs") - 2).cast("double")
     t = F.col("rho") * F.sqrt(freedom / (1 - F.col("rho") * F.col("rho")))
     p = F.when(F.abs("rho") < 1, student_t_two_sided(t, freedom)).when(F.abs("rho") >= 1, F.lit(0.0))

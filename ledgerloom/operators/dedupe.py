@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.tables import stored
@@ -19,24 +20,24 @@ class Split:
 
 
 def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Join on columns of the same name, NULL equal to NULL, keeping the left columns once."""
-    renamed = right.select(
-        *[F.col(f"`{c}`").alias(f"_r_{i}") for i, c in enumerate(columns)],
-        *[F.col(f"`{c}`") for c in right.columns if c not in columns],
-    )
-    condition = F.lit(True)
-    for i, name in enumerate(columns):
-        condition = condition & F.col(f"`{name}`").eqNullSafe(F.col(f"_r_{i}"))
-    joined = left.join(renamed, condition, how)
-    return joined if how == "left_anti" else joined.drop(*[f"_r_{i}" for i in range(len(columns))])
+    """Semi or anti join on columns of the same name, NULL equal to NULL."""
+    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{i}") for i, c in enumerate(columns)])
+    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_r_{i}")) for i, c in enumerate(columns)]
+    return left.join(renamed, reduce(Column.__and__, same), how)
 
 
 def _repeat(rows: DataFrame, times: str) -> DataFrame:
-    """Each row as often as its ``times`` column says, in blocks that can go to different tasks."""
-    blocks = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.expr(f"cast((`{times}` - 1) div {_EXPAND_BLOCK} as int)"))))
-    size = F.least(F.lit(_EXPAND_BLOCK).cast("long"), F.col(times) - F.col("_block") * _EXPAND_BLOCK)
-    spread = blocks.repartition(*[F.col(f"`{c}`") for c in blocks.columns])
-    return spread.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))).drop("_block", "_copy", times)
+    """Each row as often as its ``times`` column says; very many copies of one row are made by several tasks."""
+    copies = F.col(times)
+    few = rows.filter(copies <= _EXPAND_BLOCK).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), copies)))
+    blocks = rows.filter(copies > _EXPAND_BLOCK).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(`{times}` - 1) div {_EXPAND_BLOCK}")))
+    )
+    size = F.least(F.lit(_EXPAND_BLOCK).cast("long"), copies - F.col("_block") * _EXPAND_BLOCK)
+    many = blocks.repartition(*[F.col(f"`{c}`") for c in blocks.columns]).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("long"), size))
+    )
+    return few.unionByName(many.drop("_block")).drop("_copy", times)
 
 
 def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str]) -> Split:
@@ -47,51 +48,33 @@ def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str]) -> Spl
     rows are repeated, so kept + rejected = input always holds.
 
     No key's rows are gathered in one task, however many there are. The keys that occur more than
-    once are found by an aggregation that combines before its shuffle and moves the key columns
-    only; they are written, so the joins below know their true size. While they are few they are
-    broadcast by the planner and the full rows are never shuffled; beyond its size limit the joins
-    shuffle and adaptive execution splits a hot key. The rows of repeated keys are written too, so
-    both results read the input itself only once.
+    once are counted out first, which combines before its shuffle and moves the key columns only;
+    they are written, so the joins on them are planned on their true size. While they are few they
+    are broadcast by the planner and single rows are never shuffled; beyond its limit the joins
+    shuffle and adaptive execution splits a hot key. Of the repeated rows, written too so that the
+    input is read no further, an aggregation takes the first per key, and the rejects are what is
+    left when those are subtracted, counted row by row.
     """
     columns = df.columns
-    rest = [c for c in columns if c not in keys and c not in order_by]
-    if len(order_by) == 1:
-        # min() skips NULL, an ascending sort puts NULL first.
-        lead = F.col(f"`{order_by[0]}`")
-        first = F.when(F.count(lead) == F.count(F.lit(1)), F.min(lead))
-    else:
-        lead = F.struct(*[F.col(f"`{c}`") for c in order_by])
-        first = F.min(lead)
+    by_key = [F.col(f"`{c}`") for c in keys]
+    in_order = [F.col(f"`{c}`") for c in columns]
+    payload = [*order_by, *[c for c in columns if c not in keys and c not in order_by]]
     repeated_keys = stored(
-        df.groupBy(*[F.col(f"`{c}`") for c in keys])
-        .agg(F.count(F.lit(1)).alias("_rows"), first.alias("_first"))
-        .filter("_rows > 1")
-        .drop("_rows"),
-        "repeated-keys",
+        df.groupBy(*by_key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").drop("_rows"), "repeated-keys"
     )
-
-    single = _match(df, repeated_keys.drop("_first"), keys, "left_anti")
-    repeated = stored(_match(df, repeated_keys, keys, "inner"), "repeated-rows")
-    leads = lead.eqNullSafe(F.col("_first"))
-    leaders = repeated.filter(leads).drop("_first")
-    followers = repeated.filter(~leads).drop("_first")
-
-    # One whole row per key out of the leaders; more than one only if order_by has ties.
-    payload = [*order_by, *rest]
-    chosen = (
-        leaders.groupBy(*[F.col(f"`{c}`") for c in keys])
+    single = _match(df, repeated_keys, keys, "left_anti")
+    repeated = stored(_match(df, repeated_keys, keys, "left_semi"), "repeated-rows")
+    first = (
+        repeated.groupBy(*by_key)
         .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("_row"))
-        .select(*[F.col(f"`{c}`") for c in keys], "_row.*")
-        .select(*[F.col(f"`{c}`") for c in columns])
+        .select(*by_key, "_row.*")
+        .select(*in_order)
     )
-    tied = leaders.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.count(F.lit(1)).alias("_copies"))
-    surplus = (
-        _match(tied, chosen.withColumn("_chosen", F.lit(1)), columns, "left")
-        .withColumn("_copies", F.col("_copies") - F.coalesce("_chosen", F.lit(0)))
-        .drop("_chosen")
+    left_over = (
+        repeated.withColumn("_copies", F.lit(1).cast("long"))
+        .unionByName(first.withColumn("_copies", F.lit(-1).cast("long")))
+        .groupBy(*in_order)
+        .agg(F.sum("_copies").alias("_copies"))
         .filter("_copies > 0")
     )
-    return Split(
-        kept=single.unionByName(chosen),
-        rejected=followers.unionByName(_repeat(surplus, "_copies")).select(*[F.col(f"`{c}`") for c in columns]),
-    )
+    return Split(kept=single.unionByName(first), rejected=_repeat(left_over, "_copies").select(*in_order))

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ledgerloom.operators.dedupe import Split
 from ledgerloom.plans import marts, staging
 from ledgerloom.plans.quality import bank_check_log
-from ledgerloom.sources.tables import write_table
+from ledgerloom.sources.tables import in_parallel, write_table
 
 _SIMPLE_STAGES = {
     "stg_district": staging.stage_district,
@@ -82,6 +82,17 @@ class Bank(Mapping[str, DataFrame]):
             return marts.with_tier(base)
         raise KeyError(name)
 
+    def build(self) -> None:
+        """Write all tables; tables that do not need each other are written side by side."""
+        steps = [
+            [f"raw_{name}" for name in self._raw],
+            [*_SIMPLE_STAGES, "stg_trans"],
+            ["rej_trans", "mart_account_month"],
+            ["mart_account_360"],
+        ]
+        for step in steps:
+            in_parallel([lambda name=name: self[name] for name in step])
+
     def check_log(self, run_ts: dt.datetime | None = None) -> DataFrame:
         """Result of all checks; the first call runs them and writes the log."""
         if "dq_log" not in self._done:

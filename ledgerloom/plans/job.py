@@ -14,6 +14,7 @@ from ledgerloom.plans.bank import Bank
 from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region
 from ledgerloom.session import build_session
 from ledgerloom.sources.delimited import locate_input, read_raw_tables, write_delimited
+from ledgerloom.sources.tables import in_parallel
 
 EXPORTED_TABLES = ("mart_account_360", "stg_district")
 
@@ -55,20 +56,25 @@ def run_job(
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     output = output.rstrip("/")
     bank = Bank(raw, f"{output}/tables")
+    bank.build()
     log = bank.check_log(run_ts)
     append_log(log, f"{output}/dq_history")
 
     exports = {name: view(bank) for name, view in VIEWS.items()}
     exports |= {"dq_log": log} | {name: bank[name] for name in EXPORTED_TABLES}
-    packs = {
+    packs: dict[str, dict[str, DataFrame]] = {
         "exports": exports,
         "evidence": evidence_tables(bank, log),
         "insights": insight_tables(bank),
         f"report/run_date={run_ts.date().isoformat()}": kpis.report_sheets(bank, log),
     }
-    for folder, tables in packs.items():
-        for name, table in tables.items():
-            write_delimited(table, f"{output}/{folder}/{name}")
+    in_parallel(
+        [
+            lambda table=table, path=f"{output}/{folder}/{name}": write_delimited(table, path)
+            for folder, tables in packs.items()
+            for name, table in tables.items()
+        ]
+    )
     if fail_on_error:
         gate(log)
     return bank

@@ -82,7 +82,7 @@ def orders_clean(spark: SparkSession, folder: str) -> DataFrame:
 
 def _split_events(spark: SparkSession, folder: str) -> Split:
     events = _read(spark, folder, "events").select(
-        "event_id", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd").alias("day"), "value"
+        "event_id", "user_id", "event_type", F.col("ts").cast("date").alias("day"), "value"
     )
     return split_duplicates(events, ["user_id", "event_type", "day"], ["event_id"])
 
@@ -101,7 +101,7 @@ def events_conservation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _split_lines(spark: SparkSession, folder: str) -> Split:
-    lines = _read(spark, folder, "lineitem").withColumn("l_shipdate", F.date_format("l_shipdate", "yyyy-MM-dd"))
+    lines = _read(spark, folder, "lineitem").withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
     return split_duplicates(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey"])
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,3 +36,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 def run_dir(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
+def in_parallel(actions: list[Callable[[], object]], at_once: int = 8) -> None:
+    """Run independent Spark actions side by side, so that small ones do not queue behind large ones.
+
+    The first error is raised once all have ended.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
