@@ -43,18 +43,26 @@ def rank_correlation(df: DataFrame, metrics: list[str], target: str) -> DataFram
     metric come back.
     """
     spark = df.sparkSession
-    df = stored(df.select(*metrics, target), "ranked")
+    y = F.col(target).cast("double")
+    df = stored(df.select(*[F.col(m).cast("double").alias(m) for m in metrics], y.alias("_target")), "ranked")
+
+    def shape(metric: str):
+        x, y = F.col(metric), F.col("_target")
+        paired = x.isNotNull() & y.isNotNull()
+        varies = (F.min(F.when(paired, x)) < F.max(F.when(paired, x))) & (
+            F.min(F.when(paired, y)) < F.max(F.when(paired, y))
+        )
+        return F.struct(F.count_if(paired).alias("pairs"), F.coalesce(varies, F.lit(False)).alias("varies"))
+
+    shapes = df.agg(*[shape(metric).alias(metric) for metric in metrics]).head()
     results = []
     for metric in metrics:
-        pairs = df.select(F.col(metric).cast("double").alias("x"), F.col(target).cast("double").alias("y")).dropna()
-        shape = pairs.agg(
-            F.count(F.lit(1)).alias("n"), F.min("x") < F.max("x"), F.min("y") < F.max("y")
-        ).head()
         rho = None
-        if shape[0] > 2 and shape[1] and shape[2]:
-            vectors = VectorAssembler(inputCols=["x", "y"], outputCol="v").transform(pairs).select("v")
+        if shapes[metric].pairs > 2 and shapes[metric].varies:
+            pairs = df.select(metric, "_target").dropna()
+            vectors = VectorAssembler(inputCols=[metric, "_target"], outputCol="v").transform(pairs).select("v")
             rho = float(Correlation.corr(vectors, "v", "spearman").head()[0][0, 1])
-        results.append((metric, shape[0], rho))
+        results.append((metric, shapes[metric].pairs, rho))
     entries = [
         F.struct(
             F.lit(metric).alias("metric"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,29 +20,33 @@ from ledgerloom.sources.tables import in_parallel
 EXPORTED_TABLES = ("mart_account_360", "stg_district")
 
 
-def evidence_tables(bank: Bank, log: DataFrame) -> dict[str, DataFrame]:
+Build = Callable[[], DataFrame]
+
+
+def evidence_tables(bank: Bank, log: DataFrame) -> dict[str, Build]:
     """Check summary, open checks with causes, and the evidence of each check."""
-    tables = {
-        "summary": evidence.status_counts(log),
-        "open_checks": evidence.open_checks(log),
-        "passed": evidence.passed_list(log),
-        "causes": evidence.causes(log),
+    tables: dict[str, Build] = {
+        "summary": lambda: evidence.status_counts(log),
+        "open_checks": lambda: evidence.open_checks(log),
+        "passed": lambda: evidence.passed_list(log),
+        "causes": lambda: evidence.causes(log),
     }
-    return tables | {name.lower(): build(bank) for name, build in evidence.EVIDENCE.items()}
-
-
-def insight_tables(bank: Bank) -> dict[str, DataFrame]:
-    return {
-        "loan_book": insights.loan_book(bank),
-        "bad_rate_by_region": insights.bad_rate_by_region(bank),
-        "bad_rate_range": insights.bad_rate_range(bank),
-        "bad_rate_by_duration": insights.bad_rate_by_duration(bank),
-        "bad_rate_by_overdraft": insights.bad_rate_by_overdraft(bank),
-        "tiers": insights.tiers_in_order(bank),
-        "district_correlations": insights.district_correlations(bank),
-        "balance_growth": insights.balance_growth(bank),
-        "portfolio_by_region": raw_portfolio_by_region(bank),
+    return tables | {name.lower(): partial(build, bank) for name, build in evidence.EVIDENCE.items()}
+
+
+def insight_tables(bank: Bank) -> dict[str, Build]:
+    reports = {
+        "loan_book": insights.loan_book,
+        "bad_rate_by_region": insights.bad_rate_by_region,
+        "bad_rate_range": insights.bad_rate_range,
+        "bad_rate_by_duration": insights.bad_rate_by_duration,
+        "bad_rate_by_overdraft": insights.bad_rate_by_overdraft,
+        "tiers": insights.tiers_in_order,
+        "district_correlations": insights.district_correlations,
+        "balance_growth": insights.balance_growth,
+        "portfolio_by_region": raw_portfolio_by_region,
     }
+    return {name: partial(report, bank) for name, report in reports.items()}
 
 
 def run_job(
@@ -60,9 +65,9 @@ def run_job(
     log = bank.check_log(run_ts)
     append_log(log, f"{output}/dq_history")
 
-    exports = {name: view(bank) for name, view in VIEWS.items()}
-    exports |= {"dq_log": log} | {name: bank[name] for name in EXPORTED_TABLES}
-    packs: dict[str, dict[str, DataFrame]] = {
+    exports: dict[str, Build] = {name: partial(view, bank) for name, view in VIEWS.items()}
+    exports |= {name: partial(bank.__getitem__, name) for name in EXPORTED_TABLES} | {"dq_log": lambda: log}
+    packs = {
         "exports": exports,
         "evidence": evidence_tables(bank, log),
         "insights": insight_tables(bank),
@@ -70,9 +75,9 @@ def run_job(
     }
     in_parallel(
         [
-            lambda table=table, path=f"{output}/{folder}/{name}": write_delimited(table, path)
+            lambda build=build, path=f"{output}/{folder}/{name}": write_delimited(build(), path)
             for folder, tables in packs.items()
-            for name, table in tables.items()
+            for name, build in tables.items()
         ]
     )
     if fail_on_error:

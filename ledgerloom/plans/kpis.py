@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,12 +79,12 @@ def watchlist_by_amount(t: Tables) -> DataFrame:
     return loan_watchlist(t).orderBy(F.desc("amount"), "loan_id")
 
 
-def report_sheets(t: Tables, log: DataFrame) -> dict[str, DataFrame]:
+def report_sheets(t: Tables, log: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     """The five sheets of the monthly report pack."""
     return {
-        "kpis": kpi_table(t, log),
-        "tier_summary": tier_summary(t),
-        "loans_by_region": loans_by_region(t),
-        "loan_watchlist": watchlist_by_amount(t),
-        "dq_status": log,
+        "kpis": lambda: kpi_table(t, log),
+        "tier_summary": lambda: tier_summary(t),
+        "loans_by_region": lambda: loans_by_region(t),
+        "loan_watchlist": lambda: watchlist_by_amount(t),
+        "dq_status": lambda: log,
     }
