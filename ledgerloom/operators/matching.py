@@ -15,17 +15,20 @@ def _total(df: DataFrame, rows: str) -> DataFrame:
 def orphans(child: DataFrame, foreign_key: str, parent: DataFrame, key: str) -> DataFrame:
     """Child rows whose key has no parent; a NULL key counts.
 
-    The child is counted per key first, which combines before the shuffle and leaves it
-    partitioned for the anti join, so a key held by most rows weighs as much as any other.
+    Both sides are brought to one row per key first, which combines before the shuffle and leaves
+    them partitioned for the anti join, so a key held by most rows weighs as much as any other.
     """
     keys = child.groupBy(F.col(foreign_key).alias("_fk")).agg(F.count(F.lit(1)).alias("_rows"))
-    parents = parent.select(F.col(key).alias("_pk"))
+    parents = parent.select(F.col(key).alias("_pk")).distinct()
     return _total(keys.join(parents, F.col("_fk") == F.col("_pk"), "left_anti"), "_rows")
 
 
 def without_match(rows: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
-    """Rows for which no row of ``other`` exists (NOT EXISTS)."""
-    wanted = other.select(F.col(other_key).alias("_key"))
+    """Rows for which no row of ``other`` exists (NOT EXISTS).
+
+    An anti join cannot split a hot key of its right side, so that side is made distinct before it.
+    """
+    wanted = other.select(F.col(other_key).alias("_key")).distinct()
     return rows.join(wanted, F.col(key) == F.col("_key"), "left_anti").agg(F.count(F.lit(1)).alias("failed_rows"))
 
 

@@ -1,4 +1,4 @@
-"""The bank's tables: raw, staging and marts, each built and written on first use."""
+"""The bank's tables: raw, staging, marts and views, each built and written on first use."""
 
 from __future__ import annotations
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from ledgerloom.operators.dedupe import Split
 from ledgerloom.plans import marts, staging
 from ledgerloom.plans.quality import bank_check_log
+from ledgerloom.plans.views import VIEWS
 from ledgerloom.sources.tables import in_parallel, write_table
 
 _SIMPLE_STAGES = {
@@ -49,10 +50,10 @@ class Bank(Mapping[str, DataFrame]):
         return self._done[name]
 
     def __iter__(self) -> Iterator[str]:
-        return iter([*(f"raw_{name}" for name in self._raw), *TABLE_NAMES])
+        return iter([*(f"raw_{name}" for name in self._raw), *TABLE_NAMES, *VIEWS])
 
     def __len__(self) -> int:
-        return len(self._raw) + len(TABLE_NAMES)
+        return len(self._raw) + len(TABLE_NAMES) + len(VIEWS)
 
     @cached_property
     def _trans(self) -> Split:
@@ -80,15 +81,21 @@ class Bank(Mapping[str, DataFrame]):
                 self["mart_account_month"],
             )
             return marts.with_tier(base)
+        if name in VIEWS:
+            return VIEWS[name](self)
         raise KeyError(name)
 
     def build(self) -> None:
-        """Write all tables; tables that do not need each other are written side by side."""
+        """Write all tables; tables that do not need each other are written side by side.
+
+        The views are small results that several reports read, so they are written as well.
+        """
         steps = [
             [f"raw_{name}" for name in self._raw],
             [*_SIMPLE_STAGES, "stg_trans"],
             ["rej_trans", "mart_account_month"],
             ["mart_account_360"],
+            [*VIEWS],
         ]
         for step in steps:
             in_parallel([lambda name=name: self[name] for name in step])

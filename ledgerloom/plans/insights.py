@@ -11,7 +11,6 @@ from ledgerloom.functions.measures import percent, sum_where
 from ledgerloom.operators.correlation import rank_correlation
 from ledgerloom.operators.growth import month_over_month
 from ledgerloom.plans import fixed_values as fixed
-from ledgerloom.plans.views import balance_trend_monthly, district_scorecard, loan_portfolio, tier_summary
 
 Tables = Mapping[str, DataFrame]
 
@@ -87,12 +86,12 @@ def bad_rate_by_overdraft(t: Tables) -> DataFrame:
 
 def tiers_in_order(t: Tables) -> DataFrame:
     place = F.array_position(F.array(*[F.lit(tier) for tier in fixed.TIERS]), F.col("tier"))
-    return tier_summary(t).orderBy(place)
+    return t["vw_tier_summary"].orderBy(place)
 
 
 def district_correlations(t: Tables) -> DataFrame:
     """Spearman's rho of district metrics with the bad-loan rate, districts with enough loans only."""
-    districts = district_scorecard(t).filter(F.col("loans") >= fixed.MIN_LOANS_PER_DISTRICT)
+    districts = t["vw_district_scorecard"].filter(F.col("loans") >= fixed.MIN_LOANS_PER_DISTRICT)
     return rank_correlation(districts, fixed.DISTRICT_METRICS, "bad_loan_pct").select(
         F.col("metric").alias("district_metric"),
         F.col("pairs").alias("districts"),
@@ -105,11 +104,11 @@ def district_correlations(t: Tables) -> DataFrame:
 
 
 def balance_by_month_and_tier(t: Tables) -> DataFrame:
-    return balance_trend_monthly(t).groupBy("month", "tier").agg(F.sum("total_balance").alias("total_balance"))
+    return t["vw_balance_trend_monthly"].groupBy("month", "tier").agg(F.sum("total_balance").alias("total_balance"))
 
 
 def flows_by_month(t: Tables, region: str | None = None) -> DataFrame:
-    trend = balance_trend_monthly(t)
+    trend = t["vw_balance_trend_monthly"]
     if region is not None:
         trend = trend.filter(F.col("region") == region)
     return trend.groupBy("month").agg(F.sum("credits").alias("credits"), F.sum("debits").alias("debits"))
@@ -118,7 +117,7 @@ def flows_by_month(t: Tables, region: str | None = None) -> DataFrame:
 def bad_amount_rate(t: Tables, by: str) -> DataFrame:
     """Measure "Bad Loan %": bad over total amount as a fraction, NULL for an empty total."""
     return (
-        loan_portfolio(t)
+        t["vw_loan_portfolio"]
         .groupBy(by)
         .agg(
             F.sum("loans").alias("loans"),
@@ -129,12 +128,12 @@ def bad_amount_rate(t: Tables, by: str) -> DataFrame:
 
 def unemployment_and_bad_rate(t: Tables) -> DataFrame:
     """Pairs for the scatter of district unemployment against the bad-loan rate."""
-    return district_scorecard(t).select("district_id", "district_name", "unemployment_96", "bad_loan_pct")
+    return t["vw_district_scorecard"].select("district_id", "district_name", "unemployment_96", "bad_loan_pct")
 
 
 def balance_growth(t: Tables) -> DataFrame:
     """Measure "Balance MoM %": change of the total balance against the previous month."""
-    totals = balance_trend_monthly(t).groupBy("month").agg(F.sum("total_balance").alias("total_balance"))
+    totals = t["vw_balance_trend_monthly"].groupBy("month").agg(F.sum("total_balance").alias("total_balance"))
     return month_over_month(totals, "total_balance")
 
 

@@ -65,8 +65,8 @@ def run_job(
     log = bank.check_log(run_ts)
     append_log(log, f"{output}/dq_history")
 
-    exports: dict[str, Build] = {name: partial(view, bank) for name, view in VIEWS.items()}
-    exports |= {name: partial(bank.__getitem__, name) for name in EXPORTED_TABLES} | {"dq_log": lambda: log}
+    exports: dict[str, Build] = {name: partial(bank.__getitem__, name) for name in (*VIEWS, *EXPORTED_TABLES)}
+    exports["dq_log"] = lambda: log
     packs = {
         "exports": exports,
         "evidence": evidence_tables(bank, log),

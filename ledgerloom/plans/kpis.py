@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.measures import percent, sum_where
 from ledgerloom.plans import fixed_values as fixed
 from ledgerloom.plans.insights import loans_by_region
-from ledgerloom.plans.views import loan_watchlist, tier_summary
 
 Tables = Mapping[str, DataFrame]
 
@@ -76,14 +75,14 @@ def kpi_table(t: Tables, log: DataFrame) -> DataFrame:
 
 
 def watchlist_by_amount(t: Tables) -> DataFrame:
-    return loan_watchlist(t).orderBy(F.desc("amount"), "loan_id")
+    return t["vw_loan_watchlist"].orderBy(F.desc("amount"), "loan_id")
 
 
 def report_sheets(t: Tables, log: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     """The five sheets of the monthly report pack."""
     return {
         "kpis": lambda: kpi_table(t, log),
-        "tier_summary": lambda: tier_summary(t),
+        "tier_summary": lambda: t["vw_tier_summary"],
         "loans_by_region": lambda: loans_by_region(t),
         "loan_watchlist": lambda: watchlist_by_amount(t),
         "dq_status": lambda: log,

@@ -97,7 +97,7 @@ STAR_QUERIES: dict[str, Query] = {
 
 BANK_QUERIES: dict[str, Query] = {
     **{name: _table(name) for name in TABLE_NAMES},
-    **{name: _on_bank(view) for name, view in VIEWS.items()},
+    **{name: _table(name) for name in VIEWS},
     "raw_portfolio_by_region": _on_bank(raw_portfolio_by_region),
     "dq_log": _on_log(_log_columns),
     "dq_log_short": _on_bank(lambda b: _log_columns(run_checks(b, SHORT_CHECKS))),

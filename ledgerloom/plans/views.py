@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.dates import month_start, month_text
@@ -201,8 +201,8 @@ def raw_portfolio_by_region(t: Tables) -> DataFrame:
     )
 
 
-def register_views(spark, t: Tables) -> list[str]:
+def register_views(spark: SparkSession, t: Tables) -> list[str]:
     """Make the reporting views available to SQL under their names."""
-    for name, view in VIEWS.items():
-        view(t).createOrReplaceTempView(name)
+    for name in VIEWS:
+        t[name].createOrReplaceTempView(name)
     return [table.name for table in spark.catalog.listTables() if table.name in VIEWS]
