@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.operators.checks import Check
 from ledgerloom.operators.dedupe import Split
 from ledgerloom.plans import marts, staging
-from ledgerloom.plans.quality import bank_check_log
+from ledgerloom.plans.quality import bank_check_log, unreconciled
 from ledgerloom.plans.views import VIEWS
 from ledgerloom.sources.tables import in_parallel, write_table
 
@@ -27,6 +28,7 @@ TABLE_NAMES = (
     *_SIMPLE_STAGES,
     "stg_trans",
     "rej_trans",
+    "unreconciled_accounts",
     "mart_account_month",
     "mart_account_360",
 )
@@ -68,6 +70,8 @@ class Bank(Mapping[str, DataFrame]):
             return staging.stage_trans(self._trans.kept)
         if name == "rej_trans":
             return staging.reject_trans(self._trans.rejected)
+        if name == "unreconciled_accounts":
+            return unreconciled(self["stg_trans"])
         if name == "mart_account_month":
             return marts.build_account_month(self["stg_account"], self["stg_trans"])
         if name == "mart_account_360":
@@ -93,15 +97,15 @@ class Bank(Mapping[str, DataFrame]):
         steps = [
             [f"raw_{name}" for name in self._raw],
             [*_SIMPLE_STAGES, "stg_trans"],
-            ["rej_trans", "mart_account_month"],
+            ["rej_trans", "unreconciled_accounts", "mart_account_month"],
             ["mart_account_360"],
             [*VIEWS],
         ]
         for step in steps:
             in_parallel([lambda name=name: self[name] for name in step])
 
-    def check_log(self, run_ts: dt.datetime | None = None) -> DataFrame:
+    def check_log(self, run_ts: dt.datetime | None = None, more: Sequence[Check] = ()) -> DataFrame:
         """Result of all checks; the first call runs them and writes the log."""
         if "dq_log" not in self._done:
-            self._done["dq_log"] = write_table(bank_check_log(self, run_ts), f"{self._folder}/dq_log")
+            self._done["dq_log"] = write_table(bank_check_log(self, run_ts, more), f"{self._folder}/dq_log")
         return self._done["dq_log"]

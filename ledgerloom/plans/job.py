@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.operators.checks import append_log, gate
 from ledgerloom.plans import evidence, insights, kpis
 from ledgerloom.plans.bank import Bank
+from ledgerloom.plans.quality import expected_row_checks
 from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region
 from ledgerloom.session import build_session
 from ledgerloom.sources.delimited import locate_input, read_raw_tables, write_delimited
@@ -50,19 +51,24 @@ def insight_tables(bank: Bank) -> dict[str, Build]:
 
 
 def run_job(
-    raw: Mapping[str, DataFrame], output: str, run_ts: dt.datetime | None = None, fail_on_error: bool = False
+    raw: Mapping[str, DataFrame],
+    output: str,
+    run_ts: dt.datetime | None = None,
+    fail_on_error: bool = False,
+    expected_rows: Mapping[str, int] | None = None,
 ) -> Bank:
     """All stages in order in one application; the first error stops the run.
 
     Below ``output``: ``tables/`` (Parquet), ``dq_history/`` (one log per run), ``exports/``,
     ``evidence/``, ``insights/`` and ``report/run_date=.../`` (delimited text). With
-    ``fail_on_error`` failed checks raise after everything has been written.
+    ``fail_on_error`` failed checks raise after everything has been written. ``expected_rows`` adds
+    a check on the number of rows of the raw tables it names.
     """
     run_ts = run_ts or dt.datetime.now().replace(microsecond=0)
     output = output.rstrip("/")
     bank = Bank(raw, f"{output}/tables")
     bank.build()
-    log = bank.check_log(run_ts)
+    log = bank.check_log(run_ts, expected_row_checks(expected_rows or {}))
     append_log(log, f"{output}/dq_history")
 
     exports: dict[str, Build] = {name: partial(bank.__getitem__, name) for name in (*VIEWS, *EXPORTED_TABLES)}
@@ -90,11 +96,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--input", help="folder with the eight .asc files")
     parser.add_argument("--search", nargs="*", default=["data/raw", "data", "."], help="folders to look in otherwise")
     parser.add_argument("--output", required=True, help="folder for all results")
+    parser.add_argument("--expect", nargs="*", default=[], metavar="TABLE=ROWS", help="rows the raw tables must have")
     parser.add_argument("--gate", action="store_true", help="end with an error if a check fails")
     args = parser.parse_args(argv)
     spark: SparkSession = build_session()
     folder = locate_input(spark, args.input, args.search)
-    run_job(read_raw_tables(spark, folder), args.output, fail_on_error=args.gate)
+    expected = {table: int(rows) for table, rows in (entry.split("=") for entry in args.expect)}
+    run_job(read_raw_tables(spark, folder), args.output, fail_on_error=args.gate, expected_rows=expected)
 
 
 if __name__ == "__main__":

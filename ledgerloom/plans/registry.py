@@ -12,7 +12,7 @@ from ledgerloom.operators.balances import balance_gaps
 from ledgerloom.operators.checks import failing, run_checks
 from ledgerloom.plans import evidence, insights, kpis, star_queries
 from ledgerloom.plans.bank import TABLE_NAMES, Bank
-from ledgerloom.plans.quality import SHORT_CHECKS, unparsed_dates
+from ledgerloom.plans.quality import SHORT_CHECKS, raw_row_counts, unparsed_dates
 from ledgerloom.plans.star import raw_bank_tables
 from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region
 from ledgerloom.sources.tables import run_dir
@@ -103,6 +103,7 @@ BANK_QUERIES: dict[str, Query] = {
     "dq_log_short": _on_bank(lambda b: _log_columns(run_checks(b, SHORT_CHECKS))),
     "dq_alert_rows": _on_log(lambda log: failing(log).select("check_name", "failed_rows")),
     "dq_unparsed_dates": _on_bank(unparsed_dates),
+    "raw_row_counts": _on_bank(raw_row_counts),
     "top_failing_checks": _on_log(insights.top_failing_checks),
     "rca_status_summary": _on_log(evidence.status_counts),
     "rca_open_checks": _on_log(evidence.open_checks),

@@ -168,12 +168,15 @@ def test_written_reports(job):
 
 
 def test_a_second_run_gives_the_same_tables_and_a_longer_history(job, spark):
-    bank, _, _, output = job
+    bank, rows, _, output = job
     before = sorted(map(tuple, bank["mart_account_360"].collect()), key=str)
     raw = {name: bank[f"raw_{name}"] for name in ("account", "client", "disp", "card", "loan", "order", "district", "trans")}
     copies = {name: spark.createDataFrame(df.collect(), df.schema) for name, df in raw.items()}
-    again = run_job(copies, str(output), RUN + dt.timedelta(days=1))
+    expected_rows = {"loan": len(rows["loan"]), "card": len(rows["card"]) + 2}
+    again = run_job(copies, str(output), RUN + dt.timedelta(days=1), expected_rows=expected_rows)
+    log = {row.check_name: (row.failed_rows, row.status) for row in again.check_log().collect()}
+    assert (log["ROWS_LOAN"], log["ROWS_CARD"]) == ((0, "PASS"), (2, "FAIL"))
     assert sorted(map(tuple, again["mart_account_360"].collect()), key=str) == before
     history = spark.read.parquet(str(output / "dq_history"))
-    assert history.count() == 48
+    assert history.count() == 24 + 26
     assert history.select("run_date").distinct().count() == 2

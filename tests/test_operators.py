@@ -40,7 +40,13 @@ def first_rows(rows, keys, order):
 def test_split_duplicates_against_plain_python(spark, order):
     rng = random.Random(3)
     rows = [
-        (rng.choice([None, "a", "b", "hot"]), rng.choice([None, 1, 2, 3]), rng.choice([None, *range(400)]), rng.randint(1, 3), rng.choice("xy"))
+        (
+            rng.choice([None, "a", "b", "hot"]),
+            rng.choice([None, 1, 2, 3]),
+            rng.choice([None, *range(400)]),
+            rng.randint(1, 3),
+            rng.choice("xy"),
+        )
         for _ in range(1500)
     ]
     rows += [("hot", 1, 5, 1, "x")] * 700  # a third of all rows is one and the same row

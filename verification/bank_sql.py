@@ -451,6 +451,11 @@ BANK_SQL: dict[str, str] = {
                   CAST(MAX(diff) AS DOUBLE) AS max_abs_diff, median(CAST(n_txn AS DOUBLE)) AS median_txn_count,
                   (SELECT COUNT(*) / COUNT(DISTINCT account_id) FROM stg_trans) AS avg_txn_count_all_accounts
            FROM gaps WHERE diff > 1""", "gaps", "stg_trans"),
+    "unreconciled_accounts": query(
+        "SELECT account_id, n_rows_last_day, CAST(diff AS DOUBLE) AS diff, n_txn FROM gaps WHERE diff > 1", "gaps"),
+    "raw_row_counts": query(
+        " UNION ALL ".join(f"SELECT 'raw_{name}' AS table_name, COUNT(*) AS rows FROM raw_{name}" for name in RAW_QUERIES),
+        *(f"raw_{name}" for name in RAW_QUERIES)),
     "balance_gaps": query("SELECT account_id, n_rows_last_day, CAST(diff AS DOUBLE) AS diff, n_txn FROM gaps", "gaps"),
     "insight_loan_book": query(
         """SELECT COUNT(*) AS loans, CAST(SUM(amount) AS DOUBLE) AS loan_amount,
