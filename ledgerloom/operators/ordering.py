@@ -7,6 +7,8 @@ partition, so their broadcast is bounded by the partition count) turn local into
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -72,11 +74,19 @@ def with_ntile(df: DataFrame, tiles: int, order: list[Column], name: str = "tile
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact median of each numeric column: rows (metric, row_count, median), NULLs left out.
 
-    Equal values are counted before anything moves, so a value held by most rows costs one row.
+    Equal values are counted before anything moves, so a value held by most rows costs one row. The
+    input is read once per column, and only that column of it.
     """
-    values = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns])
-    long = values.unpivot([], columns, "metric", "value").filter("value is not null")
-    counted = long.groupBy("metric", "value").agg(F.count(F.lit(1)).alias("_n"))
+    counted = reduce(
+        DataFrame.unionAll,
+        [
+            df.select(F.lit(c).alias("metric"), F.col(f"`{c}`").cast("double").alias("value"))
+            .filter("value is not null")
+            .groupBy("metric", "value")
+            .agg(F.count(F.lit(1)).alias("_n"))
+            for c in columns
+        ],
+    )
     ordered = _range_sorted(counted, [F.col("metric"), F.col("value")], "median")
 
     by_metric = W.partitionBy("metric")

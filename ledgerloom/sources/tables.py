@@ -15,8 +15,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     """Replace the table at ``path`` and return it read back.
 
     Overwriting goes through Spark's commit protocol: a failed write raises and leaves no
-    half-written table behind, and running the same step twice gives the same table. What is read
-    back has real file sizes, so later joins are planned on those.
+    half-written rows, and running the same step twice gives the same table. The rows of before are
+    gone by then, as files have no transaction to roll back: run the step again. What is read back
+    has real file sizes, so later joins are planned on those.
     """
     writer = df.write.mode("overwrite")
     if partition_by:
