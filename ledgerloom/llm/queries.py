@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import binary_output, packing, token_counts
+from ledgerloom.llm import binary_output, decontamination, license_scan, oracle_sql, packing, token_counts, url_filter
 from ledgerloom.llm.common import fresh_path, table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,11 +24,28 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of all documents in sequences of 2,048 tokens."""
     return packing.pack(table(spark, folder, "documents"), BYTE_TOKENIZER).drop("ids")
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in all documents."""
+    found = decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on the URLs of all pages."""
+    return url_filter.judge(table(spark, folder, "pages"))
+
+
 def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     place = fresh_path(spark, "token-files")
@@ -38,8 +55,14 @@ def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
+    "op5_decontamination": op5_decontamination,
+    "op8_url_filter": op8_url_filter,
     "op10_binary_output": op10_binary_output,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_decontamination": oracle_sql.OP5,
+    "op8_url_filter": oracle_sql.OP8,
+}
