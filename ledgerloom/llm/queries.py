@@ -8,8 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import binary_output, decontamination, license_scan, oracle_sql, packing, token_counts, url_filter
-from ledgerloom.llm.common import fresh_path, table
+from ledgerloom.llm import (
+    binary_output,
+    decontamination,
+    html_extraction,
+    license_scan,
+    oracle_sql,
+    packing,
+    quality_rules,
+    token_counts,
+    url_filter,
+    vector_search,
+)
+from ledgerloom.llm.common import Workspace, fresh_path, table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -24,6 +35,12 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    found = html_extraction.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Licence phrases and notices in all documents."""
     return license_scan.scan(table(spark, folder, "documents"))
@@ -41,11 +58,25 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best other vectors for each vector whose id is divisible by 50."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", vector_search.quantised(F.col("embedding")).alias("vector"))
+    return vector_search.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
 def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdicts on the URLs of all pages."""
     return url_filter.judge(table(spark, folder, "pages"))
 
 
+def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of all documents by a model fit on labelled ones."""
+    described = quality_rules.with_statistics(table(spark, folder, "documents"))
+    described = Workspace(spark, "quality").store(described, "statistics")
+    model = quality_rules.fit_rules(*quality_rules.training_sample(described, table(spark, folder, "labels")))
+    return quality_rules.score_documents(described, model)
+
+
 def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, written and read back."""
     place = fresh_path(spark, "token-files")
@@ -55,14 +86,18 @@ def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
+    "op2_html_extraction": op2_html_extraction,
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op7_vector_search": op7_vector_search,
     "op8_url_filter": op8_url_filter,
+    "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": oracle_sql.OP5,
+    "op7_vector_search": oracle_sql.OP7,
     "op8_url_filter": oracle_sql.OP8,
 }
