@@ -13,6 +13,7 @@ from ledgerloom.llm import (
     decontamination,
     html_extraction,
     license_scan,
+    near_duplicates,
     oracle_sql,
     packing,
     quality_rules,
@@ -58,6 +59,11 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents whose sets of three-word shingles are at least 85 % alike."""
+    return near_duplicates.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
 def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five best other vectors for each vector whose id is divisible by 50."""
     vectors = table(spark, folder, "embeddings").select("vec_id", vector_search.quantised(F.col("embedding")).alias("vector"))
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
+    "op6_near_duplicates": op6_near_duplicates,
     "op7_vector_search": op7_vector_search,
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op5_decontamination": oracle_sql.OP5,
+    "op6_near_duplicates": oracle_sql.OP6,
     "op7_vector_search": oracle_sql.OP7,
     "op8_url_filter": oracle_sql.OP8,
 }
