@@ -111,23 +111,23 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs``, all columns, that are not contaminated."""
-    bad = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("bad_id"), F.col("text_hash").alias("bad_hash")).distinct()
+    bad = contamination(docs, items, window).where("contaminated").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
     own_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("bad_id")) & (own_hash == F.col("bad_hash")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("__id")) & (own_hash == F.col("__hash")), "left_anti")
 
 
 def without_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows of ``docs``; in ``text`` every hit word is gone with what stands between it and the next word."""
     hits, _ = window_hits(docs, items, window)
-    spans = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "length")).alias("_spans"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "_spans")
+    spans = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "length")).alias("__spans"))
+    spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__spans")
     own_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    both = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("_id")) & (own_hash == F.col("_hash")), "left")
+    both = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__id")) & (own_hash == F.col("__hash")), "left")
     words = F.filter(F.split("text", NOT_ALNUM), lambda w: w != "")
     between = F.split("text", _WORD)
-    hit = lambda i: F.exists("_spans", lambda s: (s["at"] <= i) & (i < s["at"] + s["length"]))
-    kept = F.transform("_words", lambda w, i: F.when(hit(i), "").otherwise(F.concat(w, F.get("_between", i + 1))))
-    rebuilt = F.concat(F.get("_between", F.lit(0)), F.array_join(kept, ""))
-    both = both.withColumns({"_words": words, "_between": between})
-    both = both.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(rebuilt))
+    hit = lambda i: F.exists("__spans", lambda s: (s["at"] <= i) & (i < s["at"] + s["length"]))
+    kept = F.transform("__words", lambda w, i: F.when(hit(i), "").otherwise(F.concat(w, F.get("__between", i + 1))))
+    rebuilt = F.concat(F.get("__between", F.lit(0)), F.array_join(kept, ""))
+    both = both.withColumns({"__words": words, "__between": between})
+    both = both.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(rebuilt))
     return both.select(*docs.columns)

@@ -80,7 +80,7 @@ def _set_key(values: np.ndarray) -> bytes | None:
 
 
 def sketched(docs: DataFrame, words: int, sketch: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (null without words), sketch, of every row."""
+    """doc_id, text_hash, n_shingles, set_key (null without words), sketch, of every row."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -91,10 +91,11 @@ def sketched(docs: DataFrame, words: int, sketch: int) -> DataFrame:
                     sizes.append(len(values))
                     keys.append(_set_key(values))
                     sketches.append(values[:sketch].copy())
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "n_shingles": sizes, "set_key": keys, "sketch": sketches})
+                yield part[["doc_id", "text_hash"]].assign(n_shingles=sizes, set_key=keys, sketch=sketches)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(rows, f"doc_id {kind}, n_shingles long, set_key binary, sketch array<long>")
+    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
+    return texts.mapInPandas(rows, f"doc_id {kind}, text_hash long, n_shingles long, set_key binary, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -253,7 +254,7 @@ def _all_links(links: _Links, prefixes: DataFrame) -> None:
 def near_duplicates(
     docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY, sketch: int = SKETCH
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept.
 
     docs: doc_id, text; other columns are ignored. Documents are linked if 100 times the common
     shingles are at least ``percent`` times all shingles of both; component_id is the smallest doc_id
@@ -276,7 +277,33 @@ def near_duplicates(
         linked = links.with_component(slim)
         least = linked.groupBy("component").agg(F.min("rep_id").alias("component_id"))
         found = linked.join(least, "component").select("set_key", "component_id")
-    result = rows.select("doc_id", "n_shingles", "set_key").join(found, "set_key", "left")
+    result = rows.select("doc_id", "text_hash", "n_shingles", "set_key").join(found, "set_key", "left")
     component = F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    result = result.select("doc_id", "n_shingles", component.alias("component_id"))
+    result = result.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"))
     return result.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def without_near_duplicates(
+    docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY, sketch: int = SKETCH
+) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each component stays: the one with the smallest doc_id.
+
+    Of rows with the same id and text one stays; texts without words all do, unless id and text are
+    the same. Rows that go are named by id and text, and broadcast if they are few.
+    """
+    space = Workspace(docs.sparkSession, "kept")
+    found = space.store(near_duplicates(docs, words, percent, sketch).select("doc_id", "text_hash", "kept"), "found")
+    own_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+    def named(rows: DataFrame, how: str) -> DataFrame:
+        rows = rows.toDF("__id", "__hash")
+        rows = F.broadcast(rows) if rows.count() <= IDS_TO_BROADCAST else rows
+        return docs.join(rows, docs["doc_id"].eqNullSafe(F.col("__id")) & (own_hash == F.col("__hash")), how)
+
+    gone = space.store(found.where(~F.col("kept")).select("doc_id", "text_hash").distinct(), "gone")
+    repeated = found.where("kept").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    repeated = space.store(repeated, "repeated")
+    if repeated.isEmpty():
+        return named(gone, "left_anti")
+    once = named(repeated, "left_semi").dropDuplicates(["doc_id", "text"])
+    return named(gone.union(repeated), "left_anti").unionByName(once)

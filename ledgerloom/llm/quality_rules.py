@@ -1,15 +1,15 @@
 """Quality score of texts by a sparse ensemble of rules, scored as plain column expressions.
 
-1. Statistics of each whole text (shares of signs, repeated words, lengths and so on) are computed by
-   built-in functions and written once.
+1. Statistics of each whole text (shares of signs, repeated words, lengths and so on) are built-in
+   functions of the text.
 2. Small trees are boosted on a bounded sample of labelled rows; every path from a root to a node,
    a conjunction of comparisons of statistics, is a rule.
 3. A logistic model with a lasso penalty gives most rules no weight; the penalty's strength is the
    one that does best on a fifth of the sample that is kept apart.
 4. The rules left are compiled into one column expression, so scoring is a projection.
 
-Only the sample of at most ``TRAIN_ROWS`` rows of numbers goes through the driver, whatever the size
-of the input; texts, ids, languages and sources are no inputs of a score.
+Only the sample, numbers for at most ``TRAIN_ROWS`` labels, goes through the driver, whatever
+the size of the input; texts, ids, languages and sources are no inputs of a score.
 """
 
 from __future__ import annotations
@@ -60,11 +60,6 @@ def statistics(text: Column) -> dict[str, Column]:
     }
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and the statistics of each row's whole text, and no other column."""
-    return docs.select("doc_id", *[c.alias(name) for name, c in statistics(F.col("text")).items()])
-
-
 STATISTICS = (
     "log_chars", "log_words", "word_length", "sign_share", "odd_sign_share", "bar_share", "stop_share", "comma_share",
     "digit_share", "capital_share", "distinct_share", "repeat_share", "line_length", "distinct_lines",
@@ -165,13 +160,13 @@ class RuleModel:
     rules: tuple[tuple[Rule, float], ...]
     intercept: float
 
-    def score(self) -> Column:
-        """Probability of label 1 as an expression over the statistics."""
+    def score(self, prefix: str = "") -> Column:
+        """Probability of label 1 as an expression over columns named like the statistics."""
         total = F.lit(self.intercept)
         for rule, weight in self.rules:
             fires = None
             for feature, above, threshold in rule:
-                name = F.col(self.names[feature])
+                name = F.col(prefix + self.names[feature])
                 one = name > threshold if above else name <= threshold
                 fires = one if fires is None else fires & one
             total = total + F.when(fires, F.lit(weight)).otherwise(F.lit(0.0))
@@ -203,21 +198,33 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def training_sample(described: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray]:
-    """Statistics and labels of at most ``most`` labelled rows outside the held-out ones, the same at every run.
+def training_sample(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and labels of documents for at most ``most`` labels outside the held-out ones, the same at every run.
 
-    Labels other than 0 and 1 and rows with a null id are left out; of more rows those with the
-    smallest hash of the id are taken.
+    Labels other than 0 and 1 and rows with a null id are left out; of more labels those with the
+    smallest hash of the id are taken. They are broadcast, being bounded, so no text is shuffled.
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
     known = known.select(F.col("doc_id").alias("label_id"), F.col("quality").cast("double").alias("y"))
-    rows = described.join(known, described.doc_id == F.col("label_id"))
-    order = [F.xxhash64("label_id"), F.col("label_id"), F.col("y"), *[F.col(name) for name in STATISTICS]]
-    sample = rows.orderBy(*order).limit(most).select("y", *STATISTICS).toPandas().to_numpy(np.float64)
+    known = known.orderBy(F.xxhash64("label_id"), "label_id", "y").limit(most)
+    texts = docs.select("doc_id", "text")
+    rows = texts.join(F.broadcast(known), texts.doc_id == F.col("label_id"))
+    sample = rows.select("label_id", "y", *[c.alias(name) for name, c in statistics(F.col("text")).items()]).toPandas()
+    sample = sample.sort_values(["label_id", "y", *STATISTICS])[["y", *STATISTICS]].to_numpy(np.float64)
     return sample[:, 1:], sample[:, 0]
 
 
-def score_documents(described: DataFrame, model: RuleModel) -> DataFrame:
-    """doc_id, held_out, score, predicted of each row of ``with_statistics``."""
-    rows = described.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
+    """All columns of ``docs`` but those named score and predicted, then score and predicted (1 from 0.5 on).
+
+    Null and empty texts are scored like any other, by statistics that are all 0.
+    """
+    names = [c for c in docs.columns if c not in ("score", "predicted")]
+    numbers = {f"__{name}": c for name, c in statistics(F.col("text")).items()}
+    rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumns(numbers)
+    rows = rows.withColumn("score", model.score("__"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).select(*[F.col(f"`{c}`") for c in names], "score", "predicted")
+
+
+def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> RuleModel:
+    return fit_rules(*training_sample(docs, labels, most))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +22,7 @@ from ledgerloom.llm import (
     url_filter,
     vector_search,
 )
-from ledgerloom.llm.common import Workspace, fresh_path, table
+from ledgerloom.llm.common import fresh_path, table
 
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -61,7 +62,8 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents whose sets of three-word shingles are at least 85 % alike."""
-    return near_duplicates.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+    found = near_duplicates.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+    return found.drop("text_hash")
 
 
 def op7_vector_search(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,10 +79,10 @@ def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Quality scores of all documents by a model fit on labelled ones."""
-    described = quality_rules.with_statistics(table(spark, folder, "documents"))
-    described = Workspace(spark, "quality").store(described, "statistics")
-    model = quality_rules.fit_rules(*quality_rules.training_sample(described, table(spark, folder, "labels")))
-    return quality_rules.score_documents(described, model)
+    docs = table(spark, folder, "documents")
+    model = quality_rules.fit(docs, table(spark, folder, "labels"))
+    scores = quality_rules.scored(docs.select("doc_id", "text"), model)
+    return scores.select("doc_id", quality_rules.is_held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
 def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +92,11 @@ def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
     return binary_output.read_token_files(spark, place).drop("ids")
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents through the stages of the corpus pipeline."""
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_html_extraction": op2_html_extraction,
@@ -101,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {
