@@ -2,13 +2,14 @@
 
 1. Every benchmark item is cut into windows of 13 consecutive normalised words; a shorter item is one
    window. Equal windows are kept once, with the items they come from in a table beside them.
-2. The rolling hashes of all windows of every document are joined with the broadcast hashes of the
-   benchmark's. A benchmark of more than ``WINDOWS_AT_ONCE`` distinct windows is taken in blocks of
-   at most that many, each broadcast on its own; so what is broadcast has a bound, and no window is left out.
-3. A hit counts if its words are equal, not only its hash.
-4. Hits of a document are merged to covered words; documents or spans can be removed.
-
-Grouping is by document, so a passage in a third of all documents makes no large group.
+2. The hash of the window at each word of every document is looked up in the broadcast hashes of the
+   benchmark's windows; a hit counts if its words are equal, not only its hash. A benchmark of more
+   than ``WINDOWS_AT_ONCE`` distinct windows is taken in blocks of about that many, each broadcast on
+   its own; so what is broadcast has a bound, and no window is left out.
+3. Hits of a document are merged to covered words; documents or spans can be removed.
+
+Texts are split into words once, in the scan that looks for windows. Grouping is by document, so a
+passage in a third of all documents makes no large group.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import NOT_ALNUM, Workspace, alnum_words
-from ledgerloom.llm.grams import exploded, gram_hash, is_gram, with_gram_hashes
+from ledgerloom.llm.grams import find_grams
 
 WINDOW = 13
 WINDOWS_AT_ONCE = 1_000_000
@@ -27,59 +28,45 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """item_id, gram (the words), length, gram_hash of each distinct window of each item.
+    """item (its id as text) and gram (the words) of each distinct window of each item.
 
     Items without words, and rows with a null id, have none.
     """
-    words = items.where(F.col("item_id").isNotNull()).select("item_id", alnum_words(F.col("text")).alias("words"))
-    words = words.where(F.size("words") > 0).withColumn("length", F.least(F.size("words"), F.lit(window)))
-    starts = F.sequence(F.lit(1), F.size("words") - F.col("length") + 1)
-    rows = words.select("item_id", "length", F.explode(F.transform(starts, lambda i: F.slice("words", i, F.col("length")))).alias("gram"))
-    hashed = None
-    for n in range(1, window + 1):
-        when = F.col("length") == n
-        hashed = F.when(when, gram_hash(F.col("gram"), n)) if hashed is None else hashed.when(when, gram_hash(F.col("gram"), n))
-    return rows.distinct().withColumn("gram_hash", hashed)
-
-
-def _documents(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash, words; the two first tell rows of equal id and different text apart."""
-    return docs.select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), alnum_words(F.col("text")).alias("words")
-    )
+    words = items.where(F.col("item_id").isNotNull())
+    words = words.select(F.col("item_id").cast("string").alias("item"), alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
+    return words.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, window))).alias("gram")).distinct()
 
 
-def window_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """Hits (doc_id, text_hash, at, length, gram) in documents, and the stored windows (item_id, gram, ...).
-
-    Repeated rows give repeated hits. Documents without a hit have no row.
-    """
+def window_hits(docs: DataFrame, windows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """Rows of ``find_grams`` for the distinct windows of ``benchmark_windows``, stored."""
     space = Workspace(docs.sparkSession, "decontamination")
-    windows = space.store(benchmark_windows(items, window), "windows")
-    distinct = space.store(windows.select("gram_hash", "length", "gram").distinct(), "distinct")
-    count = distinct.count()
-    lengths = sorted(r.length for r in distinct.select("length").distinct().collect()) or [window]  # at most `window` rows
-    grams = exploded(with_gram_hashes(_documents(docs), "words", lengths), "words", lengths)
-    blocks = max(1, -(-count // WINDOWS_AT_ONCE))
-    hits = None
+    grams = space.store(windows.select("gram").distinct(), "grams")
+    lengths = sorted(r.n for r in grams.select(F.size("gram").alias("n")).distinct().collect()) or [window]  # at most `window` rows
+    blocks = max(1, -(-grams.count() // WINDOWS_AT_ONCE))
+    found = None
     for block in range(blocks):
-        part = distinct if blocks == 1 else distinct.where(F.pmod("gram_hash", F.lit(blocks)) == block)
-        found = grams.join(F.broadcast(part), ["gram_hash", "length"]).where(is_gram("words", F.col("at"), F.col("gram")))
-        found = found.select("doc_id", "text_hash", "at", "length", "gram")
-        hits = found if hits is None else hits.unionByName(found)
-    return hits, windows
+        part = grams if blocks == 1 else grams.where(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == block)
+        rows = find_grams(docs, part, lengths)
+        if block:
+            rows = rows.withColumn("first", F.lit(False))
+        found = rows if found is None else found.unionByName(rows)
+    return space.store(found, "hits")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, text_hash, n_words, n_hit, n_items, items (ids as sorted text), contaminated per document row.
+    """doc_id, text_hash, n_words, n_hit, n_items, items (ids as sorted text), contaminated per row of ``docs``.
 
     A document is contaminated if words are hit and they are at least one in twenty. Null text has no
     words. Rows with equal or null ids are judged by their own texts. An empty benchmark hits nothing.
     """
-    hits, windows = window_hits(docs, items, window)
-    hits = Workspace(docs.sparkSession, "hits").store(hits, "hits")
+    windows = Workspace(docs.sparkSession, "benchmark").store(benchmark_windows(items, window), "windows")
+    found = window_hits(docs, windows, window)
     key = ["doc_id", "text_hash"]
-    spans = F.sort_array(F.collect_set(F.struct("at", (F.col("at") + F.col("length")).alias("end"))))
+    # The first words of equal rows are counted, so that each has its row in the result.
+    totals = found.groupBy(*key).agg(F.max("n_words").alias("n_words"), F.count_if("first").alias("rows"))
+    hits = found.select(*key, F.explode("hits").alias("hit")).select(*key, "hit.at", "hit.gram")
+    spans = F.sort_array(F.collect_set(F.struct("at", (F.col("at") + F.size("gram")).alias("end"))))
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("until")),
@@ -90,23 +77,25 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         lambda acc: acc["n"],
     )
     n_hit = hits.groupBy(*key).agg(spans.alias("spans")).select(*key, covered.cast("long").alias("n_hit"))
-    of_window = windows.select(F.col("item_id").cast("string").alias("item"), "gram")
-    items_hit = hits.select(*key, "gram").distinct().join(of_window, "gram").groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
-    found = n_hit.join(items_hit, (n_hit.doc_id.eqNullSafe(items_hit.doc_id)) & (n_hit.text_hash == items_hit.text_hash)).select(
-        n_hit.doc_id.alias("hit_id"), n_hit.text_hash.alias("hit_hash"), "n_hit", "items"
-    )
-    words = _documents(docs).select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"))
-    both = words.join(found, words.doc_id.eqNullSafe(found.hit_id) & (words.text_hash == found.hit_hash), "left")
+    of_item = hits.select(*key, "gram").distinct().join(windows, "gram").groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+        same = left["doc_id"].eqNullSafe(right["__id"]) & (left["text_hash"] == right["__hash"])
+        return left.join(right, same, "left").drop("__id", "__hash")
+
+    both = beside(beside(totals, n_hit), of_item)
     hit = F.coalesce("n_hit", F.lit(0).cast("long"))
+    items_hit = F.coalesce("items", F.array().cast("array<string>"))
     return both.select(
-        "doc_id",
-        "text_hash",
+        *key,
         "n_words",
         hit.alias("n_hit"),
-        F.when(F.col("items").isNull(), 0).otherwise(F.size("items")).cast("long").alias("n_items"),
-        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.size(items_hit).cast("long").alias("n_items"),
+        items_hit.alias("items"),
         ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"),
-    )
+        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("row"),
+    ).drop("row")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -118,8 +107,9 @@ def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW
 
 def without_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """All rows of ``docs``; in ``text`` every hit word is gone with what stands between it and the next word."""
-    hits, _ = window_hits(docs, items, window)
-    spans = hits.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "length")).alias("__spans"))
+    found = window_hits(docs, benchmark_windows(items, window), window).select("doc_id", "text_hash", F.explode("hits").alias("hit"))
+    length = F.size("hit.gram").alias("length")
+    spans = found.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("hit.at", length)).alias("__spans"))
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__spans")
     own_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     both = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__id")) & (own_hash == F.col("__hash")), "left")

@@ -1,67 +1,55 @@
-"""Rolling word n-grams as rows, with built-in functions only."""
+"""Word n-grams of whole texts looked up in a broadcast table, with built-in functions only.
+
+Every word is put beside the ones that follow it by zipping the array of words with itself moved by
+one, two, ... places, and the zipped array is exploded; all of it, the hashes and the join run in one
+generated loop. No higher-order function sees a word, and the array of words itself is not copied to
+the rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import alnum_words
 
-def _joined(left: Column, right: Column, shift: int) -> Column:
-    """Hashes of grams that begin with ``left`` and go on with the ``right`` one ``shift`` words later."""
-    return F.zip_with(left, F.slice(right, shift + 1, F.greatest(F.size(right) - shift, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-
-
-def gram_hash(words: Column, length: int) -> Column:
-    """Hash of the first ``length`` words, equal to that of the same gram in ``gram_rows``."""
-    if length == 1:
-        return F.xxhash64(words[0])
-    half = 1 << (length - 1).bit_length() - 1
-    rest = F.slice(words, half + 1, length - half)
-    return F.xxhash64(gram_hash(words, half), gram_hash(rest, length - half))
 
+def gram_hash(words: list[Column]) -> Column:
+    return F.xxhash64(*words)
 
-def with_gram_hashes(df: DataFrame, words: str, lengths: list[int]) -> DataFrame:
-    """Adds ``grams``: the hashes of all grams of the first length, then of the second, and so on.
-
-    Hashes of 1, 2, 4, ... words are built by doubling, each from the ones before, so a gram of n
-    words costs about log n steps. Ends where a gram doesn't fit are cut off.
-    """
-    powers = {1: "_h1"}
-    df = df.withColumn("_h1", F.transform(words, lambda w: F.xxhash64(w)))
 
-    def build(df: DataFrame, length: int) -> tuple[DataFrame, str]:
-        if length in powers:
-            return df, powers[length]
-        half = 1 << (length - 1).bit_length() - 1
-        df, left = build(df, half)
-        df, right = build(df, length - half)
-        name = f"_h{length}"
-        powers[length] = name
-        return df.withColumn(name, _joined(F.col(left), F.col(right), half)), name
+def text_hash() -> Column:
+    """Tells rows of equal id and different text apart; null counts as empty."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
-    parts = []
-    for length in lengths:
-        df, name = build(df, length)
-        parts.append(F.slice(name, 1, F.greatest(F.size(words) - (length - 1), F.lit(0))))
-    return df.withColumn("grams", F.concat(*parts)).drop(*powers.values())
 
+def find_grams(docs: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """Places of grams in documents: doc_id, text_hash, n_words, first, hits.
 
-def exploded(df: DataFrame, words: str, lengths: list[int]) -> DataFrame:
-    """One row for each gram of ``with_gram_hashes``: all columns but ``grams``, and gram_hash, length, at."""
-    index = F.col("_index")
-    size = F.size(words)
-    length, at, before = None, None, F.lit(0)
+    grams: gram (array of words), distinct, few enough to be broadcast; lengths: the lengths that occur.
+    There is a row for each word at which a gram begins, with the grams in ``hits`` (structs at, gram),
+    and one row with ``first`` true for each row of ``docs``, whether it has hits or not. A hit is one
+    whose words are equal, not only the hash.
+    """
+    width = max(lengths)
+    rows = docs.select("doc_id", text_hash().alias("text_hash"), alnum_words(F.col("text")).alias("words"))
+    size = F.size("words")
+    moved = [F.col("words"), *(F.slice("words", k + 1, size) for k in range(1, width))]
+    rows = rows.select("doc_id", "text_hash", size.cast("long").alias("n_words"), F.arrays_zip(*moved).alias("zipped"))
+    rows = rows.select("doc_id", "text_hash", "n_words", F.posexplode_outer("zipped").alias("at", "here"))
+    names = rows.schema["here"].dataType.names
+    words = [F.col("here")[name] for name in names]
+    first = F.col("at").isNull() | (F.col("at") == 0)
+    hits = []
     for n in lengths:
-        here = F.greatest(size - (n - 1), F.lit(0))
-        inside = index < before + here
-        length = F.when(inside, n) if length is None else length.when(inside, n)
-        at = F.when(inside, index - before) if at is None else at.when(inside, index - before)
-        before = before + here
-    others = [c for c in df.columns if c != "grams"]
-    rows = df.select(*others, F.posexplode("grams").alias("_index", "gram_hash"))
-    return rows.withColumns({"length": length, "at": at}).drop("_index")
-
-
-def is_gram(words: str, at: Column, gram: Column) -> Column:
-    """The words from ``at`` (from 0) on are those of the gram, not only equal in their hash."""
-    return F.slice(F.col(words), at + 1, F.size(gram)) == gram
+        own = grams.where(F.size("gram") == n).select(F.col("gram").alias(f"gram_{n}"))
+        own = own.withColumn(f"hash_{n}", gram_hash([F.col(f"gram_{n}")[k] for k in range(n)]))
+        rows = rows.withColumn(f"hash_{n}", gram_hash(words[:n])).join(F.broadcast(own), f"hash_{n}", "left").drop(f"hash_{n}")
+        same = F.array(*words[:n]) == F.col(f"gram_{n}")
+        hits.append(F.when(same, F.struct("at", F.col(f"gram_{n}").alias("gram"))))
+    any_hit = first
+    for n in lengths:
+        any_hit = any_hit | F.col(f"gram_{n}").isNotNull()
+    rows = rows.where(any_hit)
+    found = F.array_compact(F.array(*hits))
+    return rows.select("doc_id", "text_hash", "n_words", F.coalesce(first, F.lit(False)).alias("first"), found.alias("hits"))

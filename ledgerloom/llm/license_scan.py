@@ -2,8 +2,8 @@
 
 1. Templates, phrases and longer notices, are cut into rolling word grams: a phrase is one gram, a
    notice has a gram of five words at each of its places.
-2. The rolling hashes of all documents are joined with the grams' hashes, and hits whose words differ
-   are left out. A hit pairs a place in the document with a place in a template.
+2. The rolling hashes at every word of all documents are joined with the grams' hashes, and hits whose
+   words differ are left out. A hit pairs a place in the document with a place in a template.
 3. Hits are summed by document, template and diagonal (document place less template place). A text
    that follows a template without change votes for one diagonal.
 4. Neighbouring diagonals, at most ``MAX_DRIFT`` words apart and overlapping in the document, are
@@ -16,11 +16,13 @@ checked. Hits are grouped by document and template, never by template alone.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import alnum_words
-from ledgerloom.llm.grams import exploded, gram_hash, is_gram, with_gram_hashes
+from ledgerloom.llm.common import Workspace, alnum_words
+from ledgerloom.llm.grams import find_grams
 
 # Phrases and their labels (fixed values).
 PHRASES = {
@@ -56,23 +58,17 @@ MOST_GRAMS = 100_000
 
 
 def template_grams(spark: SparkSession, phrases: dict[str, str], notices: dict[str, str]) -> DataFrame:
-    """template, label, is_phrase, place, n_grams, length, gram, gram_hash; one row for each gram of each template."""
+    """gram and where it stands: template, label, is_phrase, n_grams, place; one row for each gram of each template."""
     rows = [(text, label, True) for text, label in phrases.items()] + [(text, label, False) for label, text in notices.items()]
     table = spark.createDataFrame([(k, *row) for k, row in enumerate(rows)], "template int, text string, label string, is_phrase boolean")
     words = table.withColumn("words", alnum_words(F.col("text"))).where(F.size("words") > 0)
     length = F.when(F.col("is_phrase"), F.size("words")).otherwise(F.least(F.size("words"), F.lit(GRAM)))
     words = words.withColumn("length", length).withColumn("n_grams", F.size("words") - F.col("length") + 1)
     grams = F.transform(F.sequence(F.lit(1), F.col("n_grams")), lambda i: F.slice("words", i, F.col("length")))
-    rows = words.select("template", "label", "is_phrase", "n_grams", "length", F.posexplode(grams).alias("place", "gram"))
-    hashed = F.lit(None).cast("long")
-    for n in _lengths(phrases, notices):
-        hashed = F.when(F.col("length") == n, gram_hash(F.col("gram"), n)).otherwise(hashed)
-    return rows.withColumn("gram_hash", hashed)
+    return words.select("template", "label", "is_phrase", "n_grams", F.posexplode(grams).alias("place", "gram"))
 
 
 def _count(text: str) -> int:
-    import re
-
     return len(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text))
 
 
@@ -81,29 +77,28 @@ def _lengths(phrases: dict[str, str], notices: dict[str, str]) -> list[int]:
     return sorted(own - {0})
 
 
-def spans(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[str, str] | None = None) -> DataFrame:
-    """doc_id, text_hash, label, is_phrase, first, last (words, from 0), covered (0 to 1) of each verified span.
-
-    docs: doc_id, text; other columns are ignored. Null and empty texts have no span. Overlapping
-    places of one phrase are spans of their own.
-    """
-    phrases = PHRASES if phrases is None else phrases
-    notices = NOTICES if notices is None else notices
-    lengths = _lengths(phrases, notices)
+def places(docs: DataFrame, phrases: dict[str, str], notices: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Stored rows of ``find_grams`` for the templates' grams, and the grams' table."""
     n_grams = sum(_count(text) for text in [*phrases, *notices.values()])
     if n_grams > MOST_GRAMS:
         raise ValueError(f"templates of {n_grams} words are more than the {MOST_GRAMS} that are broadcast")
-    templates = F.broadcast(template_grams(docs.sparkSession, phrases, notices))
-    rows = docs.select(
-        "doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), alnum_words(F.col("text")).alias("words")
-    )
-    grams = exploded(with_gram_hashes(rows, "words", lengths), "words", lengths)
-    hits = grams.join(templates, ["gram_hash", "length"]).where(is_gram("words", F.col("at"), F.col("gram")))
+    space = Workspace(docs.sparkSession, "licences")
+    grams = space.store(template_grams(docs.sparkSession, phrases, notices).coalesce(1), "grams")
+    return space.store(find_grams(docs, grams.select("gram").distinct(), _lengths(phrases, notices)), "places"), grams
+
+
+def spans(found: DataFrame, grams: DataFrame) -> DataFrame:
+    """doc_id, text_hash, label, is_phrase, first, last (words, from 0), covered (0 to 1) of each verified span.
+
+    Overlapping places of one phrase are spans of their own.
+    """
+    hits = found.select("doc_id", "text_hash", F.explode("hits").alias("hit")).select("doc_id", "text_hash", "hit.at", "hit.gram").distinct()
+    hits = hits.join(F.broadcast(grams), "gram")
     one = ["doc_id", "text_hash", "template", "label", "is_phrase", "n_grams"]
     diagonals = hits.groupBy(*one, (F.col("at") - F.col("place")).alias("diagonal")).agg(
         F.collect_set("place").alias("places"),
         F.min("at").alias("first"),
-        F.max(F.col("at") + F.col("length") - 1).alias("last"),
+        F.max(F.col("at") + F.size("gram") - 1).alias("last"),
     )
     along = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
     near = (F.col("diagonal") - F.lag("diagonal").over(along) <= MAX_DRIFT) & (
@@ -130,9 +125,9 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[s
     is the largest covered share of any template, 0 without one. Rows of equal id and text have equal
     results.
     """
-    found = spans(docs, phrases, notices).distinct()
+    found, grams = places(docs, PHRASES if phrases is None else phrases, NOTICES if notices is None else notices)
     base = F.col("is_phrase")
-    result = found.groupBy("doc_id", "text_hash").agg(
+    result = spans(found, grams).groupBy("doc_id", "text_hash").agg(
         F.count(F.when(base, 1)).alias("n_base"),
         F.min(F.when(base, F.col("first"))).alias("first_word"),
         F.max(F.when(base, F.col("first"))).alias("last_word"),
@@ -140,13 +135,9 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[s
         F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"),
         F.max("covered").alias("score"),
     )
-    result = result.withColumnsRenamed({"doc_id": "found_id", "text_hash": "found_hash"})
-    rows = docs.select(
-        "doc_id",
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"),
-        F.size(alnum_words(F.col("text"))).cast("long").alias("n_words"),
-    )
-    both = rows.join(result, rows.doc_id.eqNullSafe(F.col("found_id")) & (rows.text_hash == F.col("found_hash")), "left")
+    result = result.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
+    rows = found.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.count_if("first").alias("rows"))
+    both = rows.join(result, rows.doc_id.eqNullSafe(F.col("__id")) & (rows.text_hash == F.col("__hash")), "left")
     return both.select(
         "doc_id",
         "n_words",
@@ -156,4 +147,5 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[s
         F.coalesce("base_labels", F.lit("")).alias("base_labels"),
         F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
-    )
+        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("row"),
+    ).drop("row")
