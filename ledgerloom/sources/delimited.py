@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -12,38 +14,58 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerloom.sources.schemas import RAW_SCHEMAS
 
 
+def _first_line(spark: SparkSession, path) -> str:
+    """First line of a file, unpacked if its name says how; nothing else is read."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    stream = path.getFileSystem(conf).open(path)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(path)
+        plain = codec.createInputStream(stream) if codec is not None else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def _files_by_header(spark: SparkSession, path: str, sep: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a table by their header line; empty files have none and are left out."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for name in sorted(spark.read.text(path).inputFiles()):
+        file = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(name))
+        line = _first_line(spark, file).lstrip("\ufeff")
+        if line:
+            found.setdefault(tuple(next(csv.reader([line], delimiter=sep))), []).append(file.toString())
+    return found
+
+
 def read_delimited(spark: SparkSession, path: str, schema: StructType, sep: str = ";") -> DataFrame:
-    """Read a headed, optionally quoted text file with declared types, bound by header name.
+    """Read a headed, optionally quoted text table, one file or a folder of parts, with declared types.
 
-    An empty field is NULL, a field of blanks keeps its blanks, and a value that does not fit its
-    type aborts the read. Only the header line is looked at up front; nothing is inferred.
+    Every file is bound by its own header, so parts may differ in the order of columns and in columns
+    that are not declared; one that lacks a declared column is an error. An empty field is NULL, a
+    field of blanks keeps its blanks, and a value that does not fit its type aborts the read. Only the
+    header lines are looked at up front; nothing is inferred. A table without any header has no rows.
     """
-    options = {"sep": sep, "header": True, "quote": '"'}
-    header = spark.read.options(**options).csv(path).columns
     declared = {field.name.lower(): field for field in schema.fields}
-    missing = declared.keys() - {name.strip().lower() for name in header}
-    if missing:
-        raise ValueError(f"{path} lacks the columns {sorted(missing)}")
-    in_file_order = StructType(
-        [
-            StructField(name, declared[name.strip().lower()].dataType, True)
-            if name.strip().lower() in declared
-            else StructField(name, StringType(), True)
-            for name in header
-        ]
-    )
-    rows = (
-        spark.read.options(**options, mode="FAILFAST", nullValue="", enforceSchema=True)
-        .schema(in_file_order)
-        .csv(path)
-    )
-    by_name = {name.strip().lower(): name for name in header}
-    return rows.select(*[F.col(f"`{by_name[field.name.lower()]}`").alias(field.name) for field in schema.fields])
-
-
-def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
+    parts = []
+    for header, files in _files_by_header(spark, path, sep).items():
+        by_name = {name.strip().lower(): name for name in header}
+        if missing := declared.keys() - by_name.keys():
+            raise ValueError(f"{files[0]} lacks the columns {sorted(missing)}")
+        in_file_order = StructType(
+            [
+                StructField(name, declared[name.strip().lower()].dataType if name.strip().lower() in declared else StringType(), True)
+                for name in header
+            ]
+        )
+        rows = spark.read.options(sep=sep, header=True, quote='"', mode="FAILFAST", nullValue="", enforceSchema=True)
+        rows = rows.schema(in_file_order).csv(files)
+        parts.append(rows.select(*[F.col(f"`{by_name[f.name.lower()]}`").alias(f.name) for f in schema.fields]))
+    return reduce(DataFrame.unionAll, parts) if parts else spark.createDataFrame([], schema)
+
+
+def write_delimited(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite") -> None:
     """Write a headed text copy in parallel parts; blanks stay as they are, NULL becomes empty."""
-    df.write.mode("overwrite").options(
+    df.write.mode(mode).options(
         sep=sep,
         header=True,
         emptyValue="",

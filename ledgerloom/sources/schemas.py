@@ -29,9 +29,9 @@ RAW_SCHEMAS: dict[str, StructType] = {
         loan_id=_LONG,
         account_id=_LONG,
         date=_INT,
-        amount=DecimalType(12, 0),
+        amount=DecimalType(18, 0),
         duration=_INT,
-        payments=DecimalType(10, 2),
+        payments=DecimalType(18, 2),
         status=_TEXT,
     ),
     "order": _table(
@@ -39,7 +39,7 @@ RAW_SCHEMAS: dict[str, StructType] = {
         account_id=_LONG,
         bank_to=_TEXT,
         account_to=_TEXT,
-        amount=DecimalType(12, 2),
+        amount=DecimalType(18, 2),
         k_symbol=_TEXT,
     ),
     "district": _table(
@@ -66,8 +66,8 @@ RAW_SCHEMAS: dict[str, StructType] = {
         date=_INT,
         type=_TEXT,
         operation=_TEXT,
-        amount=DecimalType(12, 2),
-        balance=DecimalType(12, 2),
+        amount=DecimalType(18, 2),
+        balance=DecimalType(18, 2),
         k_symbol=_TEXT,
         bank=_TEXT,
         account=_TEXT,
@@ -83,3 +83,5 @@ CHECK_LOG_SCHEMA = _table(
     status=_TEXT,
     description=_TEXT,
 )
+
+CAUSES_SCHEMA = _table(check_name=_TEXT, likely_cause=_TEXT, treatment=_TEXT)

@@ -11,28 +11,80 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.session import shared_dir
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
+_CURRENT = "_CURRENT"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(conf), conf
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the folder that holds a table's rows now; None if it was never written."""
+    place, files, _ = _hadoop(spark, f"{path}/{_CURRENT}")
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+
+
+def _point_to(spark: SparkSession, path: str, version: str) -> None:
+    """Make a version the current one: a file of one line is written aside and moved over the old one."""
+    aside, files, conf = _hadoop(spark, f"{path}/{_CURRENT}-{uuid.uuid4().hex}")
+    stream = files.create(aside)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    replace = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    replace[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(aside.toUri(), conf).rename(aside, hadoop.Path(f"{path}/{_CURRENT}"), replace)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the table's current version."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no table was written to {path}")
+    return spark.read.parquet(f"{path}/{version}")
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
     """Replace the table at ``path`` and return it read back.
 
-    Overwriting goes through Spark's commit protocol: a failed write raises and leaves no
-    half-written rows, and running the same step twice gives the same table. The rows of before are
-    gone by then, as files have no transaction to roll back: run the step again. What is read back
-    has real file sizes, so later joins are planned on those.
+    The rows are written to a folder of their own, and a small pointer is moved to it last: until
+    then, and after a failed write, readers get the old rows. The version before stays for readers
+    that have begun; older ones are deleted. What is read back has real file sizes, so later joins are
+    planned on those.
     """
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    before = current_version(spark, path)
+    version = f"v-{uuid.uuid4().hex}"
+    df.write.parquet(f"{path}/{version}")
+    _point_to(spark, path, version)
+    folder, files, _ = _hadoop(spark, path)
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("v-") and name not in (version, before):
+            files.delete(status.getPath(), True)
+    return spark.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and continue from the files.
 
-    Cuts the lineage and freezes the rows, so a lost executor cannot change row placement.
+    Cuts the lineage and freezes the rows, so a lost executor cannot change row placement. The
+    application's folder can be deleted when it has ended.
     """
     spark = df.sparkSession
-    return write_table(df, f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}")
+    path = f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_dir(spark: SparkSession) -> str:

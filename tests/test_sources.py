@@ -5,7 +5,7 @@ from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, St
 from ledgerloom import session
 from ledgerloom.sources.delimited import locate_input, read_delimited, write_delimited
 from ledgerloom.sources.schemas import RAW_SCHEMAS
-from ledgerloom.sources.tables import in_parallel, stored, write_table
+from ledgerloom.sources.tables import in_parallel, read_table, stored, write_table
 
 SCHEMA = StructType(
     [
@@ -94,3 +94,36 @@ def test_schemas_cover_the_files():
     assert {name: len(schema) for name, schema in RAW_SCHEMAS.items()} == {
         "account": 4, "client": 3, "disp": 4, "card": 4, "loan": 7, "order": 6, "district": 16, "trans": 10}
     assert issubclass(AnalysisException, Exception)
+
+
+def test_parts_are_bound_by_their_own_headers(spark, tmp_path):
+    parts = tmp_path / "t.asc"
+    parts.mkdir()
+    write(parts / "part-0", "id;amount;k_symbol;n\n1;2.5;a;5\n")
+    write(parts / "part-1", '"n";"extra";"k_symbol";"amount";"ID"\n7;x;b;3;2\n')
+    write(parts / "part-2", "")
+    rows = read_delimited(spark, str(parts), SCHEMA).orderBy("id").collect()
+    assert [(r.id, float(r.amount), r.k_symbol, r.n) for r in rows] == [(1, 2.5, "a", 5), (2, 3.0, "b", 7)]
+
+
+def test_a_part_with_a_foreign_header_is_an_error(spark, tmp_path):
+    parts = tmp_path / "t.asc"
+    parts.mkdir()
+    write(parts / "part-0", "id;amount;k_symbol;n\n1;2.5;a;5\n")
+    write(parts / "part-1", "client;type\n1;x\n")
+    with pytest.raises(ValueError, match="amount"):
+        read_delimited(spark, str(parts), SCHEMA)
+
+
+def test_a_failed_rebuild_keeps_the_old_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(3), path)
+    bad = spark.range(5).selectExpr("IF(id = 4, raise_error('no'), id) AS id")
+    with pytest.raises(Exception, match="no"):
+        write_table(bad, path)
+    assert read_table(spark, path).count() == 3
+    reader = read_table(spark, path)
+    write_table(spark.range(7), path)
+    assert (reader.count(), read_table(spark, path).count()) == (3, 7)
+    with pytest.raises(FileNotFoundError):
+        read_table(spark, str(tmp_path / "none"))
