@@ -77,8 +77,9 @@ def run_checks(tables: Tables, checks: Sequence[Check], run_ts: dt.datetime | No
 
 
 def check_number(checks: Sequence[Check], name: Column) -> Column:
-    """Place of a check in the list it was run from."""
-    return F.array_position(F.array(*[F.lit(check.name) for check in checks]), name)
+    """Place of a check in a list; one that is not in it, such as a count asked for by the user, comes last."""
+    place = F.array_position(F.array(*[F.lit(check.name) for check in checks]), name)
+    return F.when(place > 0, place).otherwise(F.lit(len(checks) + 1))
 
 
 def failing(log: DataFrame) -> DataFrame:
@@ -94,5 +95,7 @@ def gate(log: DataFrame) -> None:
 
 
 def append_log(log: DataFrame, path: str) -> None:
-    """Add a run to the kept history, one folder per day of running."""
-    log.withColumn("run_date", F.to_date("run_ts")).write.mode("append").partitionBy("run_date").parquet(path)
+    """Add a run to the kept history, one folder per day and run; the same run again replaces itself."""
+    rows = log.withColumn("run_date", F.to_date("run_ts")).withColumn("run", F.date_format("run_ts", "HHmmss"))
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("run_date", "run").parquet(path)

@@ -71,6 +71,26 @@ def with_ntile(df: DataFrame, tiles: int, order: list[Column], name: str = "tile
     return placed.withColumn(name, tile.cast("int")).drop("position", "total")
 
 
+def average_ranks(counted: DataFrame, group: str, value: str, count: str) -> DataFrame:
+    """Adds ``rank``, the average rank (from 1) of the rows that hold a value, to distinct values with counts.
+
+    ``counted`` has one row per group and value. Values are numbered like rows above, so neither a
+    large group nor a frequent value gathers in one task.
+    """
+    ordered = _range_sorted(counted, [F.col(group), F.col(value)], "ranks")
+    parts = ordered.groupBy(group, "_part").agg(F.sum(count).alias("_rows"))
+    # At most one row per group and range partition.
+    before = F.sum("_rows").over(W.partitionBy(group).orderBy("_part")) - F.col("_rows")
+    offsets = parts.select(group, "_part", before.alias("_before"))
+    inside = W.partitionBy(group, "_part").orderBy("_local")
+    return (
+        ordered.join(F.broadcast(offsets), [group, "_part"])
+        .withColumn("_to", F.col("_before") + F.sum(count).over(inside))
+        .withColumn("rank", F.col("_to") - (F.col(count) - 1) / 2)
+        .drop("_part", "_local", "_before", "_to")
+    )
+
+
 def exact_medians(df: DataFrame, columns: list[str]) -> DataFrame:
     """Exact median of each numeric column: rows (metric, row_count, median), NULLs left out.
 

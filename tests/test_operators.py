@@ -246,3 +246,31 @@ def test_published_p_values(spark):
     t = F.col("rho") * F.sqrt(F.lit(63.0) / (1 - F.col("rho") * F.col("rho")))
     for row in df.select("p", student_t_two_sided(t, F.lit(63.0)).alias("mine")).collect():
         assert row.mine == pytest.approx(row.p, abs=1e-3)
+
+
+def test_rank_correlation_counts_ties_before_ranking(spark):
+    """A value that nearly all rows hold, and only one degree of freedom."""
+    tied = spark.range(20_000).selectExpr("CAST(IF(id < 19990, 0, id % 7) AS DOUBLE) AS x", "CAST(id % 11 AS DOUBLE) AS y")
+    rows = [(r.x, r.y) for r in tied.collect()]
+    got = rank_correlation(tied, ["x"], "y").head()
+    at = {k: {} for k in (0, 1)}
+    for k in (0, 1):
+        values = sorted(r[k] for r in rows)
+        for v in set(values):
+            low, n = values.index(v), values.count(v)
+            at[k][v] = low + (n + 1) / 2
+    mean = (len(rows) + 1) / 2
+    a, b = ([at[k][r[k]] - mean for r in rows] for k in (0, 1))
+    rho = sum(p * q for p, q in zip(a, b, strict=True)) / math.sqrt(sum(p * p for p in a) * sum(q * q for q in b))
+    assert (got.pairs, got.rho) == (20_000, pytest.approx(rho, abs=1e-12))
+    three = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0), (3.0, 3.0)], "x double, y double")
+    assert rank_correlation(three, ["x"], "y").head().p_value == pytest.approx(2 / 3, abs=1e-6)
+
+
+def test_a_count_asked_for_by_the_user_comes_after_the_checks(spark):
+    from ledgerloom.operators.checks import check_number
+    from ledgerloom.plans.quality import BANK_CHECKS
+
+    log = spark.createDataFrame([("ROWS_CARD",), (BANK_CHECKS[-1].name,), (BANK_CHECKS[0].name,)], "name string")
+    names = [r.name for r in log.orderBy(check_number(BANK_CHECKS, F.col("name"))).collect()]
+    assert names == [BANK_CHECKS[0].name, BANK_CHECKS[-1].name, "ROWS_CARD"]
