@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Iterator, Mapping, Sequence
 from functools import cached_property
 
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.operators.checks import Check
 from ledgerloom.operators.dedupe import Split
+from ledgerloom.plans import fixed_values as fixed
 from ledgerloom.plans import marts, staging
 from ledgerloom.plans.quality import bank_check_log, unreconciled
 from ledgerloom.plans.views import VIEWS
@@ -37,19 +39,33 @@ TABLE_NAMES = (
 class Bank(Mapping[str, DataFrame]):
     """Lookup of tables by name; ``bank["mart_account_360"]`` writes what it needs below ``folder``.
 
-    ``raw`` holds the eight raw tables under their file names. Tables are replaced as a whole, so
-    a run can be repeated.
+    ``raw`` holds the eight raw tables under their file names, ``months`` the first and last month of
+    the month table. Tables are replaced as a whole, so a run can be repeated. A table is built by one
+    thread; others that ask for it wait.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], folder: str):
+    def __init__(
+        self,
+        raw: Mapping[str, DataFrame],
+        folder: str,
+        months: tuple[str, str] = (fixed.FIRST_MONTH, fixed.LAST_MONTH),
+    ):
         self._raw = raw
         self._folder = folder.rstrip("/")
+        self.months = months
         self._done: dict[str, DataFrame] = {}
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.RLock] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._done:
-            self._done[name] = write_table(self._build(name), f"{self._folder}/{name}")
-        return self._done[name]
+        with self._lock(name):
+            if name not in self._done:
+                self._done[name] = write_table(self._build(name), f"{self._folder}/{name}")
+            return self._done[name]
+
+    def _lock(self, name: str) -> threading.RLock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.RLock())
 
     def __iter__(self) -> Iterator[str]:
         return iter([*(f"raw_{name}" for name in self._raw), *TABLE_NAMES, *VIEWS])
@@ -57,8 +73,13 @@ class Bank(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._raw) + len(TABLE_NAMES) + len(VIEWS)
 
-    @cached_property
+    @property
     def _trans(self) -> Split:
+        with self._lock("split"):
+            return self._split
+
+    @cached_property
+    def _split(self) -> Split:
         return staging.split_trans(self["raw_trans"])
 
     def _build(self, name: str) -> DataFrame:
@@ -73,7 +94,7 @@ class Bank(Mapping[str, DataFrame]):
         if name == "unreconciled_accounts":
             return unreconciled(self["stg_trans"])
         if name == "mart_account_month":
-            return marts.build_account_month(self["stg_account"], self["stg_trans"])
+            return marts.build_account_month(self["stg_account"], self["stg_trans"], *self.months)
         if name == "mart_account_360":
             base = marts.account_base(
                 self["stg_account"],
@@ -106,6 +127,7 @@ class Bank(Mapping[str, DataFrame]):
 
     def check_log(self, run_ts: dt.datetime | None = None, more: Sequence[Check] = ()) -> DataFrame:
         """Result of all checks; the first call runs them and writes the log."""
-        if "dq_log" not in self._done:
-            self._done["dq_log"] = write_table(bank_check_log(self, run_ts, more), f"{self._folder}/dq_log")
-        return self._done["dq_log"]
+        with self._lock("dq_log"):
+            if "dq_log" not in self._done:
+                self._done["dq_log"] = write_table(bank_check_log(self, run_ts, more), f"{self._folder}/dq_log")
+            return self._done["dq_log"]

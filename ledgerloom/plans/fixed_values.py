@@ -80,6 +80,7 @@ CHECK_TEXTS = {
     "CARD_BEFORE_ACCOUNT_OPEN": "Cards issued before the account was opened",
     "TXN_BEFORE_ACCOUNT_OPEN": "Transactions dated before the account was opened",
     "CLIENT_INVALID_BIRTH_DATE": "Clients whose derived birth date is not a valid date",
+    "LOAN_MULTIPLE_PER_ACCOUNT": "Accounts with more than one loan",
     "RECON_RAW_VS_STG_TRANS": "raw rows must equal staging + rejected rows",
     "RECON_ACCOUNT_MONTH_SPINE": "Every account must appear in the account-360 mart",
 }

@@ -12,8 +12,10 @@ from ledgerloom.operators.ordering import with_ntile
 from ledgerloom.plans import fixed_values as fixed
 
 
-def build_account_month(accounts: DataFrame, trans: DataFrame) -> DataFrame:
-    return account_month(accounts, trans, first=fixed.FIRST_MONTH, last=fixed.LAST_MONTH)
+def build_account_month(
+    accounts: DataFrame, trans: DataFrame, first: str = fixed.FIRST_MONTH, last: str = fixed.LAST_MONTH
+) -> DataFrame:
+    return account_month(accounts, trans, first=first, last=last)
 
 
 def owners(disp: DataFrame, client: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The 24 checks of the bank tables, in report order."""
+"""The checks of the bank tables, in report order."""
 
 from __future__ import annotations
 
@@ -98,6 +98,7 @@ BANK_CHECKS: list[Check] = [
     _check("TXN_BEFORE_ACCOUNT_OPEN", "stg", _before_opening(lambda t: t["stg_trans"], "txn_date")),
     # Stricter than a lenient date function: a 31st of February counts.
     _check("CLIENT_INVALID_BIRTH_DATE", "stg", RowRule("stg_client", lambda: F.col("birth_date").isNull())),
+    _check("LOAN_MULTIPLE_PER_ACCOUNT", "raw", lambda t: repeated_groups(t["raw_loan"], ["account_id"])),
     # Reconciliation.
     _check(
         "RECON_RAW_VS_STG_TRANS", "recon", lambda t: row_count_gap(t["raw_trans"], t["stg_trans"], t["rej_trans"])
@@ -145,17 +146,57 @@ def raw_row_counts(t: Tables) -> DataFrame:
 
 def unparsed_dates(t: Tables) -> DataFrame:
     """Per date column the raw values that are present but no date, and so leave the date checks."""
+    # Rejected rows are raw rows that are not staged.
     pairs = [
-        ("raw_account", "date", "stg_account", "open_date"),
-        ("raw_loan", "date", "stg_loan", "loan_date"),
-        ("raw_card", "issued", "stg_card", "issued_date"),
+        ("raw_account", "date", "stg_account", "open_date", None),
+        ("raw_loan", "date", "stg_loan", "loan_date", None),
+        ("raw_card", "issued", "stg_card", "issued_date", None),
+        ("raw_trans", "date", "stg_trans", "txn_date", "rej_trans"),
     ]
     log = None
-    for raw, raw_column, staged, column in pairs:
-        present = t[raw].agg(F.count(raw_column).alias("present"))
-        parsed = t[staged].agg((-F.count(column)).alias("present"))
-        part = present.unionAll(parsed).agg(
+    for raw, raw_column, staged, column, rejected in pairs:
+        counts = t[raw].agg(F.count(raw_column).alias("present"))
+        counts = counts.unionAll(t[staged].agg((-F.count(column)).alias("present")))
+        if rejected:
+            counts = counts.unionAll(t[rejected].agg((-F.count(raw_column)).alias("present")))
+        part = counts.agg(
             F.lit(f"{staged}.{column}").alias("column_name"), F.sum("present").alias("unparsed_rows")
         )
         log = part if log is None else log.unionAll(part)
     return log
+
+
+def postings_by_spine(t: Tables, first: str, last: str) -> DataFrame:
+    """How many staged postings the month table counts, and how many it leaves out for which reason.
+
+    Rows (place, postings), also for places without postings; they add up to all staged postings.
+    Postings are counted by account and month first, so the join moves aggregated rows only.
+    """
+    months = t["stg_trans"].groupBy("account_id", F.trunc("txn_date", "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    opened = t["stg_account"].select(F.col("account_id").alias("_account"), F.trunc("open_date", "month").alias("_opened"), F.lit(True).alias("_known"))
+    joined = months.join(opened, F.col("account_id") == F.col("_account"), "left")
+    month, start, end = F.col("month"), F.lit(first).cast("date"), F.lit(last).cast("date")
+    place = (
+        F.when(F.col("_known").isNull(), "unknown account")
+        .when(F.col("_opened").isNull(), "account without opening date")
+        .when(month.isNull(), "undated")
+        .when(month < start, "before the first month")
+        .when(month > end, "after the last month")
+        .when(month < F.col("_opened"), "before opening")
+        .otherwise("in the month table")
+    )
+    counted = joined.groupBy(place.alias("place")).agg(F.sum("n").alias("n"))
+    places = F.array(*[F.lit(name) for name in SPINE_PLACES])
+    every = t["stg_account"].sparkSession.range(1).select(F.explode(places).alias("place"))
+    return every.join(counted, "place", "left").select("place", F.coalesce("n", F.lit(0)).cast("long").alias("postings"))
+
+
+SPINE_PLACES = (
+    "in the month table",
+    "unknown account",
+    "account without opening date",
+    "undated",
+    "before the first month",
+    "after the last month",
+    "before opening",
+)

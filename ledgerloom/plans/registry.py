@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, DecimalType
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from ledgerloom.operators.balances import balance_gaps
-from ledgerloom.operators.checks import failing, run_checks
+from ledgerloom.operators.checks import append_log, failing, run_checks
 from ledgerloom.plans import evidence, insights, kpis, star_queries
 from ledgerloom.plans.bank import TABLE_NAMES, Bank
-from ledgerloom.plans.quality import SHORT_CHECKS, raw_row_counts, unparsed_dates
+from ledgerloom.plans.quality import SHORT_CHECKS, postings_by_spine, raw_row_counts, unparsed_dates
 from ledgerloom.plans.star import raw_bank_tables
-from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region
+from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region, register_views
+from ledgerloom.sources.delimited import read_delimited, write_delimited
+from ledgerloom.sources.schemas import CAUSES_SCHEMA
 from ledgerloom.sources.tables import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +41,7 @@ def forget_banks() -> None:
 
 
 def _edge(df: DataFrame) -> DataFrame:
-    """Values as they leave: decimals as doubles, dates as ISO text."""
+    """Values as they leave: decimals as doubles, dates and times as ISO text."""
 
     def out(field):
         column = F.col(f"`{field.name}`")
@@ -45,6 +49,8 @@ def _edge(df: DataFrame) -> DataFrame:
             column = column.cast("double")
         elif isinstance(field.dataType, DateType):
             column = F.date_format(column, "yyyy-MM-dd")
+        elif isinstance(field.dataType, TimestampType | TimestampNTZType):
+            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
         return column.alias(field.name)
 
     return df.select(*[out(field) for field in df.schema.fields])
@@ -70,6 +76,39 @@ def _log_columns(log: DataFrame) -> DataFrame:
     return log.drop("run_ts")
 
 
+def _known_causes(log: DataFrame) -> DataFrame:
+    """What a user of the job might supply: two of the checks are explained, one twice."""
+    rows = [
+        ("TXN_DUPLICATE_POSTING", "second posting made for the query", "rejected"),
+        ("NEGATIVE_BALANCE_TXNS", "orders outweigh payments", "kept"),
+        ("NEGATIVE_BALANCE_TXNS", "closing sum is reported on each posting", "kept"),
+    ]
+    return log.sparkSession.createDataFrame(rows, CAUSES_SCHEMA)
+
+
+def _history(spark: SparkSession, folder: str) -> DataFrame:
+    """Checks kept per run after two runs, of which one was appended twice."""
+    log, place = bank(spark, folder).check_log(), f"{run_dir(spark)}/history-{uuid.uuid4().hex}"
+    for stamp in ("2024-05-06 07:08:09", "2024-05-07 00:00:01", "2024-05-06 07:08:09"):
+        append_log(log.withColumn("run_ts", F.lit(stamp).cast("timestamp")), place)
+    kept = spark.read.parquet(place)
+    return kept.groupBy(F.col("run_ts").cast("string").alias("run")).agg(F.count(F.lit(1)).alias("checks"))
+
+
+def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    """The views as registered in the session, with their numbers of rows."""
+    names = register_views(spark, bank(spark, folder))
+    counts = [spark.table(name).agg(F.lit(name).alias("view"), F.count(F.lit(1)).alias("rows")) for name in sorted(names)]
+    return reduce(DataFrame.unionAll, counts)
+
+
+def _export(spark: SparkSession, folder: str) -> DataFrame:
+    """The loan watchlist as exported text, read back."""
+    rows, place = bank(spark, folder)["vw_loan_watchlist"], f"{run_dir(spark)}/export-{uuid.uuid4().hex}"
+    write_delimited(rows, place)
+    return read_delimited(spark, place, rows.schema, sep=",")
+
+
 STAR_QUERIES: dict[str, Query] = {
     name: _on_star(getattr(star_queries, name))
     for name in (
@@ -90,6 +129,7 @@ STAR_QUERIES: dict[str, Query] = {
         "orders_growth",
         "orders_growth_by_status",
         "nation_correlations",
+        "line_correlations",
         "portfolio_by_region",
         "star_check_log",
     )
@@ -103,12 +143,13 @@ BANK_QUERIES: dict[str, Query] = {
     "dq_log_short": _on_bank(lambda b: _log_columns(run_checks(b, SHORT_CHECKS))),
     "dq_alert_rows": _on_log(lambda log: failing(log).select("check_name", "failed_rows")),
     "dq_unparsed_dates": _on_bank(unparsed_dates),
+    "dq_postings_outside_spine": _on_bank(lambda b: postings_by_spine(b, *b.months)),
     "raw_row_counts": _on_bank(raw_row_counts),
     "top_failing_checks": _on_log(insights.top_failing_checks),
     "rca_status_summary": _on_log(evidence.status_counts),
     "rca_open_checks": _on_log(evidence.open_checks),
     "rca_passed_list": _on_log(evidence.passed_list),
-    "rca_causes": _on_log(evidence.causes),
+    "rca_causes": _on_log(lambda log: evidence.causes(log, _known_causes(log))),
     "rca_missing_district_values": _on_bank(evidence.missing_district_values),
     "rca_symbol_encodings": _on_bank(evidence.symbol_encodings),
     "rca_legacy_codes_by_year": _on_bank(evidence.legacy_codes_by_year),
@@ -135,6 +176,9 @@ BANK_QUERIES: dict[str, Query] = {
     "dash_bad_amount_rate_by_duration": _on_bank(lambda b: insights.bad_amount_rate(b, "duration_months")),
     "dash_unemployment_and_bad_rate": _on_bank(insights.unemployment_and_bad_rate),
     "dash_balance_growth": _on_bank(insights.balance_growth),
+    "exported_watchlist": _on_star(_export),
+    "history_runs": _history,
+    "registered_views": _catalogue,
     "delimited_round_trip": lambda spark, folder: _edge(
         star_queries.delimited_round_trip(spark, bank(spark, folder)["raw_trans"])
     ),

@@ -6,7 +6,6 @@ doubles and dates as ISO text, as in the registered Spark queries.
 
 from __future__ import annotations
 
-from ledgerloom.plans.evidence import CAUSES
 from ledgerloom.plans.fixed_values import CHECK_TEXTS
 from ledgerloom.plans.star import RAW_QUERIES, STAR_TABLES
 
@@ -62,7 +61,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         f"""SELECT loan_id, account_id, amount, duration AS duration_months, payments AS monthly_payment, status,
                    map {{'A': 'Finished, paid', 'B': 'Finished, unpaid', 'C': 'Running, OK', 'D': 'Running, in debt'}}[status]
                      AS status_desc,
-                   CAST(COALESCE(contains('BD', status), FALSE) AS INTEGER) AS is_bad, {_YYMMDD} AS loan_date
+                   CAST(COALESCE(status IN ('B', 'D'), FALSE) AS INTEGER) AS is_bad, {_YYMMDD} AS loan_date
             FROM raw_loan""",
     ),
     "stg_order": (
@@ -74,12 +73,12 @@ CTES: dict[str, tuple[list[str], str]] = {
     ),
     "numbered": (
         ["raw_trans"],
-        """SELECT *, rank() OVER (PARTITION BY account_id, date, type, operation, amount, balance, k_symbol
-                                  ORDER BY trans_id) AS place FROM raw_trans""",
+        """SELECT *, row_number() OVER (PARTITION BY account_id, date, type, operation, amount, balance, k_symbol
+                                        ORDER BY trans_id) AS place FROM raw_trans""",
     ),
     "stg_trans": (
         ["numbered"],
-        f"""SELECT trans_id, account_id, {_YYMMDD} AS txn_date, replace(type, 'VYBER', 'VYDAJ') AS txn_type,
+        f"""SELECT trans_id, account_id, {_YYMMDD} AS txn_date, CASE WHEN type = 'VYBER' THEN 'VYDAJ' ELSE type END AS txn_type,
                    ifnull(operation, 'NOT_APPLICABLE') AS operation, amount,
                    amount * (2 * CAST(type IS NOT DISTINCT FROM 'PRIJEM' AS INTEGER) - 1) AS signed_amount,
                    balance AS balance_reported,
@@ -182,14 +181,14 @@ CTES: dict[str, tuple[list[str], str]] = {
     ),
 }
 
-_MISSING_PARTNER = "operation LIKE 'PREVOD %' AND (bank IS NULL OR account IS NULL)"
+_MISSING_PARTNER = "operation IN ('PREVOD NA UCET', 'PREVOD Z UCTU') AND (bank IS NULL OR account IS NULL)"
 
 # check -> (layer, severity, tables, query for the number of failing rows)
 CHECKS: dict[str, tuple[str, str, list[str], str]] = {
     "DISTRICT_MISSING_VALUE": (
         "raw", "FAIL", ["raw_district"], "SELECT COUNT(*) FROM raw_district WHERE '?' IN (trim(A12), trim(A15))"),
     "TXN_SYMBOL_INCONSISTENT_ENCODING": (
-        "raw", "FAIL", ["raw_trans"], "SELECT COUNT(*) FROM raw_trans WHERE regexp_full_match(k_symbol, ' *')"),
+        "raw", "FAIL", ["raw_trans"], "SELECT COUNT(*) FROM raw_trans WHERE k_symbol IS NOT NULL AND trim(k_symbol) = ''"),
     "TXN_LEGACY_TYPE_CODE": ("raw", "FAIL", ["raw_trans"], "SELECT COUNT(*) FROM raw_trans WHERE type = 'VYBER'"),
     "TXN_ZERO_AMOUNT": ("raw", "FAIL", ["raw_trans"], "SELECT COUNT(*) FROM raw_trans WHERE NOT amount > 0"),
     "TXN_DUPLICATE_POSTING": ("raw", "FAIL", ["rej_trans"], "SELECT COUNT(*) FROM rej_trans"),
@@ -239,6 +238,9 @@ CHECKS: dict[str, tuple[str, str, list[str], str]] = {
         "SELECT COUNT(*) FROM stg_trans JOIN stg_account USING (account_id) WHERE open_date > txn_date"),
     "CLIENT_INVALID_BIRTH_DATE": (
         "stg", "FAIL", ["stg_client"], "SELECT COUNT(*) - COUNT(birth_date) FROM stg_client"),
+    "LOAN_MULTIPLE_PER_ACCOUNT": (
+        "raw", "FAIL", ["raw_loan"],
+        "SELECT COUNT(*) FROM (SELECT account_id FROM raw_loan GROUP BY account_id HAVING COUNT(*) > 1)"),
     "RECON_RAW_VS_STG_TRANS": (
         "recon", "FAIL", ["raw_trans", "stg_trans", "rej_trans"],
         "SELECT abs((SELECT COUNT(*) FROM raw_trans) - (SELECT COUNT(*) FROM stg_trans) - (SELECT COUNT(*) FROM rej_trans))"),
@@ -336,7 +338,9 @@ FROM (SELECT unnest([
   {'no': 9, 'kpi': 'DQ warnings', 'digits': '0',
    'value': (SELECT CAST(COUNT(*) AS DOUBLE) FROM dq_log WHERE status = 'WARN')}], recursive := true))"""
 
-_CAUSE_ROWS = ", ".join(f"('{name}', '{why}', '{what}')" for name, (why, what) in CAUSES.items())
+_CAUSE_ROWS = """('TXN_DUPLICATE_POSTING', 'second posting made for the query', 'rejected'),
+              ('NEGATIVE_BALANCE_TXNS', 'orders outweigh payments', 'kept'),
+              ('NEGATIVE_BALANCE_TXNS', 'closing sum is reported on each posting', 'kept')"""
 
 BANK_SQL: dict[str, str] = {
     "stg_district": query(
@@ -377,6 +381,9 @@ BANK_SQL: dict[str, str] = {
     "vw_loan_watchlist": query(
         f"""SELECT * REPLACE ({_iso('loan_date')}, {_d('amount')}, {_d('monthly_payment')}, {_d('balance_dec98')})
             FROM watchlist""", "watchlist"),
+    "exported_watchlist": query(
+        f"""SELECT * REPLACE ({_iso('loan_date')}, {_d('amount')}, {_d('monthly_payment')}, {_d('balance_dec98')})
+            FROM watchlist""", "watchlist"),
     "vw_district_scorecard": query(f"SELECT * REPLACE ({_d('unemployment_96')}) FROM scorecard", "scorecard"),
     "vw_card_summary": query(
         """SELECT ifnull(top_card, 'no card') AS card_type, tier, COUNT(*) AS accounts,
@@ -404,8 +411,24 @@ BANK_SQL: dict[str, str] = {
            UNION ALL SELECT 'stg_loan.loan_date',
                   (SELECT COUNT(date) FROM raw_loan) - (SELECT COUNT(loan_date) FROM stg_loan)
            UNION ALL SELECT 'stg_card.issued_date',
-                  (SELECT COUNT(issued) FROM raw_card) - (SELECT COUNT(issued_date) FROM stg_card)""",
-        "raw_account", "raw_loan", "raw_card", "stg_account", "stg_loan", "stg_card"),
+                  (SELECT COUNT(issued) FROM raw_card) - (SELECT COUNT(issued_date) FROM stg_card)
+           UNION ALL SELECT 'stg_trans.txn_date', (SELECT COUNT(*) FROM stg_trans s JOIN raw_trans r USING (trans_id)
+                  WHERE r.date IS NOT NULL AND s.txn_date IS NULL)""",
+        "raw_account", "raw_loan", "raw_card", "stg_account", "stg_loan", "stg_card", "raw_trans", "stg_trans"),
+    "dq_postings_outside_spine": query(
+        """SELECT place, COUNT(trans_id) AS postings FROM (VALUES ('in the month table'), ('unknown account'),
+                  ('account without opening date'), ('undated'), ('before the first month'), ('after the last month'),
+                  ('before opening')) p(place)
+           LEFT JOIN (SELECT trans_id, CASE WHEN a.account_id IS NULL THEN 'unknown account'
+                             WHEN open_date IS NULL THEN 'account without opening date' WHEN txn_date IS NULL THEN 'undated'
+                             WHEN txn_date < DATE '1993-01-01' THEN 'before the first month'
+                             WHEN txn_date >= DATE '1999-01-01' THEN 'after the last month'
+                             WHEN last_day(txn_date) < open_date THEN 'before opening' ELSE 'in the month table' END AS place
+                      FROM stg_trans t LEFT JOIN stg_account a ON a.account_id = t.account_id) USING (place) GROUP BY place""",
+        "stg_trans", "stg_account"),
+    "history_runs": query(
+        """SELECT run, (SELECT COUNT(*) FROM dq_log) AS checks
+           FROM (VALUES ('2024-05-06 07:08:09'), ('2024-05-07 00:00:01')) v(run)""", "dq_log"),
     "top_failing_checks": query(
         """SELECT check_name, failed_rows, description FROM dq_log WHERE status = 'FAIL'
            ORDER BY failed_rows DESC, check_name LIMIT 3""", "dq_log"),
@@ -509,3 +532,15 @@ BANK_SQL: dict[str, str] = {
            FROM (SELECT month, total, lag(total) OVER (ORDER BY month) AS before
                  FROM (SELECT month, SUM(total_balance) AS total FROM trend GROUP BY month))""", "trend"),
 }
+
+BANK_SQL["registered_views"] = query(
+    """SELECT 'vw_balance_trend_monthly' AS view, COUNT(*) AS rows FROM trend
+       UNION ALL SELECT 'vw_tier_summary', COUNT(*) FROM tiers
+       UNION ALL SELECT 'vw_cashflow_monthly', COUNT(*) FROM (
+           SELECT DISTINCT strftime(txn_date, '%Y-%m'), txn_type, operation, k_symbol FROM stg_trans)
+       UNION ALL SELECT 'vw_loan_portfolio', COUNT(*) FROM portfolio
+       UNION ALL SELECT 'vw_loan_watchlist', COUNT(*) FROM watchlist
+       UNION ALL SELECT 'vw_district_scorecard', COUNT(*) FROM scorecard
+       UNION ALL SELECT 'vw_card_summary', COUNT(*) FROM (SELECT DISTINCT top_card, tier FROM mart_account_360)
+       UNION ALL SELECT 'vw_standing_orders', COUNT(*) FROM (SELECT DISTINCT purpose FROM stg_order)""",
+    "trend", "tiers", "stg_trans", "portfolio", "watchlist", "scorecard", "mart_account_360", "stg_order")

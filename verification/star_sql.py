@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from verification.bank_sql import RHO_P, query
 
-_SIGNED = "CAST(o_totalprice AS DECIMAL(12,2)) * CASE o_orderstatus WHEN 'F' THEN 1 ELSE -1 END"
+_SIGNED = "CAST(o_totalprice AS DECIMAL(18,2)) * CASE o_orderstatus WHEN 'F' THEN 1 ELSE -1 END"
 _SPINE = """
     SELECT account_id, strftime(m, '%Y-%m') AS month
     FROM (SELECT o_custkey AS account_id, MIN(o_orderdate) AS opened FROM orders GROUP BY o_custkey),
-         range(TIMESTAMP '1995-01-01', TIMESTAMP '2001-09-01', INTERVAL 1 MONTH) r(m)
+         (SELECT unnest(generate_series(date_trunc('month', MIN(o_orderdate)), date_trunc('month', MAX(o_orderdate)),
+                                        INTERVAL 1 MONTH)) AS m FROM orders)
     WHERE m >= date_trunc('month', opened)"""
 _FLOWS = f"""
     SELECT o_custkey AS account_id, strftime(o_orderdate, '%Y-%m') AS month,
@@ -16,10 +17,10 @@ _FLOWS = f"""
            SUM(v) AS net_flow, COUNT(*) AS txn_count
     FROM (SELECT *, {_SIGNED} AS v FROM orders) GROUP BY ALL"""
 _EVENTS = """
-    SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d') AS day, value,
+    SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, user_id, event_type, value, props, strftime(ts, '%Y-%m-%d') AS day,
            row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS place FROM events"""
 _LINES = """
-    SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate),
+    SELECT * REPLACE (strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS l_shipdate),
            row_number() OVER (PARTITION BY l_orderkey, l_linenumber
              ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
                       l_linestatus) AS place FROM lineitem"""
@@ -29,10 +30,10 @@ _GROWTH = """
     FROM monthly a LEFT JOIN monthly b ON {on} strptime(b.month || '-01', '%Y-%m-%d') + INTERVAL 1 MONTH
                                                = strptime(a.month || '-01', '%Y-%m-%d')"""
 _MONTHLY = """WITH monthly AS (SELECT {by} strftime(o_orderdate, '%Y-%m') AS month,
-    SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS total FROM orders GROUP BY ALL)"""
+    SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY ALL)"""
 
 _NATIONS = """
-    SELECT c_nationkey, COUNT(*) AS customers, CAST(SUM(CAST(c_acctbal AS DECIMAL(12,2))) AS DOUBLE) AS balance,
+    SELECT c_nationkey, COUNT(*) AS customers, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance,
            COUNT(*) FILTER (c_acctbal < 0) AS in_debt,
            (SELECT round(100.0 * COUNT(*) FILTER (o_orderstatus = 'F') / COUNT(*), 1)
             FROM orders JOIN customer i ON i.c_custkey = o_custkey WHERE i.c_nationkey = o.c_nationkey) AS share
@@ -66,8 +67,8 @@ _CHECKS = [
      "SELECT COUNT(*) FROM lineitem, orders WHERE o_orderkey = l_orderkey AND l_shipdate < o_orderdate"),
     ("ORDER_TOTAL_ARITHMETIC", "stg", "FAIL", "orders whose lines differ from the total by >1%",
      """SELECT COUNT(*) FROM (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_totalprice
-        HAVING abs(SUM(CAST(l_extendedprice AS DECIMAL(12,2))) - CAST(o_totalprice AS DECIMAL(12,2))) * 100
-               > CAST(o_totalprice AS DECIMAL(12,2)))"""),
+        HAVING abs(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) - CAST(o_totalprice AS DECIMAL(18,2))) * 100
+               > CAST(o_totalprice AS DECIMAL(18,2)))"""),
     ("RECON_LINES", "recon", "FAIL", "lines by return flag must add up to all lines",
      "SELECT COUNT(*) FROM lineitem WHERE l_returnflag IS NULL OR l_returnflag NOT IN ('A', 'N', 'R')"),
 ]
@@ -115,7 +116,7 @@ STAR_SQL: dict[str, str] = {
               ON l_quantity, l_extendedprice, l_discount INTO NAME metric VALUE value) GROUP BY metric""",
     "orders_balance_gaps": f"""
         SELECT o_custkey AS account_id, COUNT(*) AS n_rows_last_day,
-               CAST(MIN(abs(total - CAST(o_totalprice AS DECIMAL(12,2)))) AS DOUBLE) AS diff, n_txn
+               CAST(MIN(abs(total - CAST(o_totalprice AS DECIMAL(18,2)))) AS DOUBLE) AS diff, n_txn
         FROM (SELECT *, SUM({_SIGNED}) OVER w AS total, MAX(o_orderdate) OVER w AS last_day, COUNT(*) OVER w AS n_txn
               FROM orders WINDOW w AS (PARTITION BY o_custkey))
         WHERE o_orderdate = last_day GROUP BY o_custkey, n_txn""",
@@ -125,12 +126,18 @@ STAR_SQL: dict[str, str] = {
     "nation_correlations": RHO_P.format(
         name="metric", count="pairs", rho="rho",
         source=" UNION ALL ".join(_NATION_RHO.format(m=m) for m in ("customers", "balance", "in_debt"))),
+    "line_correlations": RHO_P.format(
+        name="metric", count="pairs", rho="rho", source=" UNION ALL ".join(
+            f"""SELECT '{m}' AS metric, COUNT(*) AS pairs, corr(rx, ry) AS rho
+                FROM (SELECT rank() OVER (ORDER BY {m}) + (COUNT(*) OVER (PARTITION BY {m}) - 1) / 2.0 AS rx,
+                             rank() OVER (ORDER BY l_extendedprice) + (COUNT(*) OVER (PARTITION BY l_extendedprice) - 1) / 2.0 AS ry
+                      FROM lineitem)""" for m in ("l_quantity", "l_discount", "l_tax"))).replace("round(rho, 2)", "round(rho, 6)"),
     "portfolio_by_region": """
         SELECT r_name AS region, COUNT(*) AS orders, CAST(SUM(amount) AS DOUBLE) AS amount,
                CAST(SUM(amount) FILTER (o_orderstatus = 'P') AS DOUBLE) AS pending_amount,
                CAST(CAST(100.0 * CAST(SUM(amount) FILTER (o_orderstatus = 'P') AS DOUBLE) / CAST(SUM(amount) AS DOUBLE)
                          AS DECIMAL(5,1)) AS DOUBLE) AS pending_pct
-        FROM (SELECT *, CAST(o_totalprice AS DECIMAL(12,2)) AS amount FROM orders)
+        FROM (SELECT *, CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders)
         JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
         JOIN region ON r_regionkey = n_regionkey GROUP BY r_name""",
     "star_check_log": f"""
