@@ -67,8 +67,9 @@ def delete_folder(spark: SparkSession, path: str) -> None:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """The planner's estimate from file sizes; reads nothing."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """The planner's estimate from file sizes, 0 if it has none; reads nothing."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 57 else 0  # rows that are in no file count as the largest long each
 
 
 def partitions_for(df: DataFrame, mb_each: int = 64) -> int:

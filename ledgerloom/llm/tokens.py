@@ -26,6 +26,9 @@ PIECES = re.compile(r"\s*\S+|\s+")
 #: White space for Python, but not for the library's patterns.
 _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
+#: Beyond the Latin letters character classes depend on the Unicode version, so the library splits the piece itself.
+_LATIN = "\u024f"
+
 CACHED_PIECES = 1_000_000
 
 
@@ -85,9 +88,10 @@ class Encoder:
         self._plain = _Pieces(self._encode_piece, "", strict=False)
 
     def _encode_piece(self, piece: str) -> bytes:
+        if not piece.isascii() and max(piece) > _LATIN:
+            return self._encode_whole(piece)
         if self.kind == "words":
-            piece = unicodedata.normalize("NFC", piece)
-            piece = piece.lower() if "Σ" not in piece else "".join(map(str.lower, piece))
+            piece = unicodedata.normalize("NFC", piece).lower()
         tokenize, letters = self._model.tokenize, self._letters
         return b"".join(
             [
@@ -97,11 +101,14 @@ class Encoder:
             ]
         )
 
+    def _encode_whole(self, text: str) -> bytes:
+        return np.asarray(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode_bytes(self, text: str) -> bytes:
         if not text:
             return b""
         if self.kind == "other" or any(c in text for c in _ODD):
-            return np.asarray(self._whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return self._encode_whole(text)
         if self.kind == "words":
             return b"".join(map(self._plain.__getitem__, text.split()))
         first, *rest = text.split(" ")
