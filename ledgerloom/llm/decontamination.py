@@ -17,14 +17,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import NOT_ALNUM, Workspace, alnum_words
+from ledgerloom.llm.common import Workspace, alnum_words
 from ledgerloom.llm.grams import find_grams
 
 WINDOW = 13
 WINDOWS_AT_ONCE = 1_000_000
 
-# The words themselves, where NOT_ALNUM matches what stands between them.
-_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words, and what stands between them, in a text that still has its capitals.
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -113,7 +114,7 @@ def without_spans(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     spans = spans.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), "__spans")
     own_hash = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     both = docs.join(spans, docs["doc_id"].eqNullSafe(F.col("__id")) & (own_hash == F.col("__hash")), "left")
-    words = F.filter(F.split("text", NOT_ALNUM), lambda w: w != "")
+    words = F.filter(F.split("text", _BETWEEN), lambda w: w != "")
     between = F.split("text", _WORD)
     hit = lambda i: F.exists("__spans", lambda s: (s["at"] <= i) & (i < s["at"] + s["length"]))
     kept = F.transform("__words", lambda w, i: F.when(hit(i), "").otherwise(F.concat(w, F.get("__between", i + 1))))

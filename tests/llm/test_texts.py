@@ -85,7 +85,7 @@ def contaminated_rows():
     texts = [t for _, t in items if t]
     rows = [
         *AWKWARD,
-        (30, prose(3, 60) + " " + texts[0].upper() + " " + prose(4, 60)),
+        (30, prose(3, 60) + " " + "".join(c.upper() if c.isascii() else c for c in texts[0]) + " " + prose(4, 60)),
         (31, texts[1] + " " + texts[1]),
         (32, LONG + " " + texts[2]),
         (33, "a short ITEM here; short item here"),
