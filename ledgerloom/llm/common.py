@@ -78,7 +78,7 @@ def partitions_for(df: DataFrame, mb_each: int = 64) -> int:
     return max(least, -(-estimated_bytes(df) // (mb_each << 20)))
 
 
-def bounded_chunks(texts: Iterable[bytes], most: int = 2 << 20) -> Iterable[tuple[int, list[bytes]]]:
+def bounded_chunks(texts: Iterable[bytes], most: int = 1 << 19) -> Iterable[tuple[int, list[bytes]]]:
     """Consecutive texts in chunks of about ``most`` bytes, with the place of the first; a longer text is alone."""
     chunk: list[bytes] = []
     size = first = place = 0
@@ -109,7 +109,7 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base modulo 2**64 and their inverses, at least ``n`` of each."""
     global _powers
     if len(_powers[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         up = np.full(size, _BASE, np.uint64)
         down = np.full(size, pow(_BASE, -1, 1 << 64), np.uint64)
         up[0] = down[0] = 1

@@ -28,7 +28,7 @@ from collections.abc import Iterator
 from math import log, sqrt
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,35 +81,46 @@ def _set_key(values: np.ndarray) -> bytes | None:
         return mixed(own ^ _STEP).sum().tobytes() + mixed(own + _STEP).sum().tobytes()
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a worker holds few texts as Python objects."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
+def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum([len(a) for a in arrays]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
+
+
 def sketched(docs: DataFrame, words: int, sketch: int) -> DataFrame:
     """doc_id, text_hash, n_shingles, set_key (null without words), sketch, of every row."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for low in range(0, len(batch), 1000):
-                part = batch.iloc[low : low + 1000]
-                sizes, keys, sketches = [], [], []
-                for values in shingle_sets(part["text"].to_list(), words):
-                    sizes.append(len(values))
-                    keys.append(_set_key(values))
-                    sketches.append(values[:sketch].copy())
-                yield part[["doc_id", "text_hash"]].assign(n_shingles=sizes, set_key=keys, sketch=sketches)
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            sets = list(shingle_sets(part.column("text").to_pylist(), words))
+            columns = {
+                "n_shingles": pa.array(map(len, sets), pa.int64()),
+                "set_key": pa.array(map(_set_key, sets), pa.binary()),
+                "sketch": _lists([values[:sketch] for values in sets]),
+            }
+            kept = {name: part.column(name) for name in ("doc_id", "text_hash")}
+            yield pa.RecordBatch.from_pydict(kept | columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"), "text")
-    return texts.mapInPandas(rows, f"doc_id {kind}, text_hash long, n_shingles long, set_key binary, sketch array<long>")
+    return texts.mapInArrow(rows, f"doc_id {kind}, text_hash long, n_shingles long, set_key binary, sketch array<long>")
 
 
 def full_sets(docs: DataFrame, words: int) -> DataFrame:
     """set_key and values (the full set) of every row."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for low in range(0, len(batch), 200):
-                sets = list(shingle_sets(batch["text"].iloc[low : low + 200].to_list(), words))
-                yield pd.DataFrame({"set_key": [_set_key(s) for s in sets], "values": sets})
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches):
+            sets = list(shingle_sets(part.column("text").to_pylist(), words))
+            yield pa.RecordBatch.from_pydict({"set_key": pa.array(map(_set_key, sets), pa.binary()), "values": _lists(sets)})
 
-    return docs.select("text").mapInPandas(rows, "set_key binary, values array<long>")
+    return docs.select("text").mapInArrow(rows, "set_key binary, values array<long>")
 
 
 class _Links:
