@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from functools import lru_cache
 
 import public_tokenizers
 from tokenizers import Tokenizer
@@ -37,9 +38,15 @@ def prose(seed, n):
     return " ".join(rng.choice(vocabulary) + rng.choice(["", "", "", ",", ".", "\n"]) for _ in range(n))
 
 
-def library_ids(name, texts):
+@lru_cache
+def library(name):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
     tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def library_ids(name, texts):
+    tokenizer = library(name)
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
