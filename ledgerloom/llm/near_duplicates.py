@@ -40,7 +40,7 @@ SKETCH = 64
 GROUPS = 16
 SMALL_LIST = 64
 SMALL_FINE_LIST = 1024
-IDS_TO_BROADCAST = 2_000_000
+IDS_TO_BROADCAST = 200_000
 
 #: Words are separated by these bytes alone.
 _SPACE = np.zeros(256, bool)
