@@ -21,7 +21,7 @@ from ledgerloom.llm.common import Workspace, alnum_words
 from ledgerloom.llm.grams import find_grams
 
 WINDOW = 13
-WINDOWS_AT_ONCE = 1_000_000
+WINDOWS_AT_ONCE = 200_000
 
 # Words, and what stands between them, in a text that still has its capitals.
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
