@@ -5,6 +5,8 @@
    text below them that is no link, weighted by what kind of container it is.
 2. Each page has one vote, shared among its containers by score; votes are summed by host and path,
    pre-aggregated on every partition, and each host's best path wins.
+   Elements that only look like boilerplate, by a word in their class or id or as a form, are left out
+   after the page was read, and only if they do not hold its main text.
 3. Every page is read again and its text taken from the host's path; a page without that path uses
    its own best container.
 
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,6 +40,8 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'
 # What is no text, what is no part of an article, and what begins a block (fixed values).
 RAW = frozenset("script style noscript template iframe object svg math title textarea select button canvas audio video".split())
 BOILERPLATE = frozenset("nav header footer aside form menu dialog head".split())
+#: Boilerplate unless they hold the page's main text, as are elements with a listed word.
+DOUBTFUL = frozenset(("form",))
 CONTAINERS = frozenset("html body article main section div td".split())
 BLOCKS = frozenset(
     "p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table caption thead tbody tr figure figcaption hr address details"
@@ -50,6 +55,15 @@ BOILERPLATE_WORDS = frozenset(
 )
 CONTENT_WORDS = frozenset("article content main post entry story text body page".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
+DOUBTFUL_ROLES = frozenset(("form",))
+#: Words of what readers wrote, which may be most of a page; and words that say what a class is about, not what it is.
+READER_WORDS = frozenset("comment comments reply replies respond disqus".split())
+_ABOUT = re.compile(r"(?<![a-z])(?:no|not|has|have|with|without|is)[-_]+[-_a-z]+")
+#: Plain characters from which a doubtful element without any other sign of content is taken for prose.
+_PROSE = 200
+#: Doubtful elements in so many others share the fate of the innermost of these.
+_DEEPEST = 32
+_STORY_WORDS = frozenset("article post entry story".split())
 _CONTENT_FIRST = frozenset(("article", "main"))
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -64,16 +78,46 @@ def _names(attributes: dict[str, str]) -> set[str]:
     return set(_WORDS.findall(_CAMEL.sub(" ", f"{attributes.get('class', '')} {attributes.get('id', '')}").lower()))
 
 
-def _is_boilerplate(tag: str, attributes: dict[str, str], names: set[str]) -> bool:
-    if tag in BOILERPLATE:
+def _listed(text: str) -> set[str]:
+    """Listed words of a class or id; has-sidebar and no-ads name none."""
+    words = (_ABOUT.sub(" ", _CAMEL.sub(" ", word).lower()) for word in text.split())
+    return set(_WORDS.findall(" ".join(words))) & BOILERPLATE_WORDS
+
+
+def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether all of an element is left out, whatever it holds."""
+    if tag in BOILERPLATE - DOUBTFUL:
         return True
     if tag in ("html", "body"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if attributes.get("role", "").lower() in BOILERPLATE_ROLES or "display:none" in attributes.get("style", "").replace(" ", "").lower():
-        return True
-    return bool(names & BOILERPLATE_WORDS) and not (tag in _CONTENT_FIRST and not names & {"comment", "comments", "ad", "ads", "advert", "related"})
+    role = attributes.get("role", "").lower()
+    return role in BOILERPLATE_ROLES - DOUBTFUL_ROLES or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+
+
+class _Doubt:
+    """An element that is boilerplate unless it holds the page's main text."""
+
+    def __init__(self, tag: str, words: set[str], names: set[str], in_main: bool, by_heading: bool):
+        self.in_main = in_main
+        self.of_readers = bool(words & READER_WORDS)
+        self.by_heading = by_heading  # a section in an article whose id may be made from its heading
+        self.content = tag in _CONTENT_FIRST or bool(names & CONTENT_WORDS)  # it or a container in it is named as content
+        self.heading = False
+        self.plain = self.linked = self.main = 0  # characters in it; those of article and main containers
+
+
+def _doubt(tag: str, attributes: dict[str, str], names: set[str], in_main: bool, in_story: bool) -> _Doubt | None:
+    if tag in ("html", "body"):
+        return None
+    by_class, words = _listed(attributes.get("class", "")), _listed(f"{attributes.get('class', '')} {attributes.get('id', '')}")
+    if tag in _CONTENT_FIRST and not words & {"comment", "comments", "ad", "ads", "advert", "related"}:
+        words = set()
+    if not words and tag not in DOUBTFUL and attributes.get("role", "").lower() not in DOUBTFUL_ROLES:
+        return None
+    a_section = tag == "section" or tag == "div" and "section" in attributes.get("class", "").split()
+    return _Doubt(tag, words, names, in_main, in_story and a_section and bool(words) and not by_class and not words & READER_WORDS)
 
 
 def _weight(tag: str, attributes: dict[str, str], names: set[str]) -> float:
@@ -88,6 +132,20 @@ def _weight(tag: str, attributes: dict[str, str], names: set[str]) -> float:
     return 1.3 if names & CONTENT_WORDS else 1.0
 
 
+class _Open(NamedTuple):
+    """An open element: its path, whether all in it is left out, doubtful elements around it, the outermost article or main (or -1)."""
+
+    tag: str
+    path: str
+    skip: bool
+    doubts: tuple[int, ...]
+    main: int
+
+
+#: Text, whether in a link, the doubtful elements around it, the outermost article or main around it (or -1).
+_Piece = tuple[str, bool, tuple[int, ...], int]
+
+
 class Page:
     """Blocks of text of one page, each with the paths of the containers around it."""
 
@@ -97,39 +155,110 @@ class Page:
         self._weights: dict[str, float] = {"": 0.5}
         self._linked: dict[str, int] = {}
         self._text: dict[str, int] = {}
+        self._read_blocks: list[tuple[list[_Piece], tuple[str, ...]]] = []
+        self._doubts: list[_Doubt] = []
+        self._mains: list[tuple[int, ...]] = []  # doubtful elements around each article or main that is in no other
         self._read(source)
+        kept = self._kept_doubts()
+        for pieces, around in self._read_blocks:
+            self._end_block(pieces if not self._doubts else [p for p in pieces if kept.issuperset(p[2])], around)
+        del self._read_blocks
         for path, n in self._text.items():
             plain = n - self._linked.get(path, 0)
             self.scores[path] = self._weights[path] * plain * plain / n if n else 0.0
 
-    def _end_block(self, parts: list[str], linked: int, around: tuple[str, ...]) -> None:
-        text = " ".join("".join(parts).split())
+    def _kept_doubts(self) -> set[int]:
+        """The doubtful elements that hold main text: outer ones first, and none in one that is left out.
+
+        Where an article or main has text, those that hold the greater part of it, and so are not cards
+        beside the article; elsewhere, and in it, those with most of the page's plain text and a name,
+        container or heading of content, or with nearly all of it. Sections of an article named by their
+        id alone stay unless they are mostly links. If no plain text would be left, the one with most
+        plain text that has such a name, container or heading or is prose.
+        """
+        if not self._doubts:
+            return set()
+        direct: dict[tuple[int, ...], int] = {}
+        total = main_total = 0
+        for pieces, _ in self._read_blocks:
+            for text, in_link, doubts, main in pieces:
+                n = len(text) if text.strip() else 0
+                for k in doubts:
+                    if in_link:
+                        self._doubts[k].linked += n
+                    else:
+                        self._doubts[k].plain += n
+                if in_link:
+                    continue
+                total += n
+                direct[doubts] = direct.get(doubts, 0) + n
+                if main >= 0 and doubts == self._mains[main]:
+                    main_total += n
+                    for k in doubts:
+                        self._doubts[k].main += n
+        kept: set[int] = set()
+        around: dict[int, tuple[int, ...]] = {}
+        for doubts in [d[:k] for d in direct for k in range(1, len(d) + 1)]:
+            around.setdefault(doubts[-1], doubts)
+        sure = direct.get((), 0)  # plain text in none but kept ones
+        by_share: list[tuple[int, int]] = []
+        for k in sorted(around):
+            doubt = self._doubts[k]
+            if not kept.issuperset(around[k][:-1]) or not doubt.plain:
+                continue
+            named = doubt.heading or doubt.content and not doubt.of_readers
+            if doubt.main:
+                keep = 2 * doubt.main >= main_total and 5 * doubt.plain >= doubt.plain + sure
+            elif doubt.by_heading:
+                keep = doubt.plain >= doubt.linked
+            else:
+                likely = named or doubt.plain >= _PROSE and not doubt.of_readers
+                if main_total and not doubt.in_main:
+                    likely = named and doubt.plain * 10 >= total * 9
+                keep = likely and doubt.plain * 10 >= total * (5 if named else 9)
+                if likely and not keep:
+                    by_share.append((doubt.plain, -k))
+            if keep:
+                kept.add(k)
+                sure += direct.get(around[k], 0)
+        if not sure and by_share:
+            kept.add(-max(by_share)[1])
+        return kept
+
+    def _end_block(self, pieces: list[_Piece], around: tuple[str, ...]) -> None:
+        text = " ".join("".join(p[0] for p in pieces).split())
         if not text:
             return
+        linked = sum(len(p[0]) for p in pieces if p[1])
         self.blocks.append((text, around))
         for path in around:
             self._text[path] = self._text.get(path, 0) + len(text)
             self._linked[path] = self._linked.get(path, 0) + min(linked, len(text))
 
     def _read(self, source: str) -> None:
-        stack: list[tuple[str, str, bool]] = []  # tag, path, whether all below is left out
+        stack: list[_Open] = []
         around: tuple[str, ...] = ("",)
-        path, skip, in_link, linked = "", False, 0, 0
-        parts: list[str] = []
+        now = _Open("", "", False, (), -1)
+        in_link = False
+        parts: list[_Piece] = []
         place = 0
 
         def settle() -> None:
-            nonlocal path, skip, around
-            path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
-            around = tuple(dict.fromkeys(("", *(entry[1] for entry in stack))))
+            nonlocal now, around
+            now = stack[-1] if stack else _Open("", "", False, (), -1)
+            around = tuple(dict.fromkeys(("", *(entry.path for entry in stack))))
+
+        def end_block() -> None:
+            nonlocal parts
+            if parts:
+                self._read_blocks.append((parts, around))
+                parts = []
 
         while True:
             found = _MARKUP.search(source, place)
             end = found.start() if found else len(source)
-            if end > place and not skip:
-                text = html.unescape(source[place:end])
-                parts.append(text)
-                linked += len(text) if in_link else 0
+            if end > place and not now.skip:
+                parts.append((html.unescape(source[place:end]), in_link, now.doubts, now.main))
             if not found:
                 break
             place = found.end()
@@ -141,55 +270,69 @@ class Page:
                 if not closing and not rest.endswith("/"):
                     after = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, place)
                     place = after.end() if after else len(source)
-                parts.append(" ")
+                parts.append((" ", False, now.doubts, -1))
             elif tag == "a":
-                in_link = 0 if closing else 1
-            elif tag in CONTAINERS or tag in BOILERPLATE or tag in ("ul", "ol", "table", "figure", "details", "p", "span", "tr", "li") and (skip or "=" in rest):
-                is_block = tag != "span"
-                if is_block:
-                    self._end_block(parts, linked, around)
-                    parts, linked = [], 0
+                in_link = not closing
+            elif tag in CONTAINERS or tag in BOILERPLATE or tag in ("ul", "ol", "table", "figure", "details", "p", "span", "tr", "li") and (now.skip or now.doubts or "=" in rest):
+                if tag != "span":
+                    end_block()
                 if closing:
                     for k in range(len(stack) - 1, -1, -1):
-                        if stack[k][0] == tag:
+                        if stack[k].tag == tag:
                             del stack[k:]
                             break
                     settle()
                 elif not rest.endswith("/"):
-                    self._open(tag, rest, stack, path, skip)
+                    self._open(tag, rest, stack)
                     settle()
             elif tag in BLOCKS:
-                self._end_block(parts, linked, around)
-                parts, linked = [], 0
-                if closing and any(entry[0] == tag for entry in stack):
-                    while stack.pop()[0] != tag:
+                end_block()
+                if tag == "h1" and not closing:
+                    for k in now.doubts:
+                        self._doubts[k].heading = True
+                if closing and any(entry.tag == tag for entry in stack):
+                    while stack.pop().tag != tag:
                         pass
                     settle()
             elif tag in ("br", "th"):
-                parts.append(" ")
-            elif tag == "span" and closing and stack and stack[-1][0] == "span":
+                parts.append((" ", False, now.doubts, -1))
+            elif tag == "span" and closing and stack and stack[-1].tag == "span":
                 stack.pop()
                 settle()
-        self._end_block(parts, linked, around)
+        end_block()
 
-    def _open(self, tag: str, rest: str, stack: list[tuple[str, str, bool]], path: str, skip: bool) -> None:
+    def _open(self, tag: str, rest: str, stack: list[_Open]) -> None:
         if tag in ("article", "main", "body"):  # ends what was left open before the content
             for k, entry in enumerate(stack):
-                if entry[0] in ("nav", "head", "header", "menu"):
+                if entry.tag in ("nav", "head", "header", "menu"):
                     del stack[k:]
-                    path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
                     break
-        elif tag in ("p", "li", "tr") and stack and stack[-1][0] == tag:
+        elif tag in ("p", "li", "tr") and stack and stack[-1].tag == tag:
             stack.pop()
-            path, skip = (stack[-1][1], stack[-1][2]) if stack else ("", False)
+        _, path, skip, doubts, main = stack[-1] if stack else _Open("", "", False, (), -1)
         attributes = _attributes(rest)
         names = _names(attributes)
-        out = skip or _is_boilerplate(tag, attributes, names)
-        if tag in CONTAINERS and not out:
+        skip = skip or _is_boilerplate(tag, attributes)
+        if skip:
+            stack.append(_Open(tag, path, True, doubts, main))
+            return
+        in_story = main >= 0 or any(set(_WORDS.findall(entry.path.rpartition(">")[2].lower())) & _STORY_WORDS for entry in stack) if "id" in attributes else False
+        doubt = _doubt(tag, attributes, names, main >= 0, in_story) if len(doubts) < _DEEPEST else None
+        if doubt:
+            doubts = (*doubts, len(self._doubts))
+            self._doubts.append(doubt)
+        elif tag in CONTAINERS and tag != "body" and names & CONTENT_WORDS:
+            for k in doubts:
+                self._doubts[k].content = True
+        weight = _weight(tag, attributes, names)
+        if weight >= 1.4 and main < 0 and not doubt:
+            main = len(self._mains)
+            self._mains.append(doubts)
+        if tag in CONTAINERS:
             classes = sorted({_DIGITS.sub("#", c) for c in attributes.get("class", "").split()})
             path = f"{path}>{'.'.join([tag, *classes])}" if path else ".".join([tag, *classes])
-            self._weights[path] = max(self._weights.get(path, 0.0), _weight(tag, attributes, names))
-        stack.append((tag, path, out))
+            self._weights[path] = max(self._weights.get(path, 0.0), weight)
+        stack.append(_Open(tag, path, False, doubts, main))
 
     def best(self) -> str:
         """The path of the highest score; of equal ones the deepest, then the first by name."""

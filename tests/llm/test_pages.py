@@ -35,6 +35,41 @@ def test_open_and_broken_markup():
     assert Page("<article>" + "<p>w x</p>" * 50_000).text() == "\n".join(["w x"] * 50_000)
 
 
+PROSE = "<h1>Head</h1><p>" + "Plain words of the story. " * 20 + "</p>"
+PROSE_TEXT = "Head\n" + ("Plain words of the story. " * 20).strip()
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<div class="layout has-sidebar"><article>%s</article></div>',
+        '<div class="sidebar-left"><main>%s</main><div class="sidebar">side</div></div>',
+        '<div class="content no-ads">%s</div>',
+        '<div class="menu-page content">%s</div><div class="cookie-notice">We use cookies</div>',
+        '<form id="aspnetForm"><div class="wrap"><div class="nav">menu</div>%s</div><div class="ad">Buy</div></form>',
+        '<form id="aspnetForm"><article>%s<form>Search<input></form></article></form>',
+        '<article><div class="share-story">%s</div></article>',
+    ],
+)
+def test_containers_with_a_listed_word_keep_the_main_text(around):
+    assert Page(f"<html><body><nav>menu</nav>{around % PROSE}<footer>f</footer></body></html>").text() == PROSE_TEXT
+
+
+def test_listed_words_beside_the_main_text_are_left_out():
+    long = "<p>" + "Readers say very much about it. " * 60 + "</p>"
+    for beside in ('<div class="comments"><div class="text">%s</div></div>', '<div id="cookie-consent">%s</div>', '<div class="related"><article>x</article></div><form>%s</form>', '<div class="sidebar"><article class="comment">%s</article></div>'):
+        assert Page(f"<body><article>{PROSE}</article>{beside % long if '%s' in beside else beside}</body>").text() == PROSE_TEXT
+    assert Page(f'<body><div class="post">{PROSE}</div><div class="comments"><div class="text">{long}</div></div></body>').text() == PROSE_TEXT
+    assert Page('<body><div class="cookie-notice">We use cookies</div><form>Search</form></body>').text() == ""
+
+
+def test_sections_named_by_their_heading_stay():
+    sections = '<section id="related-work"><h2>Related work</h2><p>Others did.</p></section><section id="search"><p>We look.</p></section>'
+    beside = '<section id="related"><a href="/x">More</a></section><section class="newsletter"><p>Mail</p></section>'
+    for around in ("<article>%s</article>", '<div class="post">%s</div>'):
+        assert Page(around % f"{PROSE}{sections}{beside}").text() == f"{PROSE_TEXT}\nRelated work\nOthers did.\nWe look."
+
+
 def test_the_host_decides_where_a_page_alone_would_not(spark):
     usual = '<html><body><div class="story-%d">%s</div><div class="extra">x</div></body></html>'
     odd = '<html><body><div class="story-9">short</div><div class="extra">%s</div></body></html>'
