@@ -4,11 +4,13 @@
    by generalised paths, tags with class names in which digits are one sign, and scored by the plain
    text below them that is no link, weighted by what kind of container it is.
 2. Each page has one vote, shared among its containers by score; votes are summed by host and path,
-   pre-aggregated on every partition, and each host's best path wins.
+   pre-aggregated on every partition, and each host's best path wins. The paths that are the best
+   container of several pages of the host, and of a share of all, are kept with it, one a template.
    Elements that only look like boilerplate, by a word in their class or id or as a form, are left out
    after the page was read, and only if they do not hold its main text.
-3. Every page is read again and its text taken from the host's path; a page without that path uses
-   its own best container.
+3. Every page is read again. Of the templates' paths, its text is taken from the one with the highest
+   product of the pages that it is best on and the page's own score; a page without text in any takes
+   the host's winner, and without that its own best container.
 
 The table of winners joins on its measured size: small ones are broadcast by Spark, others are
 shuffled with hot hosts split. A page is a row, so a host with a third of all pages is no group.
@@ -64,6 +66,8 @@ _PROSE = 200
 #: Doubtful elements in so many others share the fate of the innermost of these.
 _DEEPEST = 32
 _STORY_WORDS = frozenset("article post entry story".split())
+#: Share of a host's pages from which a container is taken for a template's.
+TEMPLATE_PERCENT = 1
 _CONTENT_FIRST = frozenset(("article", "main"))
 _WORDS = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -338,6 +342,13 @@ class Page:
         """The path of the highest score; of equal ones the deepest, then the first by name."""
         return min(self.scores, key=lambda p: (-self.scores[p], -p.count(">"), p), default="")
 
+    def of_host(self, winner: str | None, templates: list[tuple[str, int]]) -> str:
+        """The path to take the text from, given the host's winner and its templates' paths with their pages."""
+        fits = [(-pages * self.scores[path], -path.count(">"), path) for path, pages in templates if self.scores.get(path)]
+        if fits:
+            return min(fits)[2]
+        return winner if winner is not None and self._text.get(winner) else self.best()
+
     def text(self, path: str | None = None) -> str:
         """Blocks below a path, or below the page's own best one if it has no text there."""
         if path is None or not self._text.get(path):
@@ -346,30 +357,42 @@ class Page:
 
 
 def container_votes(pages: DataFrame) -> DataFrame:
-    """host, path, vote of each container of each page; pages without text have none."""
+    """host, path, vote of each container of each page, and on how many it is the best; pages without text have none."""
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for low in range(0, len(batch), 500):
-                sums: dict[tuple[str, str], float] = {}
+                sums: dict[tuple[str, str], list] = {}
                 part = batch.iloc[low : low + 500]
                 for host, source in zip(part["host"], part["html"], strict=True):
-                    scores = Page(source).scores if source else {}
-                    total = sum(scores.values())
-                    for path, score in scores.items():
+                    page = Page(source or "")
+                    total = sum(page.scores.values())
+                    best = page.best()
+                    for path, score in page.scores.items():
                         if score:
-                            sums[host, path] = sums.get((host, path), 0.0) + score / total
+                            own = sums.setdefault((host, path), [0.0, 0])
+                            own[0] += score / total
+                            own[1] += path == best
                 if sums:
-                    yield pd.DataFrame([(*k, v) for k, v in sums.items()], columns=["host", "path", "vote"])
+                    yield pd.DataFrame([(*k, *v) for k, v in sums.items()], columns=["host", "path", "vote", "best_on"])
 
-    return pages.select("host", "html").mapInPandas(vote, "host string, path string, vote double")
+    return pages.select("host", "html").mapInPandas(vote, "host string, path string, vote double, best_on long")
 
 
-def winning_paths(votes: DataFrame) -> DataFrame:
-    """host, path: the path with most votes of each host; of equal ones the deepest, then the first by name."""
-    sums = votes.groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"))
+def winning_paths(sums: DataFrame) -> DataFrame:
+    """host, path, templates: of each host the path with most votes, and the paths (with pages) of its templates.
+
+    sums: host, path, votes, best_on. Of equal votes the deepest path, then the first by name. A template
+    is a path that is best on at least two pages and ``TEMPLATE_PERCENT`` of the host's pages, so a
+    host has at most 100 / ``TEMPLATE_PERCENT``.
+    """
     depth = F.size(F.split("path", ">"))
-    return sums.groupBy("host").agg(F.min_by("path", F.struct(-F.col("votes"), -depth, F.col("path"))).alias("path"))
+    first = F.min_by("path", F.struct(-F.col("votes"), -depth, F.col("path")))
+    winners = sums.groupBy("host").agg(first.alias("path"), F.sum("best_on").alias("pages"))
+    often = sums.where("best_on >= 2").select("host", F.col("path").alias("template"), "best_on")
+    often = often.join(winners.select("host", "pages"), "host").where(F.col("best_on") * 100 >= F.col("pages") * TEMPLATE_PERCENT)
+    templates = often.groupBy("host").agg(F.collect_list(F.struct("template", "best_on")).alias("templates"))
+    return winners.select("host", "path").join(templates, "host", "left")
 
 
 def _with_host(pages: DataFrame) -> DataFrame:
@@ -385,7 +408,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     space = Workspace(pages.sparkSession, "html")
     hosted = _with_host(pages)
-    winners = space.store(winning_paths(container_votes(hosted)), "winners")
+    sums = container_votes(hosted).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"), F.sum("best_on").alias("best_on"))
+    winners = space.store(winning_paths(space.store(sums, "votes")), "winners")
     joined = hosted.join(winners, "host", "left")
     kind = pages.schema["page_id"].dataType.simpleString()
 
@@ -394,11 +418,12 @@ def extract(pages: DataFrame) -> DataFrame:
             for low in range(0, len(batch), 500):
                 part = batch.iloc[low : low + 500]
                 texts, paths = [], []
-                for source, path in zip(part["html"], part["path"], strict=True):
+                for source, path, templates in zip(part["html"], part["path"], part["templates"], strict=True):
                     page = Page(source or "")
-                    used = path if isinstance(path, str) and page._text.get(path) else page.best()
+                    known = [] if templates is None else [(t["template"], t["best_on"]) for t in templates]
+                    used = page.of_host(path if isinstance(path, str) else None, known)
                     texts.append(page.text(used))
                     paths.append(used if texts[-1] else None)
                 yield part[["page_id", "url"]].assign(text=texts, path=paths)
 
-    return joined.select("page_id", "url", "html", "path").mapInPandas(read, f"page_id {kind}, url string, text string, path string")
+    return joined.select("page_id", "url", "html", "path", "templates").mapInPandas(read, f"page_id {kind}, url string, text string, path string")

@@ -86,6 +86,19 @@ def test_the_host_decides_where_a_page_alone_would_not(spark):
     assert html_extraction.extract(pages.limit(0)).count() == 0
 
 
+def test_every_template_of_a_host_has_its_container(spark):
+    news = '<html><body><div class="story">%s</div><div class="notes">of the day</div><p>tagline</p></body></html>'
+    wiki = '<html><body><div class="story">teaser</div><div class="notes">%s</div><p>tagline</p></body></html>'
+    talk = '<html><body><div class="story">%s</div><div class="notes">%s</div></body></html>'
+    long = ("words here " * 60).strip()
+    pages = [(k, news % long) for k in range(60)] + [(100 + k, wiki % long) for k in range(30)]
+    pages += [(200, talk % (long, long + " and some")), (201, "<html><body><table><tr><td>%s</table></body></html>" % long)]
+    rows = spark.createDataFrame([(k, f"http://host.org/{k}", source) for k, source in pages], "page_id long, url string, html string")
+    assert {r.text for r in html_extraction.extract(rows).collect()} == {long}
+    path = {r.page_id: r.path for r in html_extraction.extract(rows).collect()}
+    assert path[0].endswith("div.story") and path[100].endswith("div.notes") and path[200].endswith("div.story") and "td" in path[201]
+
+
 def plain_text(source):
     import re
 
