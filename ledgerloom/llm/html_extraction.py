@@ -40,7 +40,9 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # What is no text, what is no part of an article, and what begins a block (fixed values).
-RAW = frozenset("script style noscript template iframe object svg math title textarea select button canvas audio video".split())
+RAW = frozenset("script style noscript template iframe object svg title textarea select button canvas audio video".split())
+#: Those whose content is no markup: without an end tag they last to the end of the page, of others the tag alone is left out.
+RAW_TEXT = frozenset("script style title textarea iframe".split())
 BOILERPLATE = frozenset("nav header footer aside form menu dialog head".split())
 #: Boilerplate unless they hold the page's main text, as are elements with a listed word.
 DOUBTFUL = frozenset(("form",))
@@ -246,6 +248,7 @@ class Page:
         in_link = False
         parts: list[_Piece] = []
         place = 0
+        no_end: set[str] = set()  # tags that have no end tag in the rest of the page
 
         def settle() -> None:
             nonlocal now, around
@@ -271,9 +274,12 @@ class Page:
                 continue
             tag = tag.lower()
             if tag in RAW:
-                if not closing and not rest.endswith("/"):
+                if not closing and not rest.endswith("/") and tag not in no_end:
                     after = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(source, place)
-                    place = after.end() if after else len(source)
+                    if after or tag in RAW_TEXT:
+                        place = after.end() if after else len(source)
+                    else:
+                        no_end.add(tag)
                 parts.append((" ", False, now.doubts, -1))
             elif tag == "a":
                 in_link = not closing

@@ -35,6 +35,21 @@ def test_open_and_broken_markup():
     assert Page("<article>" + "<p>w x</p>" * 50_000).text() == "\n".join(["w x"] * 50_000)
 
 
+@pytest.mark.parametrize("tag", ["noscript", "template", "object", "svg", "select", "button", "canvas", "audio", "video"])
+def test_an_element_without_end_tag_does_not_end_the_page(tag):
+    assert Page(f"<article>a<p>b<{tag} class=x>c</{tag}> d<{tag}><p>e</article>").text() == "a\nb d\ne"
+    assert Page("<article>" + f"<p>w x<{tag}>" * 20_000).text() == "\n".join(["w x"] * 20_000)
+
+
+def test_formulas_stay():
+    assert Page("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be.</p></article>").text() == "Let x=2 be."
+
+
+@pytest.mark.parametrize("tag", ["script", "style", "title", "textarea", "iframe"])
+def test_raw_text_without_end_tag_ends_the_page(tag):
+    assert Page(f"<article>a<{tag}>b <p>c</article>").text() == "a"
+
+
 PROSE = "<h1>Head</h1><p>" + "Plain words of the story. " * 20 + "</p>"
 PROSE_TEXT = "Head\n" + ("Plain words of the story. " * 20).strip()
 
