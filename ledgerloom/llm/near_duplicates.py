@@ -4,9 +4,9 @@
    equal sets are one class, so copies, however many, are one row from here on.
 2. Sketch values are counted over all classes. A value held by one class alone can't make a pair. Each
    class orders its values from rare to frequent and enters only the first s - t + 1 of s of them into
-   inverted lists, t being the least overlap that a pair of the wanted similarity has (five standard
-   deviations below its expected overlap): two sketches with t common values meet in that prefix. A
-   list is of one value and one range of sizes, as sets of too different sizes can't be alike.
+   inverted lists, t being the least overlap that a pair of the wanted similarity has (it has less
+   with a chance of at most ``MISS_CHANCE``): two sketches with t common values meet in that prefix.
+   A list is of one value and one range of sizes, as sets of too different sizes can't be alike.
 3. In every list one pivot, the member whose values are most frequent, that is the one most like the
    others, is compared with the rest: a list of m members gives m - 1 pairs, not m squared.
    Pairs are filtered by size and by the similarity that the union of both sketches estimates; what
@@ -25,7 +25,7 @@ sums, and joins on hot keys are split by adaptive execution.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import log, sqrt
+from math import comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +37,7 @@ from ledgerloom.llm.common import Workspace, bounded_chunks, mixed, word_hashes
 SHINGLE_WORDS = 5
 SIMILARITY = 80
 SKETCH = 64
+MISS_CHANCE = 1e-7
 GROUPS = 16
 SMALL_LIST = 64
 SMALL_FINE_LIST = 1024
@@ -123,19 +124,32 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(rows, "set_key binary, values array<long>")
 
 
+def least_overlap(percent: int, sketch: int) -> int:
+    """The most values that the sketch of a union has in common but for a chance of ``MISS_CHANCE``, at ``percent`` of similarity.
+
+    Each value of the union's sketch is common with the chance of the similarity, so their number is
+    binomial (or, drawn from few shingles, closer to its mean); the tail is summed exactly.
+    """
+    share = percent / 100
+    least, chance = 0, 0.0  # chance of fewer than ``least``
+    while least < sketch:
+        chance += comb(sketch, least) * share**least * (1 - share) ** (sketch - least)
+        if chance > MISS_CHANCE:
+            break
+        least += 1
+    return least
+
+
 class _Links:
     """Confirms candidate pairs of classes and keeps the links and components found so far."""
 
     def __init__(self, space: Workspace, docs: DataFrame, classes: DataFrame, words: int, percent: int, sketch: int):
         self.space, self.docs, self.classes = space, docs, classes
         self.words, self.percent, self.sketch = words, percent, sketch
+        self.least_overlap = least_overlap(percent, sketch)
         self.links: DataFrame | None = None
         self.components: DataFrame | None = None  # cid, component; of linked classes
 
-    def least_overlap(self) -> float:
-        share = self.percent / 100
-        return share - 5 * sqrt(share * (1 - share) / self.sketch)
-
     def confirm(self, pairs: DataFrame) -> bool:
         """Add the links among pairs (a, b); whether there were any."""
         side = self.classes.select("cid", "n_shingles", "sketch")
@@ -144,7 +158,7 @@ class _Links:
         sizes = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * self.percent
         union = F.slice(F.sort_array(F.array_union("a_sketch", "b_sketch")), 1, self.sketch)
         common = F.size(F.array_intersect(union, F.array_intersect("a_sketch", "b_sketch")))
-        likely = common >= F.size(union) * self.least_overlap()
+        likely = common * self.sketch >= F.size(union) * self.least_overlap
         pairs = pairs.distinct().join(a, "a").join(b, "b").where(sizes).where(likely).select("a", "b", "a_n", "b_n")
         pairs = self.space.store(pairs, "likely")
         if pairs.isEmpty():
@@ -206,15 +220,15 @@ def _size_range(percent: int) -> Column:
     return F.floor(F.log(F.col("n_shingles")) / log(100 / percent))
 
 
-def _prefixes(space: Workspace, classes: DataFrame, least_overlap: float, percent: int) -> DataFrame:
+def _prefixes(space: Workspace, classes: DataFrame, links: _Links) -> DataFrame:
     """cid, size, shared (values of its sketch that others hold too, from rare to frequent), reach, weight.
 
     reach: how many of ``shared`` are in the prefix; weight: how frequent they are together.
     """
-    postings = classes.select("cid", F.size("sketch").alias("s"), _size_range(percent).alias("size"), F.explode("sketch").alias("value"))
+    postings = classes.select("cid", F.size("sketch").alias("s"), _size_range(links.percent).alias("size"), F.explode("sketch").alias("value"))
     counts = postings.groupBy("value").count().where("count > 1")
     rows = postings.join(counts, "value").groupBy("cid", "s", "size").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("held"))
-    least = F.greatest(F.floor(F.col("s") * least_overlap), F.lit(1))
+    least = F.greatest(F.floor(F.col("s") * links.least_overlap / links.sketch), F.lit(1))
     rows = rows.select(
         "cid",
         "size",
@@ -308,7 +322,7 @@ def near_duplicates(
     )
     classes = space.store(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     links = _Links(space, docs, classes, words, percent, sketch)
-    _all_links(links, _prefixes(space, classes, links.least_overlap(), percent))
+    _all_links(links, _prefixes(space, classes, links))
     slim = classes.select("cid", "set_key", "rep_id")
     if links.components is None:
         found = slim.select("set_key", F.col("rep_id").alias("component_id"))

@@ -1,7 +1,9 @@
 """Licence scan, decontamination, near duplicates and quality against brute force."""
 
+import math
 import random
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -187,6 +189,26 @@ def near_rows():
     return rows
 
 
+def test_least_overlap_is_the_exact_binomial_tail():
+    rng = np.random.default_rng(1)
+    for percent, sketch in ((85, 64), (80, 64), (90, 64), (50, 32), (85, 256)):
+        least = near_duplicates.least_overlap(percent, sketch)
+        chances = [Fraction(percent, 100) ** k * Fraction(100 - percent, 100) ** (sketch - k) * math.comb(sketch, k) for k in range(sketch)]
+        assert sum(chances[:least]) <= near_duplicates.MISS_CHANCE < sum(chances[: least + 1])
+        assert rng.binomial(sketch, percent / 100, 100_000).min() >= least
+    assert near_duplicates.least_overlap(100, 64) == 64
+
+
+@pytest.mark.parametrize(("percent", "apart", "n"), [(85, 26, 200), (80, 30, 180)])
+def test_a_pair_with_little_sketch_overlap_is_found(spark, percent, apart, n):
+    # Of the 64 smallest hashes of both texts' words, ``apart`` are in one text alone, and no others are.
+    words = sorted((f"w{k}" for k in range(n)), key=lambda w: next(near_duplicates.shingle_sets([w], 1))[0])
+    alone, common = words[:apart], words[apart:]
+    rows = [(1, " ".join(alone[::2] + common)), (2, " ".join(alone[1::2] + common)), (3, " ".join(f"z{k}" for k in range(n)))]
+    got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 1, percent).collect()
+    assert {r.doc_id: r.component_id for r in got} == {1: 1, 2: 1, 3: 3}
+
+
 @pytest.mark.parametrize(("words", "percent", "small", "fine"), [(3, 85, 64, 1024), (5, 80, 2, 4)])
 def test_components_equal_brute_force(spark, monkeypatch, words, percent, small, fine):
     monkeypatch.setattr(near_duplicates, "SMALL_LIST", small)
