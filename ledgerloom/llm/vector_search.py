@@ -25,13 +25,13 @@ from ledgerloom.llm.common import Workspace
 SEGMENTS = (4, 16)
 QUERIES_AT_ONCE = 1024
 _ROWS_AT_ONCE = 2048
-_LARGEST = float(1 << 31)
+_LARGEST = float(1 << 63)
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
     """floor(scale * component) as integers; null for null vectors and ones with a null, non-finite or huge component.
 
-    Huge means not below 2**31 in size after scaling; such a score would not fit 64 bits.
+    Huge means not below 2**63 in size after scaling; such a component is no long.
     """
     scaled = F.transform(vector, lambda x: x.cast("double") * scale)
     whole = F.forall(scaled, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < _LARGEST))
@@ -54,11 +54,31 @@ def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack([*means, *norms], axis=1)
 
 
+def _largest(vectors: np.ndarray) -> np.ndarray:
+    return np.abs(vectors).max(axis=1, initial=0.0)
+
+
+def _scores(a: np.ndarray, b: np.ndarray, most: np.ndarray | None) -> np.ndarray:
+    """Exact inner products of integer rows, in wider integers where 64 bits might not do; an error if a result doesn't fit them.
+
+    most: what the sizes can be at most, or None if none of them needs more than 64 bits.
+    """
+    scores = np.einsum("ij,ij->i", a, b)
+    wide = np.flatnonzero(most >= 2.0**62) if most is not None else np.zeros(0, np.int64)
+    for k in wide.tolist():
+        score = sum(x * y for x, y in zip(a[k].tolist(), b[k].tolist(), strict=True))
+        if abs(score) >= 1 << 63:
+            raise OverflowError(f"vector search: a score of {score} does not fit 64 bits")
+        scores[k] = score
+    return scores
+
+
 class _Best:
     """The k best scores so far of some queries of one dimension, ties to the smaller id."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, k: int):
-        self.ids, self.vectors, self.k = ids, vectors.astype(np.float64), k
+        self.ids, self.exact, self.vectors, self.k = ids, vectors, vectors.astype(np.float64), k
+        self.most = vectors.shape[1] * _largest(self.vectors)
         self.statistics = [segment_statistics(self.vectors, s) for s in SEGMENTS]
         self.slack = 1e-6 + 1e-9 * np.sqrt(np.square(self.vectors).sum(axis=1))
         self.least = np.full(len(ids), -np.inf)
@@ -71,12 +91,14 @@ class _Best:
         q, c = np.nonzero((self.statistics[0] @ segment_statistics(wide, SEGMENTS[0]).T >= least) & (self.ids[:, None] != ids))
         fine = segment_statistics(wide, SEGMENTS[1])
         kept = []
+        largest = _largest(wide)
+        is_wide = self.most.max(initial=0.0) * largest.max(initial=0.0) >= 2.0**62
         for low in range(0, len(q), 1 << 16):
             a, b = q[low : low + (1 << 16)], c[low : low + (1 << 16)]
             bound = np.einsum("ij,ij->i", self.statistics[1][a], fine[b])
             keep = bound >= least[a, b]
             a, b = a[keep], b[keep]
-            score = np.einsum("ij,ij->i", self.vectors[a].astype(np.int64), vectors[b])
+            score = _scores(self.exact[a], vectors[b], self.most[a] * largest[b] if is_wide else None)
             good = score >= self.least[a]
             kept.append((a[good], ids[b[good]], score[good]))
         q, c, score = (np.concatenate(x) for x in zip(self.found, *kept, strict=True))
@@ -94,7 +116,8 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, queries_at_once
     Both tables: vec_id, vector (integers; null takes no part; others of another length than the
     query's are no candidates of it). Rows with a null id take no part. A query's own id is never its
     candidate. Of several queries with one id the one with the smallest vector is asked; candidates
-    of one id are candidates each. Ties go to the smaller id. Other columns are ignored.
+    of one id are candidates each. Ties go to the smaller id. Other columns are ignored. A score that
+    does not fit 64 bits is an error.
     """
     spark = candidates.sparkSession
     space = Workspace(spark, "vector-search")

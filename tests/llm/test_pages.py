@@ -194,6 +194,24 @@ def test_top_k_equals_all_inner_products(spark, at_once):
     assert vector_search.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_large_vectors_take_part(spark):
+    vectors = [(0, [1e7, 0.5, 0.0, 0.0]), (1, [-1e7, 0.25, 0.0, 0.0]), (2, [9e6, 0.0, 1.0, 0.0]), (3, [0.5, 0.5, 0.5, 0.5])]
+    vectors += [(50, [2.0**26, 2.0**26, 1.0, 0.0, 0.0]), (51, [2.0**26, -(2.0**26), 0.5, 0.0, 0.0]), (52, [0.0, 0.0, 2.0, 0.0, 0.0])]
+
+    def found(vectors):
+        df = spark.createDataFrame(vectors, "vec_id long, embedding array<double>").withColumn("vector", vector_search.quantised(F.col("embedding")))
+        return [(r.query_id, r["rank"], r.vec_id, r.score) for r in vector_search.top_k(df, df.where("vec_id % 50 = 0")).collect()]
+
+    whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in vectors}
+    expected = []
+    for q in (0, 50):
+        scores = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q]))
+        expected += [(q, k + 1, i, -score) for k, (score, i) in enumerate(scores)]
+    assert sorted(found(vectors)) == expected
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        found([*vectors, (4, [1e8, 0.0, 0.0, 0.0])])
+
+
 def test_bounds_are_never_below_the_score():
     rng = np.random.default_rng(1)
     a, b = rng.integers(-200, 200, (50, 19)).astype(float), rng.integers(-200, 200, (60, 19)).astype(float)
