@@ -97,3 +97,24 @@ fits AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, CASE WHEN p.host = '' THEN 'block' ELSE 'allow' END) AS verdict
 FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id
 """
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+OP11 = f"""
+WITH docs AS (SELECT doc_id, {_TERMS.format("text")} AS w FROM documents),
+totals AS (SELECT count(*) FILTER (len(w) > 0) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs),
+held AS (
+    SELECT doc_id, n, term, CAST(count(*) AS BIGINT) AS tf
+    FROM (SELECT doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM docs) GROUP BY doc_id, n, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, totals GROUP BY term, n_docs),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS.format("text")}) AS term FROM benchmark),
+scores AS (
+    SELECT item_id, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM asked JOIN held USING (term) JOIN weights USING (term), totals GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""

@@ -13,10 +13,12 @@ from ledgerloom.llm import (
     binary_output,
     decontamination,
     html_extraction,
+    lexical_search,
     license_scan,
     near_duplicates,
     oracle_sql,
     packing,
+    periodic_runs,
     quality_rules,
     token_counts,
     url_filter,
@@ -92,6 +94,31 @@ def op10_binary_output(spark: SparkSession, folder: str) -> DataFrame:
     return binary_output.read_token_files(spark, place).drop("ids")
 
 
+def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents for each benchmark item."""
+    return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which are made to repeat a part of themselves."""
+    docs = periodic_runs.with_planted_repeats(table(spark, folder, "documents"))
+    rows = periodic_runs.periodic_runs(docs)
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    rows = rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.array_max(order).alias("longest"), lines.alias("lines"), "collapsed")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"),
+        (-F.col("longest.period")).alias("period"),
+        F.floor(1000 * F.col("longest.length") / -F.col("longest.period")).cast("long").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All documents through the stages of the corpus pipeline."""
     return corpus_pipeline.run(spark, folder)
@@ -108,6 +135,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
+    "op11_lexical_search": op11_lexical_search,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
 
@@ -116,4 +145,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_near_duplicates": oracle_sql.OP6,
     "op7_vector_search": oracle_sql.OP7,
     "op8_url_filter": oracle_sql.OP8,
+    "op11_lexical_search": oracle_sql.OP11,
 }
