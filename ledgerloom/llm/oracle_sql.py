@@ -118,3 +118,25 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
 WHERE rank <= 50
 """
+
+OP12 = f"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id
+    GROUP BY x.doc_id, y.doc_id),
+links AS (
+    SELECT a, b FROM common JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common.n >= 85 * (p.n + q.n - common.n)),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(doc_id, other) AS (
+    SELECT a, b FROM edges
+    UNION SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(r.least_id, d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS least_id FROM reach GROUP BY doc_id) r ON r.doc_id = d.doc_id
+"""

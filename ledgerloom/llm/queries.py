@@ -19,6 +19,7 @@ from ledgerloom.llm import (
     oracle_sql,
     packing,
     periodic_runs,
+    prefix_tree_join,
     quality_rules,
     token_counts,
     url_filter,
@@ -99,6 +100,11 @@ def op11_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
     return lexical_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op12_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents whose sets of four-word shingles are at least 85 % alike."""
+    return prefix_tree_join.similar_sets(table(spark, folder, "documents"), words=4, percent=85)
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Periodic runs of words in all documents, a tenth of which are made to repeat a part of themselves."""
     docs = periodic_runs.with_planted_repeats(table(spark, folder, "documents"))
@@ -136,6 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_binary_output": op10_binary_output,
     "op11_lexical_search": op11_lexical_search,
+    "op12_ngram_join": op12_ngram_join,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
@@ -146,4 +153,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_vector_search": oracle_sql.OP7,
     "op8_url_filter": oracle_sql.OP8,
     "op11_lexical_search": oracle_sql.OP11,
+    "op12_ngram_join": oracle_sql.OP12,
 }
