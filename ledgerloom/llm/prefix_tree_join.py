@@ -1,18 +1,21 @@
 """Similarity join of documents on sets of word n-grams, with prefix trees; exact.
 
-1. Every shingle has a place in one global order: first by how often its bucket of ``BUCKETS`` hash
-   buckets occurs (in powers of two above the mean, rare first), then by its hash. The counts are a
-   table of fixed size, added up over all documents.
-2. Texts with equal sets are one class. Two linked sets have a shingle in common among the first
-   s - least + 1 of each one's s shingles, ``least`` being 85 % of s: these enter inverted lists.
-   Lists of one class are dropped; the full sets of the classes in the others are written once.
-3. Groups of classes from one list are joined by a prefix tree: the sets, in global order, are stored
-   in a compressed trie; each set walks down it, counting the shingles it has in common with an edge
-   once for all sets below, and leaves a subtree if the shingles left on either side can't reach the
-   overlap that sets of these lengths need, or if it is connected with all of its sets already.
-4. In the first ``ROUNDS`` rounds each class goes, with its set, into one group only, that of its
-   longest open list. A list is done if its classes are connected or were in one group. For what is
-   still open then, every list is joined whole.
+1. Texts with equal sets of shingles are one class. Shingles are counted in ``BUCKETS`` hash buckets, a
+   table of fixed size; those of buckets far above the mean are frequent. Of the others, the ones with
+   a hash in the lowest quarter are low, and the classes that hold each of them are counted exactly.
+   The global order: low shingles, rare first, then the rest by hash, then the frequent ones.
+2. Two linked sets have a shingle in common among the first s - least + 1 of each one's s shingles in
+   that order, ``least`` being 85 % of s. A class for which these are shingles of its own alone is
+   linked with nothing; the others enter them into inverted lists.
+3. Groups of classes from one list are joined by a prefix tree: the ordered sets are stored in a
+   compressed trie; each set walks down it, counting the shingles it has in common with an edge once
+   for all sets below, and leaves a subtree if the shingles left on either side can't reach the overlap
+   that sets of these sizes need, or if it is connected with all of its sets already. A first tree
+   holds the shared low shingles alone; it tells which sets may be linked at all. These go, as full
+   sets, into a second tree, which finds the links.
+4. In each round each class goes into one group only, that of its longest open list. A list is done if
+   its classes are connected or were in one group. When rounds close few lists, what is still open is
+   joined whole, list by list.
 
 A group holds about ``GROUP_SETS`` sets or ``GROUP_SHINGLES`` shingles: longer lists are dealt into
 several groups by a hash, another one each round, and at last into groups for every two of their
@@ -36,10 +39,13 @@ from ledgerloom.llm.near_duplicates import IDS_TO_BROADCAST, components, shingle
 SHINGLE_WORDS = 5
 SIMILARITY = 80
 BUCKETS = 1 << 20
-ROUNDS = 4
+LEAST_ROUNDS = 2
 GROUP_SETS = 1000
 GROUP_SHINGLES = 2_000_000
 
+#: Shingle hashes, as signed numbers, are low below this.
+LOW_BELOW = -(1 << 62)
+
 _PARTS = 64
 
 
@@ -59,24 +65,56 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays)))
 
 
-def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of all documents fall into each bucket."""
+def _key(values: np.ndarray) -> bytes | None:
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
+def _counted(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, n_shingles, set_key (null without words) of every row; and rows with ``part``, the bucket counts of a task.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Both come from one scan of the texts.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         held: list[np.ndarray] = []
-        size = 0
-        for _, sets in _sets(batches, words):
+        size, ids = 0, None
+        for part, sets in _sets(batches, words):
+            ids = part.column("doc_id")
             held += sets
             size += sum(map(len, sets))
             if size > BUCKETS:
                 counts += np.bincount(_bucket(np.concatenate(held)), minlength=BUCKETS)
                 held, size = [], 0
-        if size:
+            n = len(sets)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": ids,
+                    "n_shingles": pa.array(map(len, sets), pa.int64()),
+                    "set_key": pa.array(map(_key, sets), pa.binary()),
+                    "part": pa.nulls(n, pa.int32()),
+                    "counts": pa.nulls(n, pa.binary()),
+                }
+            )
+        if held:
             counts += np.bincount(_bucket(np.concatenate(held)), minlength=BUCKETS)
-        if counts.any():
-            parts = [part.tobytes() for part in counts.reshape(_PARTS, -1)]
-            yield pa.RecordBatch.from_pydict({"part": pa.array(range(_PARTS), pa.int32()), "counts": pa.array(parts, pa.binary())})
+        if ids is not None:
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": pa.nulls(_PARTS, ids.type),
+                    "n_shingles": pa.nulls(_PARTS, pa.int64()),
+                    "set_key": pa.nulls(_PARTS, pa.binary()),
+                    "part": pa.array(range(_PARTS), pa.int32()),
+                    "counts": pa.array([part.tobytes() for part in counts.reshape(_PARTS, -1)], pa.binary()),
+                }
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles long, set_key binary, part int, counts binary")
+
+
+def bucket_counts(counted: DataFrame) -> np.ndarray:
+    """How many shingles of all documents fall into each bucket."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -86,10 +124,9 @@ def bucket_counts(docs: DataFrame, words: int) -> np.ndarray:
                 sums[part] = sums[part] + own if part in sums else own
         yield pa.RecordBatch.from_pydict({"part": pa.array(sums, pa.int32()), "counts": pa.array([s.tobytes() for s in sums.values()], pa.binary())})
 
-    kind = "part int, counts binary"
-    summed = docs.select("text").mapInArrow(count, kind).repartition(8, "part").mapInArrow(add, kind)
+    own = counted.where(F.col("part").isNotNull()).select("part", "counts")
     total = np.zeros((_PARTS, BUCKETS // _PARTS), np.int64)
-    for row in summed.collect():  # _PARTS rows of a fixed size
+    for row in own.repartition(8, "part").mapInArrow(add, "part int, counts binary").collect():  # _PARTS rows of a fixed size
         total[row.part] = np.frombuffer(row.counts, np.int64)
     return total.ravel()
 
@@ -100,35 +137,42 @@ def bucket_ranks(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(np.maximum(counts / usual, 1.0))).astype(np.int8)
 
 
-def in_global_order(values: np.ndarray, ranks: np.ndarray) -> np.ndarray:
-    """values: sorted."""
-    own = ranks[_bucket(values)]
-    return values[np.argsort(own, kind="stable")] if own.any() else values
-
-
 def least_own(size, percent: int):
     """The least overlap of a set of this size with any set it is linked with."""
     return -(-size * percent // 100)
 
 
-def _prefixes(docs: DataFrame, words: int, percent: int, ranks: np.ndarray) -> DataFrame:
-    """doc_id, n_shingles, set_key (null without words), prefix, of every row."""
+def reach_of(size, percent: int):
+    """How many of a set's first shingles hold one of those it has in common with any linked set."""
+    return size - least_own(size, percent) + 1
+
+
+def _heads(docs: DataFrame, words: int, percent: int, ranks: np.ndarray) -> DataFrame:
+    """doc_id, n, set_key, low (its low shingles), more (what comes after them, if they don't reach far enough) of rows with words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, sets in _sets(batches, words):
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            heads = [in_global_order(s, ranks)[: len(s) - least_own(len(s), percent) + 1] for s in sets]
+            low, more = [], []
+            for values in sets:
+                own = ranks[_bucket(values)]
+                n = int(np.searchsorted(values, LOW_BELOW))
+                low.append(values[:n][own[:n] == 0])
+                order = np.lexsort((values, own, (values < LOW_BELOW) & (own == 0)))
+                missing = max(reach_of(len(values), percent) - len(low[-1]), 0)
+                more.append(values[order[:missing]] if missing else values[:0])
+            some = np.array(list(map(len, sets))) > 0
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": part.column("doc_id"),
-                    "n_shingles": pa.array(map(len, sets), pa.int64()),
-                    "set_key": pa.array(keys, pa.binary()),
-                    "prefix": _lists(heads),
+                    "n": pa.array(map(len, sets), pa.int64()),
+                    "set_key": pa.array(map(_key, sets), pa.binary()),
+                    "low": _lists(low),
+                    "more": _lists(more),
                 }
-            )
+            ).filter(pa.array(some))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n_shingles long, set_key binary, prefix array<long>")
+    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, n long, set_key binary, low array<long>, more array<long>")
 
 
 def _full_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -136,141 +180,215 @@ def _full_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, sets in _sets(batches, words):
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_pydict({"set_key": pa.array(keys, pa.binary()), "values": _lists(sets)})
+            yield pa.RecordBatch.from_pydict({"set_key": pa.array(map(_key, sets), pa.binary()), "values": _lists(sets)})
 
     return docs.select("text").mapInArrow(rows, "set_key binary, values array<long>")
 
 
 class PrefixTree:
-    """Compressed trie of sets of numbers, each ascending; all sets differ.
+    """Compressed trie of sets of numbers, each ascending.
 
-    Sets are kept in lexicographic order; a node is the edge of numbers ``start`` to ``end`` of the
-    sets ``low`` to ``high`` - 1, which begin alike up to ``end``.
+    A set may have further members that are not in the tree: ``alone`` ones, which no other set holds,
+    and ``tails`` ones, which may be in others or not. Sets are kept in lexicographic order; a node is
+    the edge of numbers ``start`` to ``end`` of the sets ``low`` to ``high`` - 1, which begin alike up
+    to ``end``.
     """
 
-    def __init__(self, sets: list[np.ndarray]):
+    def __init__(self, sets: list[np.ndarray], alone: np.ndarray | None = None, tails: np.ndarray | None = None):
+        none = np.zeros(len(sets), np.int64)
         self.order = sorted(range(len(sets)), key=lambda k: sets[k].astype(">u4").tobytes())
         self.sets = [sets[k] for k in self.order]
         self.lengths = np.array([len(s) for s in self.sets])
+        self.alone = none if alone is None else alone[self.order]
+        self.tails = none if tails is None else tails[self.order]
+        self.sizes = self.lengths + self.alone + self.tails
         alike = np.zeros(len(sets), np.int64)  # numbers that a set begins with as the one before it does
         for k in range(1, len(sets)):
             a, b = self.sets[k - 1], self.sets[k]
             n = min(len(a), len(b))
             apart = np.flatnonzero(a[:n] != b[:n])
             alike[k] = apart[0] if len(apart) else n
-        self.nodes: list[tuple] = []  # start, end, low, high, shortest, longest, children
+        self.nodes: list[tuple] = []  # start, end, low, high, least and greatest size, least alone, children
         todo = [(0, len(sets), 0, None)]
         while todo:
             low, high, start, siblings = todo.pop()
             end = int(alike[low + 1 : high].min()) if high - low > 1 else int(self.lengths[low])
-            own = self.lengths[low:high]
+            own = self.sizes[low:high]
             children: list[int] = []
             if siblings is not None:
                 siblings.append(len(self.nodes))
-            self.nodes.append((start, end, low, high, int(own.min()), int(own.max()), children))
+            self.nodes.append((start, end, low, high, int(own.min()), int(own.max()), int(self.alone[low:high].min()), children))
             if high - low > 1:
                 cuts = [low, *(low + 1 + np.flatnonzero(alike[low + 1 : high] == end)).tolist(), high]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    if not (b - a == 1 and self.lengths[a] == end):  # the set that ends here has no edge below
-                        todo.append((a, b, end, children))
+                # Sets that end here have no edge below.
+                todo += [(a, b, end, children) for a, b in zip(cuts, cuts[1:], strict=False) if self.lengths[a] > end or b - a > 1]
 
     def links(self, percent: int, groups: np.ndarray) -> list[tuple[int, int]]:
-        """Pairs of linked sets (numbers as given) that join all that links and ``groups`` connect.
+        """Pairs of sets (numbers as given) that join all that links and ``groups`` connect.
 
-        groups: for each set the group it is in already; pairs in one group are not looked at.
+        groups: for each set the group it is in already; pairs in one group are not looked at. A pair
+        is linked if it would be with all its tails in common that can be.
         """
         group = groups[self.order].copy()
-        found = []
+        found: list[tuple[int, int]] = []
+
+        def take(i: int, low: int, high: int, common: int) -> None:
+            """Link the probe with the sets for which ``common``, with the tails, is enough."""
+            sizes = self.sizes[low:high]
+            most = common + np.minimum(self.tails[low:high], self.tails[i])
+            enough = (most * (100 + percent) >= percent * (self.sizes[i] + sizes)) & (group[low:high] != group[i])
+            for k in (low + np.flatnonzero(enough)).tolist():
+                if group[k] != group[i]:
+                    found.append((self.order[i], self.order[k]))
+                    group[group == group[k]] = group[i]
+
         for i, probe in enumerate(self.sets):
-            n = len(probe)
+            n, n_probe = int(self.sizes[i]), len(probe)
+            left = n - int(self.alone[i])  # members that may be in another set
             shortest, longest = least_own(n, percent), n * 100 // percent
             todo = [(0, 0, 0)]  # node, overlap so far, numbers of the probe that lie behind
             while todo:
                 node, common, behind = todo.pop()
-                start, end, low, high, least, most, children = self.nodes[node]
-                if high <= i + 1 or least > longest or most < shortest:
-                    continue
-                if (group[max(low, i + 1) : high] == group[i]).all():
+                start, end, low, high, least, most, alone, children = self.nodes[node]
+                after = max(low, i + 1)
+                if high <= after or least > longest or most < shortest or (group[after:high] == group[i]).all():
                     continue
                 least, most = max(least, shortest), min(most, longest)
-                edge, step, open_ = self.sets[low], 16, True
+                edge, step = self.sets[low], 16
                 while True:
-                    # The length for which the overlap can come nearest to what is needed.
-                    length = min(max(start + n - behind, least), most)
-                    if (common + min(length - start, n - behind)) * (100 + percent) < percent * (n + length):
-                        open_ = False
+                    if behind == n_probe:
+                        take(i, after, high, common)
+                        break
+                    # The size for which the overlap can come nearest to what is needed.
+                    size = min(max(alone + start + left - behind, least), most)
+                    if (common + min(size - alone - start, left - behind)) * (100 + percent) < percent * (n + size):
                         break
                     if start == end:
+                        while low < high and self.lengths[low] == end:
+                            if low > i:
+                                take(i, low, low + 1, common)
+                            low += 1
+                        todo += [(child, common, behind) for child in children]
                         break
                     piece = edge[start : min(start + step, end)]
                     at = np.searchsorted(probe, piece)
-                    common += int((probe[np.minimum(at, n - 1)] == piece).sum())
+                    common += int((probe[np.minimum(at, n_probe - 1)] == piece).sum())
                     behind = int(np.searchsorted(probe, piece[-1], "right"))
                     start += len(piece)
                     step *= 2
-                if not open_:
-                    continue
-                if low > i and len(edge) == end and group[low] != group[i]:
-                    if common * 100 >= percent * (n + end - common):
-                        found.append((self.order[i], self.order[low]))
-                        group[group == group[low]] = group[i]
-                todo += [(child, common, behind) for child in children]
         return found
 
 
-def _tree_join(ranks: np.ndarray, percent: int):
+def _elements(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    column = table.column(name).combine_chunks()
+    bounds = column.offsets.to_numpy()
+    return column.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]], (bounds - bounds[0])[1:-1]
+
+
+def _numbered(values: np.ndarray, order: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Sets of numbers for sets of values: places in the order by (order, value)."""
+    known, first, local = np.unique(values, return_index=True, return_inverse=True)
+    places = np.empty(len(known), np.int64)
+    places[np.argsort(order[first], kind="stable")] = np.arange(len(known))
+    return [np.sort(part) for part in np.split(places[local], bounds)]
+
+
+def _may_link(percent: int, keys: list[str]):
+    """The classes of a group that may be linked with another one, and ``sub``, the same for those connected by such pairs."""
+
+    def join(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        sub = np.arange(table.num_rows)
+        known = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        if known.any():  # not all in one component
+            values, bounds = _elements(table, "shared")
+            sets = _numbered(values, _elements(table, "held_by")[0], bounds)
+            alone = table.column("alone").to_numpy()
+            tails = table.column("n").to_numpy() - alone - np.array([len(s) for s in sets])
+            for x, y in PrefixTree(sets, alone, tails).links(percent, np.arange(len(sub))):
+                sub[sub == sub[x]] = sub[y]
+        low, high = np.full(len(sub), len(sub)), np.full(len(sub), -1)
+        np.minimum.at(low, sub, known)
+        np.maximum.at(high, sub, known)
+        table = table.append_column("sub", pa.array(sub, pa.int64()))
+        return table.filter(pa.array((low < high)[sub])).select([*keys, "sub", "cid", "component"])
+
+    return join
+
+
+def _linked(ranks: np.ndarray, percent: int):
     """Links (a, b) among a group's classes."""
 
     def join(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         cids = table.column("cid").to_numpy()
-        a, b = [], []
-        if len(cids) > 1:
-            column = table.column("values").combine_chunks()
-            bounds = column.offsets.to_numpy()
-            values = column.values.to_numpy()[bounds[0] : bounds[-1]]
-            known, local = np.unique(values, return_inverse=True)
-            places = np.empty(len(known), np.int64)
-            places[np.argsort(ranks[_bucket(known)], kind="stable")] = np.arange(len(known))
-            sets = [np.sort(places[part]) for part in np.split(local, (bounds - bounds[0])[1:-1])]
-            groups = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-            for x, y in PrefixTree(sets).links(percent, groups):
-                a.append(min(cids[x], cids[y]))
-                b.append(max(cids[x], cids[y]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        groups = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+        values, bounds = _elements(table, "values")
+        sets = _numbered(values, ranks[_bucket(values)], bounds)
+        pairs = [(cids[x], cids[y]) for x, y in PrefixTree(sets).links(percent, groups)]
+        return pa.table({"a": pa.array([min(p) for p in pairs], pa.int64()), "b": pa.array([max(p) for p in pairs], pa.int64())})
 
     return join
 
 
 class _Join:
-    def __init__(self, space: Workspace, sets: DataFrame, ranks: np.ndarray, percent: int):
-        self.space, self.sets = space, sets
-        self.tree_join = _tree_join(ranks, percent)
-        self.links: DataFrame | None = None
-        self.components: DataFrame | None = None
+    """Finds links list by list and keeps the components of what was linked so far."""
+
+    def __init__(self, space: Workspace, docs: DataFrame, classes: DataFrame, words: int, percent: int, ranks: np.ndarray):
+        self.space, self.docs, self.classes = space, docs, classes
+        self.words, self.percent, self.ranks = words, percent, ranks
+        self.components: DataFrame | None = None  # cid, component; of linked classes
 
     def with_component(self, rows: DataFrame) -> DataFrame:
         if self.components is None:
             return rows.withColumn("component", F.col("cid"))
         return rows.join(self.components, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
 
-    def add_links(self, groups: DataFrame, keys: list[str]) -> None:
-        """Join the sets of each group (cid and keys) and take in the links that are found."""
-        members = self.with_component(groups).join(self.sets, "cid").select(*keys, "cid", "component", "values")
-        new = self.space.store(members.groupBy(*keys).applyInArrow(self.tree_join, "a long, b long"), "links")
-        if new.isEmpty():
+    def full_sets(self, classes: DataFrame) -> DataFrame:
+        """cid, values of some classes, read from the documents again."""
+        needed = classes.join(self.classes.select("cid", "set_key", "rep_id"), "cid")
+        needed = self.space.store(needed, "needed")
+        ids = needed.select(F.col("rep_id").alias("needed_id")).distinct()
+        ids = F.broadcast(ids) if needed.count() <= IDS_TO_BROADCAST else ids
+        texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
+        # Several rows may have a class's id, with the class's text or another.
+        sets = _full_sets(texts, self.words).join(needed.select("set_key", "cid"), "set_key")
+        return sets.dropDuplicates(["cid"]).select("cid", "values")
+
+    def join_groups(self, groups: DataFrame, keys: list[str]) -> None:
+        """Find the links in each group (cid and keys)."""
+        members = self.with_component(groups).join(self.classes.select("cid", "n", "alone", "shared", "held_by"), "cid")
+        members = members.select(*keys, "cid", "component", "n", "alone", "shared", "held_by")
+        kind = ", ".join(f"{key} long" for key in keys) + ", sub long, cid long, component long"
+        likely = members.groupBy(*keys).applyInArrow(_may_link(self.percent, keys), kind)
+        likely = self.space.store(likely, "likely")
+        if likely.isEmpty():
+            return
+        sets = likely.join(self.full_sets(likely.select("cid").distinct()), "cid")
+        links = sets.groupBy(*keys, "sub").applyInArrow(_linked(self.ranks, self.percent), "a long, b long")
+        links = self.space.store(links, "links")
+        if links.isEmpty():
+            return
+        # Components of components, whose names are those of classes.
+        ends = links.select(F.col("a").alias("cid")).union(links.select("b"))
+        if self.components is None:
+            self.components = components(self.space, links)
             return
-        self.links = new if self.links is None else self.space.store(self.links.union(new), "all-links")
-        self.components = components(self.space, self.links)
+        a = self.with_component(links.withColumnRenamed("a", "cid")).select(F.col("component").alias("a"), "b")
+        both = self.with_component(a.withColumnRenamed("b", "cid")).select("a", F.col("component").alias("b"))
+        merged = components(self.space, self.space.store(both.where("a != b").distinct(), "merges"))
+        merged = merged.select(F.col("cid").alias("component"), F.col("component").alias("merged"))
+        every = self.with_component(self.components.select("cid").union(ends).distinct())
+        every = every.join(merged, "component", "left").select("cid", F.coalesce("merged", "component").alias("component"))
+        self.components = self.space.store(every, "components")
 
     def still_open(self, entries: DataFrame, groups: DataFrame | None) -> DataFrame:
         """Entries (list, cid, n) of lists that are not connected and whose classes were not all in one group."""
         rows = self.with_component(entries)
-        if groups is not None:
-            rows = rows.join(groups.select("cid", F.struct("group_list", "chunk").alias("group")), "cid", "left")
-        else:
+        if groups is None:
             rows = rows.withColumn("group", F.lit(None).cast("struct<group_list:long,chunk:long>"))
+        else:
+            rows = rows.join(groups.select("cid", F.struct("group_list", "chunk").alias("group")), "cid", "left")
         lists = rows.groupBy("list").agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
@@ -311,6 +429,24 @@ def _dealt(salt: Column, parts: Column) -> Column:
     return F.pmod(F.xxhash64("cid", salt), parts.cast("long"))
 
 
+def _with_shared(classes: DataFrame, percent: int) -> DataFrame:
+    """Classes that may be linked, with ``shared``, their low shingles that other classes hold too, in
+    global order, ``held_by``, how many classes hold each, ``alone``, the number of the other low ones, and
+    ``reach``, how many shingles beyond these enter the lists.
+    """
+    postings = classes.select("cid", F.explode("low").alias("value")).repartition("value")
+    counts = postings.groupBy("value").agg(F.count("*").alias("held_by")).where("held_by > 1")
+    held = postings.join(counts, "value").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("held_by", "value"))).alias("held"))
+    rows = classes.join(held, "cid", "left").withColumn("held", F.coalesce("held", F.expr("array()").cast("array<struct<held_by:long,value:long>>")))
+    reach = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rows = rows.withColumn("alone", (F.size("low") - F.size("held")).cast("long"))
+    return rows.select(
+        "cid", "set_key", "rep_id", "n", "more", "alone",
+        F.col("held.value").alias("shared"), F.col("held.held_by").alias("held_by"),
+        (reach - F.col("alone")).cast("int").alias("reach"),
+    ).where("reach > 0")
+
+
 def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -321,34 +457,28 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     components of their own texts; a null id is no smallest id unless there is no other.
     """
     space = Workspace(docs.sparkSession, "prefix-tree-join")
-    ranks = bucket_ranks(bucket_counts(docs, words))
-    rows = space.store(_prefixes(docs, words, percent, ranks), "rows")
-    classes = rows.where(F.col("set_key").isNotNull()).groupBy("set_key").agg(
-        F.min("doc_id").alias("rep_id"), F.min("n_shingles").alias("n"), F.first("prefix").alias("prefix")
+    counted = space.store(_counted(docs, words), "counted")
+    rows = counted.where(F.col("part").isNull()).select("doc_id", "n_shingles", "set_key")
+    ranks = bucket_ranks(bucket_counts(counted))
+    classes = _heads(docs, words, percent, ranks).groupBy("set_key").agg(
+        F.min("doc_id").alias("rep_id"), F.min("n").alias("n"), F.first("low").alias("low"), F.first("more").alias("more")
     )
     classes = space.store(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    postings = classes.select("cid", "n", F.explode("prefix").alias("list"))
-    shared = postings.groupBy("list").agg(F.count("*").alias("members")).where("members > 1").select("list")
-    entries = space.store(postings.join(shared, "list"), "entries")
-    needed = space.store(entries.select("cid").distinct().join(classes.select("cid", "set_key", "rep_id"), "cid"), "needed")
-    ids = needed.select(F.col("rep_id").alias("needed_id")).distinct()
-    ids = F.broadcast(ids) if needed.count() <= IDS_TO_BROADCAST else ids
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
-    # Several rows may have a class's id, with the class's text or another.
-    sets = _full_sets(texts, words).join(needed.select("set_key", "cid"), "set_key").dropDuplicates(["cid"])
-    join = _Join(space, space.store(sets.select("cid", "values"), "sets"), ranks, percent)
-    groups, turn = None, 0
-    while turn < ROUNDS:
+    joined = space.store(_with_shared(classes, percent), "joined")
+    entries = joined.select("cid", "n", F.explode(F.concat(F.slice("shared", F.lit(1), F.col("reach")), F.expr("slice(more, 1, greatest(reach - size(shared), 0))"))).alias("list"))
+    join = _Join(space, docs, joined, words, percent, ranks)
+    groups, before, turn = None, 0, 0
+    while True:
         entries = join.still_open(entries, groups)
-        if entries.isEmpty():
+        n_open = entries.count()
+        if not n_open:
+            break
+        if turn >= LEAST_ROUNDS and n_open > before // 2:
+            join.join_groups(join.every_two_parts(entries), ["list", "one", "other"])
             break
         groups = join.one_group_each(entries, turn)
-        join.add_links(groups, ["group_list", "chunk"])
-        turn += 1
-    else:
-        entries = join.still_open(entries, groups)
-        if not entries.isEmpty():
-            join.add_links(join.every_two_parts(entries), ["list", "one", "other"])
+        join.join_groups(groups, ["group_list", "chunk"])
+        before, turn = n_open, turn + 1
     least = join.with_component(classes.select("cid", "set_key", "rep_id"))
     if join.components is None:
         found = least.select("set_key", F.col("rep_id").alias("component_id"))

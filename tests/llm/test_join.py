@@ -74,7 +74,7 @@ def corpus(rng):
     return [(i * 7 % 1009, text) for i, text in enumerate(rows)]
 
 
-@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80), (1, 60), (3, 100)])
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (1, 60), (3, 100)])
 def test_components_equal_brute_force(spark, words, percent):
     rows = [*AWKWARD, *corpus(random.Random(words)), (None, "a text without an id, of some words"), (3000, prose(2, 20_000))]
     got = similar_sets(with_clashing_columns(spark, rows).repartition(4), words, percent)
@@ -82,11 +82,11 @@ def test_components_equal_brute_force(spark, words, percent):
     assert sorted(map(tuple, got.collect()), key=str) == brute_force(rows, words, percent)
 
 
-@pytest.mark.parametrize("rounds", [0, 1, 4])
+@pytest.mark.parametrize("rounds", [0, 2])
 def test_long_lists_are_dealt_into_groups(spark, monkeypatch, rounds):
     """A large group of near copies, and lists of texts that are alike but for the threshold, in small groups."""
     monkeypatch.setattr(prefix_tree_join, "GROUP_SETS", 6)
-    monkeypatch.setattr(prefix_tree_join, "ROUNDS", rounds)
+    monkeypatch.setattr(prefix_tree_join, "LEAST_ROUNDS", rounds)
     rng = random.Random(rounds)
     base = [f"w{i}" for i in range(120)]
     rows = [(i, " ".join(edited(base, rng, 1))) for i in range(60)]
