@@ -14,8 +14,9 @@
    holds the shared low shingles alone; it tells which sets may be linked at all. These go, as full
    sets, into a second tree, which finds the links.
 4. In each round each class goes into one group only, that of its longest open list. A list is done if
-   its classes are connected or were in one group. When rounds close few lists, what is still open is
-   joined whole, list by list.
+   its classes are connected or were in one group. When rounds close few lists, the first trees of all
+   open ones turn them into lists of those classes that may be linked, equal ones being one, for
+   further rounds; what these leave open is joined whole, list by list.
 
 A group holds about ``GROUP_SETS`` sets or ``GROUP_SHINGLES`` shingles: longer lists are dealt into
 several groups by a hash, another one each round, and at last into groups for every two of their
@@ -40,6 +41,7 @@ SHINGLE_WORDS = 5
 SIMILARITY = 80
 BUCKETS = 1 << 20
 LEAST_ROUNDS = 2
+LEAST_CLOSED = 0.75
 GROUP_SETS = 1000
 GROUP_SHINGLES = 2_000_000
 
@@ -293,25 +295,36 @@ def _numbered(values: np.ndarray, order: np.ndarray, bounds: np.ndarray) -> list
     return [np.sort(part) for part in np.split(places[local], bounds)]
 
 
-def _may_link(percent: int, keys: list[str]):
-    """The classes of a group that may be linked with another one, and ``sub``, the same for those connected by such pairs."""
+def _may_link(percent: int, rounds: int):
+    """Sub-groups of a group's classes that may be linked: classes connected by pairs of which the low shingles allow a link.
+
+    ``sub`` tells a sub-group by its members, so equal ones of several lists are one. Those that are
+    connected already, or were in one group of an earlier round (label_0, label_1, ...), are left out.
+    """
 
     def join(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        sub = np.arange(table.num_rows)
-        known = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-        if known.any():  # not all in one component
+        cids, component = table.column("cid").to_numpy(), table.column("component").to_numpy()
+        labels = [table.column(f"label_{k}").to_pylist() for k in range(rounds)]
+        sub = np.arange(len(cids))
+        if (component != component[0]).any():
             values, bounds = _elements(table, "shared")
             sets = _numbered(values, _elements(table, "held_by")[0], bounds)
             alone = table.column("alone").to_numpy()
             tails = table.column("n").to_numpy() - alone - np.array([len(s) for s in sets])
             for x, y in PrefixTree(sets, alone, tails).links(percent, np.arange(len(sub))):
                 sub[sub == sub[x]] = sub[y]
-        low, high = np.full(len(sub), len(sub)), np.full(len(sub), -1)
-        np.minimum.at(low, sub, known)
-        np.maximum.at(high, sub, known)
-        table = table.append_column("sub", pa.array(sub, pa.int64()))
-        return table.filter(pa.array((low < high)[sub])).select([*keys, "sub", "cid", "component"])
+        names, rows = [], []
+        for one in np.unique(sub[np.bincount(sub)[sub] > 1]):
+            members = np.flatnonzero(sub == one)
+            if (component[members] == component[members[0]]).all():
+                continue
+            if any(own[members[0]] is not None and len({own[k] for k in members}) == 1 for own in labels):
+                continue
+            digest = hashlib.blake2b(np.sort(cids[members]).tobytes(), digest_size=8).digest()
+            names += [int.from_bytes(digest, "little", signed=True)] * len(members)
+            rows += members.tolist()
+        return pa.table({"sub": pa.array(names, pa.int64()), "cid": pa.array(cids[rows], pa.int64()), "component": pa.array(component[rows], pa.int64())})
 
     return join
 
@@ -338,6 +351,7 @@ class _Join:
         self.space, self.docs, self.classes = space, docs, classes
         self.words, self.percent, self.ranks = words, percent, ranks
         self.components: DataFrame | None = None  # cid, component; of linked classes
+        self.rounds: list[DataFrame] = []  # cid, group_list, chunk of each round
 
     def with_component(self, rows: DataFrame) -> DataFrame:
         if self.components is None:
@@ -355,17 +369,23 @@ class _Join:
         sets = _full_sets(texts, self.words).join(needed.select("set_key", "cid"), "set_key")
         return sets.dropDuplicates(["cid"]).select("cid", "values")
 
+    def likely(self, groups: DataFrame, keys: list[str]) -> DataFrame:
+        """sub, cid, component: the sub-groups of each group (cid and keys) that may have links."""
+        members = self.with_component(groups).join(self.classes.select("cid", "n", "alone", "shared", "held_by"), "cid")
+        labels = [f"label_{k}" for k in range(len(self.rounds))]
+        for label, earlier in zip(labels, self.rounds, strict=True):
+            members = members.join(earlier.select("cid", F.xxhash64("group_list", "chunk").alias(label)), "cid", "left")
+        members = members.select(*keys, "cid", "component", "n", "alone", "shared", "held_by", *labels)
+        likely = members.groupBy(*keys).applyInArrow(_may_link(self.percent, len(labels)), "sub long, cid long, component long")
+        return self.space.store(likely.distinct(), "likely")
+
     def join_groups(self, groups: DataFrame, keys: list[str]) -> None:
         """Find the links in each group (cid and keys)."""
-        members = self.with_component(groups).join(self.classes.select("cid", "n", "alone", "shared", "held_by"), "cid")
-        members = members.select(*keys, "cid", "component", "n", "alone", "shared", "held_by")
-        kind = ", ".join(f"{key} long" for key in keys) + ", sub long, cid long, component long"
-        likely = members.groupBy(*keys).applyInArrow(_may_link(self.percent, keys), kind)
-        likely = self.space.store(likely, "likely")
+        likely = self.likely(groups, keys)
         if likely.isEmpty():
             return
         sets = likely.join(self.full_sets(likely.select("cid").distinct()), "cid")
-        links = sets.groupBy(*keys, "sub").applyInArrow(_linked(self.ranks, self.percent), "a long, b long")
+        links = sets.groupBy("sub").applyInArrow(_linked(self.ranks, self.percent), "a long, b long")
         links = self.space.store(links, "links")
         if links.isEmpty():
             return
@@ -464,22 +484,30 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
         F.min("doc_id").alias("rep_id"), F.min("n").alias("n"), F.first("low").alias("low"), F.first("more").alias("more")
     )
     classes = space.store(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    names = space.store(classes.select("cid", "set_key", "rep_id"), "names")
     joined = space.store(_with_shared(classes, percent), "joined")
+    space.drop(classes)
     entries = joined.select("cid", "n", F.explode(F.concat(F.slice("shared", F.lit(1), F.col("reach")), F.expr("slice(more, 1, greatest(reach - size(shared), 0))"))).alias("list"))
     join = _Join(space, docs, joined, words, percent, ranks)
-    groups, before, turn = None, 0, 0
+    groups, before, refined = None, None, False
     while True:
         entries = join.still_open(entries, groups)
         n_open = entries.count()
         if not n_open:
             break
-        if turn >= LEAST_ROUNDS and n_open > before // 2:
-            join.join_groups(join.every_two_parts(entries), ["list", "one", "other"])
-            break
-        groups = join.one_group_each(entries, turn)
+        if before and len(join.rounds) >= LEAST_ROUNDS and n_open > before * LEAST_CLOSED:
+            if refined:
+                join.join_groups(join.every_two_parts(entries), ["list", "one", "other"])
+                break
+            likely = join.likely(join.every_two_parts(entries), ["list", "one", "other"])
+            entries = likely.select("cid", F.col("sub").alias("list")).join(joined.select("cid", "n"), "cid")
+            groups, before, refined = None, None, True
+            continue
+        groups = join.one_group_each(entries, len(join.rounds))
         join.join_groups(groups, ["group_list", "chunk"])
-        before, turn = n_open, turn + 1
-    least = join.with_component(classes.select("cid", "set_key", "rep_id"))
+        join.rounds.append(groups)
+        before = n_open
+    least = join.with_component(names)
     if join.components is None:
         found = least.select("set_key", F.col("rep_id").alias("component_id"))
     else:
