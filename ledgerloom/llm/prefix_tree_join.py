@@ -14,9 +14,10 @@
    holds the shared low shingles alone; it tells which sets may be linked at all. These go, as full
    sets, into a second tree, which finds the links.
 4. In each round each class goes into one group only, that of its longest open list. A list is done if
-   its classes are connected or were in one group. When rounds close few lists, the first trees of all
-   open ones turn them into lists of those classes that may be linked, equal ones being one, for
-   further rounds; what these leave open is joined whole, list by list.
+   its classes are connected or were in one group. When rounds close few lists, the classes of the open
+   ones, few by then, start again on their own: all their shingles count as low, so those of one class
+   alone fill most classes' first places, and the first tree's answer is exact. What further rounds
+   leave open is joined whole, list by list.
 
 A group holds about ``GROUP_SETS`` sets or ``GROUP_SHINGLES`` shingles: longer lists are dealt into
 several groups by a hash, another one each round, and at last into groups for every two of their
@@ -467,6 +468,13 @@ def _with_shared(classes: DataFrame, percent: int) -> DataFrame:
     ).where("reach > 0")
 
 
+def _entries(classes: DataFrame) -> DataFrame:
+    """list, cid, n: the inverted lists of the classes' first shared shingles."""
+    first = F.slice("shared", F.lit(1), F.col("reach"))
+    more = F.expr("slice(more, 1, greatest(reach - size(shared), 0))")
+    return classes.select(F.explode(F.concat(first, more)).alias("list"), "cid", "n")
+
+
 def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
@@ -487,21 +495,22 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     names = space.store(classes.select("cid", "set_key", "rep_id"), "names")
     joined = space.store(_with_shared(classes, percent), "joined")
     space.drop(classes)
-    entries = joined.select("cid", "n", F.explode(F.concat(F.slice("shared", F.lit(1), F.col("reach")), F.expr("slice(more, 1, greatest(reach - size(shared), 0))"))).alias("list"))
     join = _Join(space, docs, joined, words, percent, ranks)
-    groups, before, refined = None, None, False
+    entries, groups, before, again = _entries(joined), None, None, False
     while True:
         entries = join.still_open(entries, groups)
         n_open = entries.count()
         if not n_open:
             break
         if before and len(join.rounds) >= LEAST_ROUNDS and n_open > before * LEAST_CLOSED:
-            if refined:
+            if again:
                 join.join_groups(join.every_two_parts(entries), ["list", "one", "other"])
                 break
-            likely = join.likely(join.every_two_parts(entries), ["list", "one", "other"])
-            entries = likely.select("cid", F.col("sub").alias("list")).join(joined.select("cid", "n"), "cid")
-            groups, before, refined = None, None, True
+            rest = entries.select("cid").distinct().join(joined.select("cid", "n", "set_key", "rep_id"), "cid")
+            rest = rest.join(join.full_sets(rest.select("cid")), "cid").withColumnRenamed("values", "low")
+            rest = space.store(rest.withColumn("more", F.slice("low", 1, 0)), "rest")
+            join.classes = space.store(_with_shared(rest, percent), "joined-again")
+            entries, groups, before, again = _entries(join.classes), None, None, True
             continue
         groups = join.one_group_each(entries, len(join.rounds))
         join.join_groups(groups, ["group_list", "chunk"])
