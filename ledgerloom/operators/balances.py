@@ -57,12 +57,17 @@ def account_month(
     amount: str = "signed_amount",
     first: str,
     last: str,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """Dense account x month table: flows (0 where none) and the running balance ``est_balance``.
 
     Postings before the account's first month or outside ``first`` .. ``last`` do not count, and
     postings of unknown accounts are left out. ``account`` is unique in ``accounts``.
 
+    ``carried`` (account, est_balance) are the closing balances of the month before ``first``: with them
+    the rows are those that a table from an earlier month on has from ``first`` on, out of the postings
+    since then alone.
+
     The table is dense only in its last step. The opening months enter the monthly aggregation as
     empty postings; the running sum then works on the months that have something, at most one row
     per account and month whatever an account's share of the postings, and each row is unrolled up
@@ -80,14 +85,21 @@ def account_month(
         F.col(account), posted_in.alias("_month"), F.col(amount).alias("_value"), F.lit(False).alias("_opening")
     )
     flow = F.col("_value")
+    events = openings.unionByName(moves)
+    if carried is not None:
+        balances_before = carried.select(
+            F.col(account), F.lit(1).alias("_month"), F.lit(None).cast(value_type).alias("_value"), F.lit(True).alias("_opening"),
+            F.col("est_balance").alias("_carried"),
+        )
+        events = events.unionByName(balances_before, allowMissingColumns=True)
     active = (
-        openings.unionByName(moves)
-        .groupBy(account, "_month")
+        events.groupBy(account, "_month")
         .agg(
             F.bool_or("_opening").alias("_opening"),
             sum_where(flow, flow > 0).alias("credits"),
             sum_where(-flow, flow < 0).alias("debits"),
             F.count_if(~F.col("_opening")).alias("txn_count"),
+            *([] if carried is None else [F.sum("_carried").alias("_carried")]),
         )
         .withColumn("net_flow", F.col("credits") - F.col("debits"))
     )
@@ -99,6 +111,10 @@ def account_month(
         .withColumn("est_balance", F.sum("net_flow").over(so_far))
         .withColumn("_until", F.coalesce(F.lead("_month").over(by_month), F.lit(end + 1)))
     )
+    if carried is not None:
+        before = F.coalesce(F.sum("_carried").over(so_far), F.lit(0))
+        kind = balances.schema["est_balance"].dataType
+        balances = balances.withColumn("est_balance", (F.col("est_balance") + before).cast(kind))
     covered = F.slice(calendar.texts(), F.col("_month"), F.col("_until") - F.col("_month"))
     unrolled = balances.select(account, *FLOWS, "est_balance", F.posexplode(covered).alias("_later", "month"))
     flows = [F.when(F.col("_later") == 0, F.col(name)).otherwise(F.lit(0)).alias(name) for name in FLOWS]

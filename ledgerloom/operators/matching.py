@@ -43,12 +43,15 @@ def repeated_groups(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def dated_before(child: DataFrame, key: str, day: str, parent: DataFrame, parent_key: str, parent_day: str) -> DataFrame:
-    """Child rows dated before their parent; rows without a parent or a date do not count."""
+    """Child rows dated before their parent; rows without a parent or a date do not count.
+
+    Child rows are counted by key and day before they meet their parents, so a key with many rows
+    takes part with its days only.
+    """
     parents = parent.select(F.col(parent_key).alias("_key"), F.col(parent_day).alias("_day"))
-    early = child.select(F.col(key).alias("_fk"), F.col(day).alias("_own")).join(
-        parents, (F.col("_fk") == F.col("_key")) & (F.col("_own") < F.col("_day"))
-    )
-    return early.agg(F.count(F.lit(1)).alias("failed_rows"))
+    known = child.select(F.col(key).alias("_fk"), F.col(day).alias("_own")).dropna()
+    cells = known.groupBy("_fk", "_own").agg(F.count(F.lit(1)).alias("_rows"))
+    return _total(cells.join(parents, (F.col("_fk") == F.col("_key")) & (F.col("_own") < F.col("_day"))), "_rows")
 
 
 def row_count_gap(whole: DataFrame, *parts: DataFrame) -> DataFrame:

@@ -5,12 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import threading
 from collections.abc import Iterator, Mapping, Sequence
-from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from ledgerloom.operators.checks import Check
-from ledgerloom.operators.dedupe import Split
 from ledgerloom.plans import fixed_values as fixed
 from ledgerloom.plans import marts, staging
 from ledgerloom.plans.quality import bank_check_log, unreconciled
@@ -26,6 +24,9 @@ _SIMPLE_STAGES = {
     "stg_loan": staging.stage_loan,
     "stg_order": staging.stage_order,
 }
+#: Tables that are not written on their own: both are parts of the table ``trans``.
+_PARTS_OF_TRANS = ("stg_trans", "rej_trans")
+_PARTITIONS = {"trans": ["is_kept"], "mart_account_month": marts.MONTH_PARTITIONS}
 TABLE_NAMES = (
     *_SIMPLE_STAGES,
     "stg_trans",
@@ -60,7 +61,10 @@ class Bank(Mapping[str, DataFrame]):
     def __getitem__(self, name: str) -> DataFrame:
         with self._lock(name):
             if name not in self._done:
-                self._done[name] = write_table(self._build(name), f"{self._folder}/{name}")
+                if name in _PARTS_OF_TRANS:
+                    self._done[name] = staging.kept_or_rejected(self["trans"], name)
+                else:
+                    self._done[name] = write_table(self._build(name), f"{self._folder}/{name}", _PARTITIONS.get(name, ()))
             return self._done[name]
 
     def _lock(self, name: str) -> threading.RLock:
@@ -73,24 +77,13 @@ class Bank(Mapping[str, DataFrame]):
     def __len__(self) -> int:
         return len(self._raw) + len(TABLE_NAMES) + len(VIEWS)
 
-    @property
-    def _trans(self) -> Split:
-        with self._lock("split"):
-            return self._split
-
-    @cached_property
-    def _split(self) -> Split:
-        return staging.split_trans(self["raw_trans"])
-
     def _build(self, name: str) -> DataFrame:
         if name.startswith("raw_"):
             return self._raw[name.removeprefix("raw_")]
         if name in _SIMPLE_STAGES:
             return _SIMPLE_STAGES[name](self[name.replace("stg_", "raw_")])
-        if name == "stg_trans":
-            return staging.stage_trans(self._trans.kept)
-        if name == "rej_trans":
-            return staging.reject_trans(self._trans.rejected)
+        if name == "trans":
+            return staging.tagged_trans(staging.split_trans(self["raw_trans"]))
         if name == "unreconciled_accounts":
             return unreconciled(self["stg_trans"])
         if name == "mart_account_month":
@@ -117,8 +110,8 @@ class Bank(Mapping[str, DataFrame]):
         """
         steps = [
             [f"raw_{name}" for name in self._raw],
-            [*_SIMPLE_STAGES, "stg_trans"],
-            ["rej_trans", "unreconciled_accounts", "mart_account_month"],
+            [*_SIMPLE_STAGES, "trans"],
+            ["unreconciled_accounts", "mart_account_month"],
             ["mart_account_360"],
             [*VIEWS],
         ]

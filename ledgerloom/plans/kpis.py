@@ -40,7 +40,7 @@ def kpi_table(t: Tables, log: DataFrame) -> DataFrame:
     )
     months = (
         t["mart_account_month"]
-        .filter(F.col("month") >= fixed.REPORT_YEAR_FROM)
+        .filter((F.col("year") >= fixed.REPORT_YEAR) & (F.col("month") >= fixed.REPORT_YEAR_FROM))
         .agg(F.sum("net_flow").alias("net_flow"))
     )
     loans = t["stg_loan"].agg(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.measures import exact_mean
@@ -10,12 +12,36 @@ from ledgerloom.operators.balances import account_month
 from ledgerloom.operators.categories import best_category
 from ledgerloom.operators.ordering import with_ntile
 from ledgerloom.plans import fixed_values as fixed
+from ledgerloom.sources.tables import read_table, replace_partitions, stored
+
+#: Partition columns of the month table: the year, and the first month of the run that added the rows.
+MONTH_PARTITIONS = ["year", "added_from"]
+
+
+def _in_partitions(months: DataFrame, first: str) -> DataFrame:
+    year = F.substring("month", 1, 4).cast("int")
+    return months.withColumn("year", year).withColumn("added_from", F.lit(first[:7]))
 
 
 def build_account_month(
     accounts: DataFrame, trans: DataFrame, first: str = fixed.FIRST_MONTH, last: str = fixed.LAST_MONTH
 ) -> DataFrame:
-    return account_month(accounts, trans, first=first, last=last)
+    return _in_partitions(account_month(accounts, trans, first=first, last=last), first)
+
+
+def append_months(spark: SparkSession, path: str, accounts: DataFrame, trans: DataFrame, first: str, last: str) -> DataFrame:
+    """Add the months from ``first`` to ``last`` to the month table at ``path`` and return it.
+
+    Reads the closing balances of the month before ``first``, one partition of the table, and the
+    postings of the new months. The result is the table that a full build up to ``last`` gives, as long
+    as no posting of an earlier month came later. Adding the same months again replaces them.
+    """
+    day = dt.date.fromisoformat(first) - dt.timedelta(days=1)
+    closed = read_table(spark, path).where((F.col("year") == day.year) & (F.col("month") == f"{day:%Y-%m}"))
+    carried = stored(closed.select("account_id", "est_balance"), "closing-balances")
+    since = trans.where(F.col("txn_date") >= F.lit(first).cast("date"))
+    rows = account_month(accounts, since, first=first, last=last, carried=carried)
+    return replace_partitions(_in_partitions(rows, first), path, MONTH_PARTITIONS)
 
 
 def owners(disp: DataFrame, client: DataFrame) -> DataFrame:
@@ -28,7 +54,7 @@ def owners(disp: DataFrame, client: DataFrame) -> DataFrame:
 def report_year_balances(months: DataFrame) -> DataFrame:
     balance = F.col("est_balance")
     return (
-        months.filter(F.col("month") >= fixed.REPORT_YEAR_FROM)
+        months.filter((F.col("year") >= fixed.REPORT_YEAR) & (F.col("month") >= fixed.REPORT_YEAR_FROM))
         .groupBy("account_id")
         .agg(
             exact_mean(balance).alias("avg_balance_1998"),

@@ -14,12 +14,13 @@ from ledgerloom.operators.balances import balance_gaps
 from ledgerloom.operators.checks import append_log, failing, run_checks
 from ledgerloom.plans import evidence, insights, kpis, star_queries
 from ledgerloom.plans.bank import TABLE_NAMES, Bank
+from ledgerloom.plans.marts import MONTH_PARTITIONS, append_months, build_account_month
 from ledgerloom.plans.quality import SHORT_CHECKS, postings_by_spine, raw_row_counts, unparsed_dates
 from ledgerloom.plans.star import raw_bank_tables
 from ledgerloom.plans.views import VIEWS, raw_portfolio_by_region, register_views
 from ledgerloom.sources.delimited import read_delimited, write_delimited
 from ledgerloom.sources.schemas import CAUSES_SCHEMA
-from ledgerloom.sources.tables import run_dir
+from ledgerloom.sources.tables import run_dir, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -76,6 +77,21 @@ def _log_columns(log: DataFrame) -> DataFrame:
     return log.drop("run_ts")
 
 
+def _account_months(months: DataFrame) -> DataFrame:
+    return months.drop(*MONTH_PARTITIONS)
+
+
+def _appended_months(b: Bank) -> DataFrame:
+    """The month table built up to the calendar's last year but one, then month runs added to it, one of them twice."""
+    first, last = b.months
+    spark, year = b["stg_account"].sparkSession, int(last[:4])
+    place = f"{run_dir(spark)}/appended-{uuid.uuid4().hex}"
+    write_table(build_account_month(b["stg_account"], b["stg_trans"], first, f"{year - 2}-12-01"), place, MONTH_PARTITIONS)
+    for start, end in ((f"{year - 1}-01-01", f"{year}-03-01"), (f"{year}-04-01", last), (f"{year}-04-01", last)):
+        table = append_months(spark, place, b["stg_account"], b["stg_trans"], start, end)
+    return _account_months(table)
+
+
 def _known_causes(log: DataFrame) -> DataFrame:
     """What a user of the job might supply: two of the checks are explained, one twice."""
     rows = [
@@ -138,6 +154,8 @@ STAR_QUERIES: dict[str, Query] = {
 BANK_QUERIES: dict[str, Query] = {
     **{name: _table(name) for name in TABLE_NAMES},
     **{name: _table(name) for name in VIEWS},
+    "mart_account_month": _on_bank(lambda b: _account_months(b["mart_account_month"])),
+    "mart_account_month_appended": _on_bank(_appended_months),
     "raw_portfolio_by_region": _on_bank(raw_portfolio_by_region),
     "dq_log": _on_log(_log_columns),
     "dq_log_short": _on_bank(lambda b: _log_columns(run_checks(b, SHORT_CHECKS))),

@@ -10,6 +10,9 @@ from ledgerloom.functions.dates import birth_age, birth_date, birth_gender, pars
 from ledgerloom.operators.dedupe import Split, split_duplicates
 from ledgerloom.plans import fixed_values as fixed
 
+STAGED_TRANS = ["trans_id", "account_id", "txn_date", "txn_type", "operation", "amount", "signed_amount", "balance_reported", "k_symbol", "bank", "account"]
+REJECTED_TRANS = ["trans_id", "account_id", "date", "type", "operation", "amount", "balance", "k_symbol", "reject_reason"]
+
 
 def stage_district(raw: DataFrame) -> DataFrame:
     return raw.select(
@@ -85,6 +88,23 @@ def split_trans(raw: DataFrame) -> Split:
     return split_duplicates(raw, fixed.DUPLICATE_KEY, ["trans_id"])
 
 
+def tagged_trans(split: Split) -> DataFrame:
+    """Staged postings and rejected repeats as one table, told apart by its last column ``is_kept``.
+
+    Columns that only one of them has are null in the other, which takes no room in Parquet.
+    """
+    kept = stage_trans(split.kept).withColumn("is_kept", F.lit(True))
+    rejected = reject_trans(split.rejected).withColumn("is_kept", F.lit(False))
+    tagged = kept.unionByName(rejected, allowMissingColumns=True)
+    return tagged.select(*[c for c in tagged.columns if c != "is_kept"], "is_kept")
+
+
+def kept_or_rejected(tagged: DataFrame, name: str) -> DataFrame:
+    """``stg_trans`` or ``rej_trans`` out of the tagged table, of which it reads one folder."""
+    kept = name == "stg_trans"
+    return tagged.filter(F.col("is_kept") == kept).select(*(STAGED_TRANS if kept else REJECTED_TRANS))
+
+
 def stage_trans(kept: DataFrame) -> DataFrame:
     kind, amount = F.col("type"), F.col("amount")
     return kept.select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +54,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{version}")
 
 
-def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace the table at ``path`` and return it read back.
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Replace the table at ``path`` and return it read back; ``partition_by`` are its last columns.
 
     The rows are written to a folder of their own, and a small pointer is moved to it last: until
     then, and after a failed write, readers get the old rows. The version before stays for readers
@@ -65,7 +65,7 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     spark = df.sparkSession
     before = current_version(spark, path)
     version = f"v-{uuid.uuid4().hex}"
-    df.write.parquet(f"{path}/{version}")
+    df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
     _point_to(spark, path, version)
     folder, files, _ = _hadoop(spark, path)
     for status in files.listStatus(folder):
@@ -75,6 +75,20 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{path}/{version}")
 
 
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """Put rows into the current version of a partitioned table and return the whole table.
+
+    Only the partitions that ``df`` has rows for are written, in place of what they held before, so a
+    repeated run changes nothing. They are moved into place when all have been written.
+    """
+    spark = df.sparkSession
+    place = f"{path}/{current_version(spark, path)}"
+    if place.endswith("/None"):
+        raise FileNotFoundError(f"no table was written to {path}")
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an intermediate result to the shared folder and continue from the files.
 

@@ -544,3 +544,5 @@ BANK_SQL["registered_views"] = query(
        UNION ALL SELECT 'vw_card_summary', COUNT(*) FROM (SELECT DISTINCT top_card, tier FROM mart_account_360)
        UNION ALL SELECT 'vw_standing_orders', COUNT(*) FROM (SELECT DISTINCT purpose FROM stg_order)""",
     "trend", "tiers", "stg_trans", "portfolio", "watchlist", "scorecard", "mart_account_360", "stg_order")
+
+BANK_SQL["mart_account_month_appended"] = BANK_SQL["mart_account_month"]
