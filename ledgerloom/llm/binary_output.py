@@ -147,10 +147,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         writer.close()
         stream.close()
         out = pd.DataFrame(writer.frames, columns=["frame", "first_doc_id", "last_doc_id", "n_docs", "n_tokens"])
-        out["first_doc_id"], out["last_doc_id"] = out["first_doc_id"].astype("Int64"), out["last_doc_id"].astype("Int64")
+        for column, name_at in (("first_doc_id", 1), ("last_doc_id", 2)):
+            out[column] = pd.array([entry[name_at] for entry in writer.frames], dtype="Int64")  # whole beside a null
         yield out.assign(shard=shard, name=name)[["shard", "name", "frame", "first_doc_id", "last_doc_id", "n_docs", "n_tokens"]]
 
-    frames = rows.select("doc_id", "text").mapInPandas(
+    # Ids travel as text: pandas rounds whole numbers beside a null.
+    frames = rows.select(F.col("doc_id").cast("string"), "text").mapInPandas(
         write, "shard int, name string, frame int, first_doc_id long, last_doc_id long, n_docs long, n_tokens long"
     )
     frames.write.mode("overwrite").parquet(f"{folder}/frames")
@@ -199,7 +201,7 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: list[int] | None
                     start += len(ids) // 4
                 if out:
                     got = pd.DataFrame(out, columns=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
-                    yield got.assign(doc_id=got["doc_id"].astype("Int64"))
+                    yield got.assign(doc_id=pd.array([row[0] for row in out], dtype="Int64"))
         if file is not None:
             file.close()
 

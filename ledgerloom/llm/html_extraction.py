@@ -417,7 +417,6 @@ def extract(pages: DataFrame) -> DataFrame:
     sums = container_votes(hosted).groupBy("host", "path").agg(F.round(F.sum("vote"), 6).alias("votes"), F.sum("best_on").alias("best_on"))
     winners = space.store(winning_paths(space.store(sums, "votes")), "winners")
     joined = hosted.join(winners, "host", "left")
-    kind = pages.schema["page_id"].dataType.simpleString()
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -432,4 +431,7 @@ def extract(pages: DataFrame) -> DataFrame:
                     paths.append(used if texts[-1] else None)
                 yield part[["page_id", "url"]].assign(text=texts, path=paths)
 
-    return joined.select("page_id", "url", "html", "path", "templates").mapInPandas(read, f"page_id {kind}, url string, text string, path string")
+    # Ids travel as text: pandas rounds whole numbers beside a null.
+    columns = [F.col("page_id").cast("string"), "url", "html", "path", "templates"]
+    found = joined.select(*columns).mapInPandas(read, "page_id string, url string, text string, path string")
+    return found.withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))

@@ -107,10 +107,11 @@ def encoded_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID
                     {"doc_id": part["doc_id"].to_numpy(), "n_tokens": counts, "curve_key": curve_key(points), "ids": blobs}
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(
-        encode, f"doc_id {kind}, n_tokens long, curve_key long, ids binary"
+    # Ids travel as text: pandas rounds whole numbers beside a null.
+    encoded = docs.select(F.col("doc_id").cast("string"), "text").mapInPandas(
+        encode, "doc_id string, n_tokens long, curve_key long, ids binary"
     )
+    return encoded.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))
 
 
 def _powers(length: int) -> list[int]:
@@ -180,8 +181,8 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence_tokens: int = SEQUENCE_T
         if out:
             yield frame(out)
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return ordered.select("doc_id", "n_tokens", "ids").mapInPandas(
+    packed = ordered.select(F.col("doc_id").cast("string"), "n_tokens", "ids").mapInPandas(
         fill,
-        f"doc_id {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
+        "doc_id string, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long",
     )
+    return packed.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType))

@@ -404,7 +404,10 @@ class _Join:
         self.components = self.space.store(every, "components")
 
     def still_open(self, entries: DataFrame, groups: DataFrame | None) -> DataFrame:
-        """Entries (list, cid, n) of lists that are not connected and whose classes were not all in one group."""
+        """Entries (list, cid, n) of lists that are not connected and whose classes were not all in one group.
+
+        Of several lists of the same classes, known by 128 bits, one stays.
+        """
         rows = self.with_component(entries)
         if groups is None:
             rows = rows.withColumn("group", F.lit(None).cast("struct<group_list:long,chunk:long>"))
@@ -417,9 +420,12 @@ class _Join:
             F.max("group").alias("high_group"),
             F.count("group").alias("grouped"),
             F.count("*").alias("members"),
+            F.bit_xor(F.xxhash64("cid")).alias("who"),
+            F.bit_xor(F.xxhash64("cid", F.lit(1))).alias("who_else"),
         )
         together = (F.col("grouped") == F.col("members")) & (F.col("low_group") == F.col("high_group"))
         lists = lists.where((F.col("low") < F.col("high")) & ~F.coalesce(together, F.lit(False)))
+        lists = lists.groupBy("members", "who", "who_else").agg(F.min("list").alias("list"))
         return self.space.store(entries.join(lists.select("list"), "list"), "open")
 
     def parts(self, entries: DataFrame, of: str, sets: int, shingles: int) -> DataFrame:

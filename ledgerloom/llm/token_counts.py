@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +120,16 @@ def apply_edits(text: str, tree: CountTree, edits: list[tuple[int, int, str]], e
     return "".join(out), again, len(clean), skipped
 
 
+_TREE_TYPES = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+
+
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, so that a worker holds few texts and trees as Python objects."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def with_trees(docs: DataFrame, tokenizer_path: str, leaf_pieces: int = LEAF_PIECES, text: str = "text") -> DataFrame:
     """All columns of ``docs``, with n_tokens, tree_starts and tree_sums (existing ones of these names are replaced).
 
@@ -127,19 +138,19 @@ def with_trees(docs: DataFrame, tokenizer_path: str, leaf_pieces: int = LEAF_PIE
     own = ["n_tokens", "tree_starts", "tree_sums"]
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own])
 
-    def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        for batch in batches:
-            trees = [CountTree.build(t or "", encode, leaf_pieces) for t in batch[text]]
-            yield batch.assign(
-                n_tokens=[t.total for t in trees], tree_starts=[t.starts for t in trees], tree_sums=[t.sums for t in trees]
-            )
+        for part in _slices(batches):
+            trees = [CountTree.build(t or "", encode, leaf_pieces) for t in part.column(text).to_pylist()]
+            made = [[t.total for t in trees], [t.starts for t in trees], [t.sums for t in trees]]
+            arrays = [pa.array(values, kind) for values, kind in zip(made, _TREE_TYPES, strict=True)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *arrays], names=[*part.schema.names, *own])
 
     from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
     longs = ArrayType(LongType(), False)
     added = [StructField("n_tokens", LongType()), StructField("tree_starts", longs), StructField("tree_sums", longs)]
-    return docs.mapInPandas(build, StructType([*docs.schema.fields, *added]))
+    return docs.mapInArrow(build, StructType([*docs.schema.fields, *added]))
 
 
 def with_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
@@ -161,26 +172,26 @@ def count_after_edits(trees: DataFrame, tokenizer_path: str, text: str = "text")
     n_chars (after), n_chars_encoded (encoded again), tree_starts, tree_sums. A null array is no edit.
     """
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer_path)
-        for batch in batches:
-            for low in range(0, len(batch), 500):
-                part, out = batch.iloc[low : low + 500], []
-                for doc_id, old, starts, sums, edits in zip(
-                    part["doc_id"], part["text"], part["tree_starts"], part["tree_sums"], part["edits"], strict=True
-                ):
-                    tree = CountTree(np.array(starts), np.array(sums))
-                    before = tree.total
-                    changes = [] if edits is None else [(e["start"], e["stop"], e["replacement"]) for e in edits if e is not None]
-                    new, again, done, skipped = apply_edits(old or "", tree, changes, encode)
-                    out.append((doc_id, new, before, tree.total, done, skipped, len(new), again, tree.starts, tree.sums))
-                yield pd.DataFrame(out, columns=names)
+        for part in _slices(batches):
+            out = []
+            cells = [part.column(name).to_pylist() for name in ("text", "tree_starts", "tree_sums", "edits")]
+            for old, starts, sums, edits in zip(*cells, strict=True):
+                tree = CountTree(np.array(starts, np.int64), np.array(sums, np.int64))
+                before = tree.total
+                changes = [] if edits is None else [(e["start"], e["stop"], e["replacement"]) for e in edits if e is not None]
+                new, again, done, skipped = apply_edits(old or "", tree, changes, encode)
+                out.append((new, before, tree.total, done, skipped, len(new), again, tree.starts, tree.sums))
+            kinds = [pa.string(), *[pa.int64()] * 6, *_TREE_TYPES[1:]]
+            arrays = [pa.array(values, kind) for values, kind in zip(zip(*out, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), *arrays], names=names)
 
     kind = trees.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, new_text string, n_tokens_before long, n_tokens long, n_edits long, n_skipped long, n_chars long, n_chars_encoded long, tree_starts array<long>, tree_sums array<long>"
     names = [field.split()[0] for field in schema.split(", ")]
     columns = [F.col("doc_id"), F.col(text).alias("text"), "tree_starts", "tree_sums", "edits"]
-    return trees.select(*columns).mapInPandas(count, schema)
+    return trees.select(*columns).mapInArrow(count, schema)
 
 
 # What the redaction replaces: mail addresses, telephone numbers and keys.
