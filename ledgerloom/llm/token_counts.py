@@ -22,6 +22,9 @@ from ledgerloom.llm.tokens import PIECES, Encoder, encoder
 
 LEAF_PIECES = 64
 
+#: Pieces kept by a worker; building and editing run side by side, so each core has two workers with one.
+CACHED_PIECES = 200_000
+
 EDIT_TYPE = "array<struct<start:int,stop:int,replacement:string>>"
 
 
@@ -139,7 +142,7 @@ def with_trees(docs: DataFrame, tokenizer_path: str, leaf_pieces: int = LEAF_PIE
     docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in own])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, CACHED_PIECES)
         for part in _slices(batches):
             trees = [CountTree.build(t or "", encode, leaf_pieces) for t in part.column(text).to_pylist()]
             made = [[t.total for t in trees], [t.starts for t in trees], [t.sums for t in trees]]
@@ -173,7 +176,7 @@ def count_after_edits(trees: DataFrame, tokenizer_path: str, text: str = "text")
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer_path)
+        encode = encoder(tokenizer_path, CACHED_PIECES)
         for part in _slices(batches):
             out = []
             cells = [part.column(name).to_pylist() for name in ("text", "tree_starts", "tree_sums", "edits")]

@@ -46,15 +46,15 @@ class _NeedsWholeText(Exception):
 class _Pieces(dict):
     """Ids of pieces as bytes, filled on first use and emptied when full."""
 
-    def __init__(self, encode, prefix: str, strict: bool):
-        self._encode, self._prefix, self._strict = encode, prefix, strict
+    def __init__(self, encode, prefix: str, strict: bool, most: int):
+        self._encode, self._prefix, self._strict, self._most = encode, prefix, strict, most
 
     def __missing__(self, piece: str) -> bytes:
         if self._strict and (not piece or piece[0].isspace() or piece[-1].isspace()):
             raise _NeedsWholeText
         ids = self._encode(self._prefix + piece)
         if len(piece) <= 64:
-            if len(self) >= CACHED_PIECES:
+            if len(self) >= self._most:
                 self.clear()
             self[piece] = ids
         return ids
@@ -63,7 +63,7 @@ class _Pieces(dict):
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, equal to the library's on the whole text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_pieces: int = CACHED_PIECES):
         self._whole = Tokenizer.from_file(path)
         self._whole.encode_special_tokens = True
         self._model = self._whole.model
@@ -84,8 +84,8 @@ class Encoder:
             self.kind, self._pattern = "words", regex.compile(WORD_PATTERN)
         else:
             self.kind, self._pattern = "other", None
-        self._spaced = _Pieces(self._encode_piece, " ", strict=True)
-        self._plain = _Pieces(self._encode_piece, "", strict=False)
+        self._spaced = _Pieces(self._encode_piece, " ", True, cached_pieces)
+        self._plain = _Pieces(self._encode_piece, "", False, cached_pieces)
 
     def _encode_piece(self, piece: str) -> bytes:
         if not piece.isascii() and max(piece) > _LATIN:
@@ -127,6 +127,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, cached_pieces: int = CACHED_PIECES) -> Encoder:
     """One encoder per worker process and file."""
-    return Encoder(path)
+    return Encoder(path, cached_pieces)
