@@ -2,7 +2,9 @@
 
 A byte pair encoder never merges across a change from a visible character to white space: such a
 place ends a pre-token whatever stands around it. So a text is cut there, and the ids of each piece
-come out of a bounded table; only new pieces go through the tokenizers library's model.
+come out of a bounded table; only new pieces go through the tokenizers library's model. Special
+tokens of the file that stand in a text get their own ids, as in the library, unless
+``special_as_text`` asks for the ids of their letters.
 """
 
 from __future__ import annotations
@@ -63,18 +65,28 @@ class _Pieces(dict):
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers, equal to the library's on the whole text."""
 
-    def __init__(self, path: str, cached_pieces: int = CACHED_PIECES):
+    def __init__(self, path: str, cached_pieces: int = CACHED_PIECES, special_as_text: bool = False):
         self._whole = Tokenizer.from_file(path)
-        self._whole.encode_special_tokens = True
+        self._whole.encode_special_tokens = special_as_text
         self._model = self._whole.model
         self._letters = _byte_letters()
         with open(path, encoding="utf-8") as file:
             described = json.load(file)
+        added = described.get("added_tokens") or []
+        special = [] if special_as_text else [re.escape(token["content"]) for token in added]
+        self._special = re.compile("|".join(special) or r"(?!)").search
+        # Only tokens without white space, found letter by letter, lie within a piece.
+        plain = all(
+            not re.search(r"\s", token["content"]) and not any(token[k] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+            for token in added
+        )
         split = described.get("pre_tokenizer") or {}
         normal = described.get("normalizer")
         steps = [s.get("type") for s in split.get("pretokenizers", [])]
         normals = [s.get("type") for s in (normal or {}).get("normalizers", [])]
-        if split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and normal is None:
+        if not plain:
+            self.kind, self._pattern = "other", None
+        elif split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space") and normal is None:
             self.kind, self._pattern = "bytes", regex.compile(BYTE_PATTERN)
         elif (
             steps == ["Split", "ByteLevel"]
@@ -88,7 +100,7 @@ class Encoder:
         self._plain = _Pieces(self._encode_piece, "", False, cached_pieces)
 
     def _encode_piece(self, piece: str) -> bytes:
-        if not piece.isascii() and max(piece) > _LATIN:
+        if (not piece.isascii() and max(piece) > _LATIN) or self._special(piece):
             return self._encode_whole(piece)
         if self.kind == "words":
             piece = unicodedata.normalize("NFC", piece).lower()
@@ -127,6 +139,6 @@ class Encoder:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, cached_pieces: int = CACHED_PIECES) -> Encoder:
+def encoder(path: str, cached_pieces: int = CACHED_PIECES, special_as_text: bool = False) -> Encoder:
     """One encoder per worker process and file."""
-    return Encoder(path, cached_pieces)
+    return Encoder(path, cached_pieces, special_as_text)

@@ -40,9 +40,7 @@ def prose(seed, n):
 
 @lru_cache
 def library(name):
-    tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def library_ids(name, texts):

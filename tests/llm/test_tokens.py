@@ -26,10 +26,15 @@ def test_encoder_equals_the_library(text):
         assert encoder.encode(text).tolist() == library_ids(name, [text])[0]
 
 
-def test_special_tokens_in_a_text_are_text():
-    text = "a <|endoftext|> b"
+@pytest.mark.parametrize(
+    "text",
+    ["a <|endoftext|> b", "x<|endoftext|>y", "a \n <|startoftext|>\n\n", "<|endoftext|><|endoftext|>", "Ω<|endoftext|>Σ <|endof", " <|endoftext|>"],
+)
+def test_special_tokens_in_a_text_have_their_own_ids(text):
     for name, encoder in ENCODERS.items():
         assert encoder.encode(text).tolist() == library_ids(name, [text])[0]
+        letters = Encoder(public_tokenizers.path(name), special_as_text=True).encode(text).tolist()
+        assert not {50256, 49406, 49407} & set(letters)
 
 
 @settings(max_examples=200, deadline=None)
