@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import Workspace, partitions_for
+from ledgerloom.llm.common import Workspace, bounded_chunks, partitions_for
 from ledgerloom.llm.tokens import encoder
 
 SEQUENCE_TOKENS = 2048
@@ -34,6 +34,7 @@ DIMENSIONS = 4
 BITS = 15
 BUCKETS = 1024
 _REACH = 4.0
+_ROWS = 200
 _SEQUENCES_PER_PARTITION = 1 << 40
 
 
@@ -41,12 +42,15 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(20).standard_normal((BUCKETS, DIMENSIONS))
 
 
-def document_point(ids: np.ndarray, projection: np.ndarray) -> np.ndarray:
-    """The hashed, damped, length-normalised token counts, projected to a few dimensions."""
+def document_points(blobs: list[bytes], projection: np.ndarray) -> np.ndarray:
+    """The hashed, damped, length-normalised token counts of each document, projected to a few dimensions."""
+    row = np.repeat(np.arange(len(blobs)), [len(data) // 4 for data in blobs])
+    ids = np.frombuffer(b"".join(blobs), "<u4")
     buckets = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(54)
-    weights = np.log1p(np.bincount(buckets.astype(np.int64), minlength=BUCKETS))
-    norm = np.sqrt((weights * weights).sum())
-    return (weights / norm if norm else weights) @ projection
+    cells = np.bincount(row * BUCKETS + buckets.astype(np.int64), minlength=len(blobs) * BUCKETS)
+    weights = np.log1p(cells).reshape(-1, BUCKETS)
+    norms = np.sqrt((weights * weights).sum(axis=1, keepdims=True))
+    return (weights / np.where(norms > 0, norms, 1.0)) @ projection
 
 
 def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
@@ -92,19 +96,20 @@ def encoded_documents(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids_of, projection = encoder(tokenizer_path), _projection()
         end = end_id.to_bytes(4, "little")
-        press = zstandard.ZstdCompressor(level=3, write_content_size=True)
+        press = zstandard.ZstdCompressor(level=1, write_content_size=True)
         for batch in batches:
-            for low in range(0, len(batch), 500):
-                part = batch.iloc[low : low + 500]
-                blobs, counts = [], []
-                points = np.empty((len(part), DIMENSIONS))
-                for k, text in enumerate(part["text"]):
-                    data = (ids_of.encode_bytes(text) if text else b"") + end
-                    points[k] = document_point(np.frombuffer(data, "<u4"), projection)
-                    counts.append(len(data) // 4)
-                    blobs.append(press.compress(data))
+            for low in range(0, len(batch), _ROWS):
+                part = batch.iloc[low : low + _ROWS]
+                blobs = [(ids_of.encode_bytes(text) if text else b"") + end for text in part["text"]]
+                # A few at a time, so that a very long text is not joined with many others.
+                points = [document_points(chunk, projection) for _, chunk in bounded_chunks(blobs)]
                 yield pd.DataFrame(
-                    {"doc_id": part["doc_id"].to_numpy(), "n_tokens": counts, "curve_key": curve_key(points), "ids": blobs}
+                    {
+                        "doc_id": part["doc_id"].to_numpy(),
+                        "n_tokens": [len(data) // 4 for data in blobs],
+                        "curve_key": curve_key(np.concatenate(points)),
+                        "ids": [press.compress(data) for data in blobs],
+                    }
                 )
 
     # Ids travel as text: pandas rounds whole numbers beside a null.
