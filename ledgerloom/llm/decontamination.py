@@ -31,10 +31,9 @@ _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 def benchmark_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     """item (its id as text) and gram (the words) of each distinct window of each item.
 
-    Items without words, and rows with a null id, have none.
+    Items without words have none. Windows of rows with a null id are of no item, but they hit words.
     """
-    words = items.where(F.col("item_id").isNotNull())
-    words = words.select(F.col("item_id").cast("string").alias("item"), alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
+    words = items.select(F.col("item_id").cast("string").alias("item"), alnum_words(F.col("text")).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
     return words.select("item", F.explode(F.transform(starts, lambda i: F.slice("words", i, window))).alias("gram")).distinct()
 
@@ -60,12 +59,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
 
     A document is contaminated if words are hit and they are at least one in twenty. Null text has no
     words. Rows with equal or null ids are judged by their own texts. An empty benchmark hits nothing.
+    Items with a null id count for n_hit, but not as items.
     """
     windows = Workspace(docs.sparkSession, "benchmark").store(benchmark_windows(items, window), "windows")
     found = window_hits(docs, windows, window)
     key = ["doc_id", "text_hash"]
-    # The first words of equal rows are counted, so that each has its row in the result.
-    totals = found.groupBy(*key).agg(F.max("n_words").alias("n_words"), F.count_if("first").alias("rows"))
+    totals = found.where("first").select(*key, "n_words")  # one for each row of docs
     hits = found.select(*key, F.explode("hits").alias("hit")).select(*key, "hit.at", "hit.gram")
     spans = F.sort_array(F.collect_set(F.struct("at", (F.col("at") + F.size("gram")).alias("end"))))
     covered = F.aggregate(
@@ -95,8 +94,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
         F.size(items_hit).cast("long").alias("n_items"),
         items_hit.alias("items"),
         ((hit > 0) & (hit * 20 >= F.col("n_words"))).alias("contaminated"),
-        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("row"),
-    ).drop("row")
+    )
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -136,7 +136,7 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[s
         F.max("covered").alias("score"),
     )
     result = result.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    rows = found.groupBy("doc_id", "text_hash").agg(F.max("n_words").alias("n_words"), F.count_if("first").alias("rows"))
+    rows = found.where("first").select("doc_id", "text_hash", "n_words")  # one for each row of docs
     both = rows.join(result, rows.doc_id.eqNullSafe(F.col("__id")) & (rows.text_hash == F.col("__hash")), "left")
     return both.select(
         "doc_id",
@@ -147,5 +147,4 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, notices: dict[s
         F.coalesce("base_labels", F.lit("")).alias("base_labels"),
         F.coalesce("labels", F.lit("")).alias("labels"),
         F.coalesce("score", F.lit(0.0)).alias("score"),
-        F.explode(F.array_repeat(F.lit(1), F.col("rows").cast("int"))).alias("row"),
-    ).drop("row")
+    )

@@ -66,8 +66,8 @@ def brute_contamination(rows, items):
     windows = {}
     for item, text in items:
         words = alnum_words(text)
-        for i in range(max(len(words) - 12, 1)) if words and item is not None else ():
-            windows.setdefault(tuple(words[i : i + 13]), set()).add(str(item))
+        for i in range(max(len(words) - 12, 1)) if words else ():
+            windows.setdefault(tuple(words[i : i + 13]), set()).update([] if item is None else [str(item)])
     out = []
     for doc_id, text in rows:
         words = alnum_words(text)
@@ -75,7 +75,7 @@ def brute_contamination(rows, items):
         for n in {len(w) for w in windows}:
             for i in range(len(words) - n + 1):
                 own = windows.get(tuple(words[i : i + n]))
-                if own:
+                if own is not None:
                     hit.update(range(i, i + n))
                     found |= own
         out.append((doc_id or 0, len(words), len(hit), ",".join(sorted(found)), bool(hit) and 20 * len(hit) >= len(words)))
@@ -93,6 +93,7 @@ def contaminated_rows():
         (33, "a short ITEM here; short item here"),
         (34, " ".join(texts[3].split()[2:14])),
         (35, "cc"),
+        (36, "before " + texts[-2] + " after"),
         *((40 + k, texts[4]) for k in range(5)),
     ]
     return rows, items
@@ -127,6 +128,16 @@ def test_empty_benchmark_and_empty_documents(spark):
     assert decontamination.contamination(docs.limit(0), spark.createDataFrame([(1, LONG)], "item_id long, text string")).count() == 0
 
 
+def test_equal_rows_are_no_hot_key(spark):
+    same = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    docs = same.union(spark.createDataFrame([(k % 2, "mit license, short item here") for k in range(4)], "doc_id long, text string"))
+    bench = spark.createDataFrame([(None, "short item here")], "item_id long, text string")
+    got = decontamination.contamination(docs, bench).groupBy("doc_id", "n_words", "n_hit", "n_items").count().collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in got) == [(-1, 0, 0, 0, 200_000), (0, 5, 3, 0, 2), (1, 5, 3, 0, 2)]
+    got = license_scan.scan(docs).groupBy("doc_id", "n_words", "n_base").count().collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, *r[1:]) for r in got) == [(-1, 0, 0, 200_000), (0, 5, 1, 2), (1, 5, 1, 2)]
+
+
 # Near duplicates
 
 
@@ -266,6 +277,16 @@ def zlib_crc(doc_id):
     return zlib.crc32(str(doc_id).encode())
 
 
+def test_a_filter_on_the_prediction_does_not_repeat_the_statistics(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, len(quality_rules.STATISTICS)))
+    model = quality_rules.fit_rules(x, (x[:, 0] + x[:, 1] > 0).astype(float))
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string").repartition(2)
+    rows = quality_rules.scored(docs, model)
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (rows, rows.where("predicted = 1"))]
+    assert plans[1].count("regexp_replace") == plans[0].count("regexp_replace") > 0
+
+
 def test_without_labels_the_score_is_constant(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     model = quality_rules.fit(docs, spark.createDataFrame([], "doc_id long, quality int"))
