@@ -90,8 +90,11 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, id_
     judged = pages.select(F.col(id_column), host.alias("host"), path.alias("path"))
     urls = judged.select("host", "path").distinct()
     labels = F.split("host", r"\.")
+    rules = RULES if rules is None else rules
+    # A host is asked with as many labels as rules have; so work grows with the labels, not with their square.
+    counts = F.array(*[F.lit(n) for n in sorted({rule[1].count(".") + 1 for rule in rules}) or [1]])
     parents = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
+        F.filter(counts, lambda n: n <= F.size(labels)),
         lambda n: F.array_join(F.slice(F.reverse(labels), 1, n), "."),
     )
     asked = urls.where(F.col("host") != "").select("host", "path", F.explode(parents).alias("reversed"))
@@ -103,7 +106,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]] | None = None, id_
         "host",
         "path",
     )
-    table = rule_table(pages.sparkSession, RULES if rules is None else rules)
+    table = rule_table(pages.sparkSession, rules)
     events = interval_events(table).withColumns({"host": F.lit(None).cast("string"), "path": F.lit(None).cast("string")})
     both = asked.unionByName(events)
     parts = both.repartitionByRange(partitions_for(judged), "key", "order", "depth", "host").withColumn("part", F.spark_partition_id())

@@ -171,6 +171,13 @@ def test_verdicts_equal_trying_every_rule(spark, seed):
     assert {r.verdict for r in url_filter.judge(pages, []).collect()} == {"allow", "block"}
 
 
+def test_hosts_of_many_labels(spark):
+    host = "x." * 50_000 + "example.net"
+    pages = spark.createDataFrame([(k, f"http://{host}/en/{k}") for k in range(3)] + [(3, "http://" + "." * 50_000)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages).select("page_id", "rule", "verdict").collect()}
+    assert got == {0: ("example.net/en/", "allow"), 1: ("example.net/en/", "allow"), 2: ("example.net/en/", "allow"), 3: (None, "allow")}
+
+
 # Vector search
 
 
