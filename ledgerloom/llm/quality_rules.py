@@ -222,8 +222,9 @@ def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
     names = [c for c in docs.columns if c not in ("score", "predicted")]
     numbers = {f"__{name}": c for name, c in statistics(F.col("text")).items()}
     rows = docs.select(*[F.col(f"`{c}`") for c in names]).withColumns(numbers)
-    rows = rows.withColumn("score", model.score("__"))
-    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int")).select(*[F.col(f"`{c}`") for c in names], "score", "predicted")
+    # A filter on the result stops at the generator; else it would compute the statistics anew for every rule.
+    rows = rows.select(*[F.col(f"`{c}`") for c in names], F.inline(F.array(F.struct(model.score("__").alias("score")))))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = TRAIN_ROWS) -> RuleModel:
