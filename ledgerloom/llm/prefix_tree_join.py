@@ -359,8 +359,8 @@ class _Join:
             return rows.withColumn("component", F.col("cid"))
         return rows.join(self.components, "cid", "left").withColumn("component", F.coalesce("component", "cid"))
 
-    def full_sets(self, classes: DataFrame) -> DataFrame:
-        """cid, values of some classes, read from the documents again."""
+    def full_sets(self, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """cid, values of some classes, read from the documents again; and the stored table that is read for it."""
         needed = classes.join(self.classes.select("cid", "set_key", "rep_id"), "cid")
         needed = self.space.store(needed, "needed")
         ids = needed.select(F.col("rep_id").alias("needed_id")).distinct()
@@ -368,7 +368,7 @@ class _Join:
         texts = self.docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("needed_id")), "left_semi")
         # Several rows may have a class's id, with the class's text or another.
         sets = _full_sets(texts, self.words).join(needed.select("set_key", "cid"), "set_key")
-        return sets.dropDuplicates(["cid"]).select("cid", "values")
+        return sets.dropDuplicates(["cid"]).select("cid", "values"), needed
 
     def likely(self, groups: DataFrame, keys: list[str]) -> DataFrame:
         """sub, cid, component: the sub-groups of each group (cid and keys) that may have links."""
@@ -384,24 +384,30 @@ class _Join:
         """Find the links in each group (cid and keys)."""
         likely = self.likely(groups, keys)
         if likely.isEmpty():
+            self.space.drop(likely)
             return
-        sets = likely.join(self.full_sets(likely.select("cid").distinct()), "cid")
-        links = sets.groupBy("sub").applyInArrow(_linked(self.ranks, self.percent), "a long, b long")
+        full, needed = self.full_sets(likely.select("cid").distinct())
+        links = likely.join(full, "cid").groupBy("sub").applyInArrow(_linked(self.ranks, self.percent), "a long, b long")
         links = self.space.store(links, "links")
+        self.space.drop(likely, needed)
         if links.isEmpty():
+            self.space.drop(links)
             return
         # Components of components, whose names are those of classes.
         ends = links.select(F.col("a").alias("cid")).union(links.select("b"))
         if self.components is None:
             self.components = components(self.space, links)
+            self.space.drop(links)
             return
         a = self.with_component(links.withColumnRenamed("a", "cid")).select(F.col("component").alias("a"), "b")
         both = self.with_component(a.withColumnRenamed("b", "cid")).select("a", F.col("component").alias("b"))
-        merged = components(self.space, self.space.store(both.where("a != b").distinct(), "merges"))
+        merges = self.space.store(both.where("a != b").distinct(), "merges")
+        merged = named = components(self.space, merges)
         merged = merged.select(F.col("cid").alias("component"), F.col("component").alias("merged"))
         every = self.with_component(self.components.select("cid").union(ends).distinct())
         every = every.join(merged, "component", "left").select("cid", F.coalesce("merged", "component").alias("component"))
-        self.components = self.space.store(every, "components")
+        before, self.components = self.components, self.space.store(every, "components")
+        self.space.drop(before, named, merges, links)
 
     def still_open(self, entries: DataFrame, groups: DataFrame | None) -> DataFrame:
         """Entries (list, cid, n) of lists that are not connected and whose classes were not all in one group.
@@ -440,7 +446,9 @@ class _Join:
         chosen = entries.join(sizes, "list").groupBy("cid").agg(F.max(rank).alias("best"), F.first("n").alias("n"))
         chosen = self.space.store(chosen.select("cid", "n", F.col("best.list").alias("group_list")), "chosen")
         dealt = self.parts(chosen, "group_list", GROUP_SETS, GROUP_SHINGLES)
-        return self.space.store(dealt.select("cid", "group_list", _dealt(F.lit(turn), F.col("parts")).alias("chunk")), "groups")
+        groups = self.space.store(dealt.select("cid", "group_list", _dealt(F.lit(turn), F.col("parts")).alias("chunk")), "groups")
+        self.space.drop(chosen)
+        return groups
 
     def every_two_parts(self, entries: DataFrame) -> DataFrame:
         """cid, list, one, other: each list's classes in groups for every two of its parts."""
@@ -492,8 +500,9 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     """
     space = Workspace(docs.sparkSession, "prefix-tree-join")
     counted = space.store(_counted(docs, words), "counted")
-    rows = counted.where(F.col("part").isNull()).select("doc_id", "n_shingles", "set_key")
+    rows = space.store(counted.where(F.col("part").isNull()).select("doc_id", "n_shingles", "set_key"), "rows")
     ranks = bucket_ranks(bucket_counts(counted))
+    space.drop(counted)
     classes = _heads(docs, words, percent, ranks).groupBy("set_key").agg(
         F.min("doc_id").alias("rep_id"), F.min("n").alias("n"), F.first("low").alias("low"), F.first("more").alias("more")
     )
@@ -504,7 +513,8 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
     join = _Join(space, docs, joined, words, percent, ranks)
     entries, groups, before, again = _entries(joined), None, None, False
     while True:
-        entries = join.still_open(entries, groups)
+        entries, last = join.still_open(entries, groups), entries
+        space.drop(last)
         n_open = entries.count()
         if not n_open:
             break
@@ -513,9 +523,11 @@ def similar_sets(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIM
                 join.join_groups(join.every_two_parts(entries), ["list", "one", "other"])
                 break
             rest = entries.select("cid").distinct().join(joined.select("cid", "n", "set_key", "rep_id"), "cid")
-            rest = rest.join(join.full_sets(rest.select("cid")), "cid").withColumnRenamed("values", "low")
+            full, needed = join.full_sets(rest.select("cid"))
+            rest = rest.join(full, "cid").withColumnRenamed("values", "low")
             rest = space.store(rest.withColumn("more", F.slice("low", 1, 0)), "rest")
             join.classes = space.store(_with_shared(rest, percent), "joined-again")
+            space.drop(needed, rest, entries, joined)
             entries, groups, before, again = _entries(join.classes), None, None, True
             continue
         groups = join.one_group_each(entries, len(join.rounds))
