@@ -18,8 +18,11 @@ shuffled with hot hosts split. A page is a row, so a host with a third of all pa
 
 from __future__ import annotations
 
+import bisect
+import hashlib
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -29,14 +32,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import Workspace, ascii_lower
 
-# A comment, a tag with quoted attributes, a tag with an open quote, another declaration.
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>"""
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>"
-    r"|<[!?/][^>]*>",
-    re.S,
-)
+# The start of a comment, a tag or another declaration; the rest of a tag, a ">" in quotes doesn't end it.
+_START = re.compile(r"<(?:!--|(/?)([a-zA-Z][^\s/>]*+)|[!?/])")
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
+_STEP = re.compile("[>\"']")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 
 # What is no text, what is no part of an article, and what begins a block (fixed values).
@@ -65,8 +64,8 @@ READER_WORDS = frozenset("comment comments reply replies respond disqus".split()
 _ABOUT = re.compile(r"(?<![a-z])(?:no|not|has|have|with|without|is)[-_]+[-_a-z]+")
 #: Plain characters from which a doubtful element without any other sign of content is taken for prose.
 _PROSE = 200
-#: Doubtful elements in so many others share the fate of the innermost of these.
-_DEEPEST = 32
+#: Longer paths, as in pages of thousands of nested elements, begin with their depth and a digest.
+_PATH_LETTERS = 1000
 _STORY_WORDS = frozenset("article post entry story".split())
 #: Share of a host's pages from which a container is taken for a template's.
 TEMPLATE_PERCENT = 1
@@ -105,16 +104,18 @@ def _is_boilerplate(tag: str, attributes: dict[str, str]) -> bool:
 class _Doubt:
     """An element that is boilerplate unless it holds the page's main text."""
 
-    def __init__(self, tag: str, words: set[str], names: set[str], in_main: bool, by_heading: bool):
+    def __init__(self, tag: str, words: set[str], names: set[str], outer: int, in_main: bool, by_heading: bool):
+        self.outer = outer  # the doubtful element around it, or -1
         self.in_main = in_main
         self.of_readers = bool(words & READER_WORDS)
         self.by_heading = by_heading  # a section in an article whose id may be made from its heading
-        self.content = tag in _CONTENT_FIRST or bool(names & CONTENT_WORDS)  # it or a container in it is named as content
-        self.heading = False
+        self.named = tag in _CONTENT_FIRST or bool(names & CONTENT_WORDS)  # named as content
+        self.content = self.heading = False  # a container in it is named as content; it has the heading
         self.plain = self.linked = self.main = 0  # characters in it; those of article and main containers
+        self.direct = 0  # plain characters that are in no doubtful element in it
 
 
-def _doubt(tag: str, attributes: dict[str, str], names: set[str], in_main: bool, in_story: bool) -> _Doubt | None:
+def _doubt(tag: str, attributes: dict[str, str], names: set[str], outer: int, in_main: bool, in_story: bool) -> _Doubt | None:
     if tag in ("html", "body"):
         return None
     by_class, words = _listed(attributes.get("class", "")), _listed(f"{attributes.get('class', '')} {attributes.get('id', '')}")
@@ -123,7 +124,7 @@ def _doubt(tag: str, attributes: dict[str, str], names: set[str], in_main: bool,
     if not words and tag not in DOUBTFUL and attributes.get("role", "").lower() not in DOUBTFUL_ROLES:
         return None
     a_section = tag == "section" or tag == "div" and "section" in attributes.get("class", "").split()
-    return _Doubt(tag, words, names, in_main, in_story and a_section and bool(words) and not by_class and not words & READER_WORDS)
+    return _Doubt(tag, words, names, outer, in_main, in_story and a_section and bool(words) and not by_class and not words & READER_WORDS)
 
 
 def _weight(tag: str, attributes: dict[str, str], names: set[str]) -> float:
@@ -138,40 +139,110 @@ def _weight(tag: str, attributes: dict[str, str], names: set[str]) -> float:
     return 1.3 if names & CONTENT_WORDS else 1.0
 
 
+class _Scanner:
+    """Tags, comments and declarations of a page one after the other, in time linear in the page.
+
+    A tag of which the quotes are never closed ends at its first ">"; one without any ">" is text.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = source.rfind(">")
+        self.steps: list[int] = []  # places of quotes and ">", once a tag's quotes were not closed
+        self.ends: list[int] = []  # where a tag ends of which the rest goes on there; -1 for nowhere
+
+    def _know_ends(self, place: int) -> None:
+        """From the end back: a quote is followed by what comes after the next one of its kind."""
+        self.steps = [m.start() for m in _STEP.finditer(self.source, place)]
+        n = len(self.steps)
+        self.ends = [-1] * (n + 1)
+        following = {'"': n, "'": n}
+        for k in range(n - 1, -1, -1):
+            sign = self.source[self.steps[k]]
+            if sign == ">":
+                self.ends[k] = self.steps[k]
+            else:
+                if following[sign] < n:
+                    self.ends[k] = self.ends[following[sign] + 1]
+                following[sign] = k
+
+    def _end(self, place: int) -> int:
+        if not self.ends:
+            found = _REST.match(self.source, place)
+            if found:
+                return found.end() - 1
+            self._know_ends(place)
+        return self.ends[bisect.bisect_left(self.steps, place)]
+
+    def after(self, place: int) -> tuple[int, int, str, str, str] | None:
+        """Start, end, closing sign, name and rest of the next one; without a name it is no tag."""
+        while found := _START.search(self.source, place):
+            place = found.end()
+            if found[0] == "<!--":
+                end = self.source.find("-->", place)
+                return found.start(), len(self.source) if end < 0 else end + 3, "", "", ""
+            if place > self.last:
+                continue
+            end = self._end(place) if found[2] else -1
+            if end < 0:
+                end = self.source.find(">", place)
+            return found.start(), end + 1, found[1] or "", found[2] or "", self.source[place:end]
+        return None
+
+
 class _Open(NamedTuple):
-    """An open element: its path, whether all in it is left out, doubtful elements around it, the outermost article or main (or -1)."""
+    """An open element: number of its path, whether all in it is left out, innermost doubtful element and outermost article or main around it (or -1)."""
 
     tag: str
-    path: str
+    path: int
     skip: bool
-    doubts: tuple[int, ...]
+    doubt: int
     main: int
 
 
-#: Text, whether in a link, the doubtful elements around it, the outermost article or main around it (or -1).
-_Piece = tuple[str, bool, tuple[int, ...], int]
+_OUTSIDE = _Open("", 0, False, -1, -1)
+
+#: Text, whether in a link, the innermost doubtful element and the outermost article or main around it (or -1).
+_Piece = tuple[str, bool, int, int]
+
+
+def _depth(path: str) -> int:
+    known = _DIGEST.match(path)
+    return path.count(">") + (int(known[1]) if known else 0)
+
+
+_DIGEST = re.compile(r"#(\d+):")
 
 
 class Page:
-    """Blocks of text of one page, each with the paths of the containers around it."""
+    """Blocks of text of one page, each with the number of the path of the container around it.
+
+    Paths are numbered as they are met, so a container's number is above that of the one around it,
+    and sums over containers are taken from the last number back: time and memory stay linear in the
+    page, however deep it is nested. Number 0 is the page itself.
+    """
 
     def __init__(self, source: str):
-        self.blocks: list[tuple[str, tuple[str, ...]]] = []
+        self.blocks: list[tuple[str, int]] = []
         self.scores: dict[str, float] = {}
-        self._weights: dict[str, float] = {"": 0.5}
-        self._linked: dict[str, int] = {}
-        self._text: dict[str, int] = {}
-        self._read_blocks: list[tuple[list[_Piece], tuple[str, ...]]] = []
+        self._paths, self._numbers = [""], {"": 0}
+        self._steps: dict[tuple[int, str], int] = {}
+        self._around, self._weights, self._story = [-1], [0.5], [False]
+        self._read_blocks: list[tuple[list[_Piece], int]] = []
         self._doubts: list[_Doubt] = []
-        self._mains: list[tuple[int, ...]] = []  # doubtful elements around each article or main that is in no other
+        self._mains: list[int] = []  # innermost doubtful element around each article or main that is in no other
         self._read(source)
         kept = self._kept_doubts()
-        for pieces, around in self._read_blocks:
-            self._end_block(pieces if not self._doubts else [p for p in pieces if kept.issuperset(p[2])], around)
+        self._linked, self._text = [0] * len(self._paths), [0] * len(self._paths)
+        for pieces, path in self._read_blocks:
+            self._end_block([p for p in pieces if p[2] < 0 or p[2] in kept] if self._doubts else pieces, path)
         del self._read_blocks
-        for path, n in self._text.items():
-            plain = n - self._linked.get(path, 0)
-            self.scores[path] = self._weights[path] * plain * plain / n if n else 0.0
+        for k in range(len(self._paths) - 1, 0, -1):
+            self._text[self._around[k]] += self._text[k]
+            self._linked[self._around[k]] += self._linked[k]
+        for path, weight, n, linked in zip(self._paths, self._weights, self._text, self._linked, strict=True):
+            if n:
+                self.scores[path] = weight * (n - linked) * (n - linked) / n
 
     def _kept_doubts(self) -> set[int]:
         """The doubtful elements that hold main text: outer ones first, and none in one that is left out.
@@ -184,35 +255,33 @@ class Page:
         """
         if not self._doubts:
             return set()
-        direct: dict[tuple[int, ...], int] = {}
-        total = main_total = 0
+        sure = total = main_total = 0  # sure: plain text in none but kept ones
         for pieces, _ in self._read_blocks:
-            for text, in_link, doubts, main in pieces:
+            for text, in_link, k, main in pieces:
                 n = len(text) if text.strip() else 0
-                for k in doubts:
-                    if in_link:
-                        self._doubts[k].linked += n
-                    else:
-                        self._doubts[k].plain += n
-                if in_link:
-                    continue
-                total += n
-                direct[doubts] = direct.get(doubts, 0) + n
-                if main >= 0 and doubts == self._mains[main]:
-                    main_total += n
-                    for k in doubts:
-                        self._doubts[k].main += n
+                of_main = main >= 0 and k == self._mains[main] and not in_link
+                if not in_link:
+                    total += n
+                    main_total += n if of_main else 0
+                if k < 0:
+                    sure += 0 if in_link else n
+                elif in_link:
+                    self._doubts[k].linked += n
+                else:
+                    self._doubts[k].direct += n
+                    self._doubts[k].main += n if of_main else 0
+        for doubt in reversed(self._doubts):
+            doubt.plain += doubt.direct
+            if doubt.outer >= 0:
+                outer = self._doubts[doubt.outer]
+                outer.plain, outer.linked, outer.main = outer.plain + doubt.plain, outer.linked + doubt.linked, outer.main + doubt.main
+                outer.content, outer.heading = outer.content or doubt.content, outer.heading or doubt.heading
         kept: set[int] = set()
-        around: dict[int, tuple[int, ...]] = {}
-        for doubts in [d[:k] for d in direct for k in range(1, len(d) + 1)]:
-            around.setdefault(doubts[-1], doubts)
-        sure = direct.get((), 0)  # plain text in none but kept ones
         by_share: list[tuple[int, int]] = []
-        for k in sorted(around):
-            doubt = self._doubts[k]
-            if not kept.issuperset(around[k][:-1]) or not doubt.plain:
+        for k, doubt in enumerate(self._doubts):
+            if doubt.outer >= 0 and doubt.outer not in kept or not doubt.plain:
                 continue
-            named = doubt.heading or doubt.content and not doubt.of_readers
+            named = doubt.heading or (doubt.named or doubt.content) and not doubt.of_readers
             if doubt.main:
                 keep = 2 * doubt.main >= main_total and 5 * doubt.plain >= doubt.plain + sure
             elif doubt.by_heading:
@@ -226,50 +295,53 @@ class Page:
                     by_share.append((doubt.plain, -k))
             if keep:
                 kept.add(k)
-                sure += direct.get(around[k], 0)
+                sure += doubt.direct
         if not sure and by_share:
             kept.add(-max(by_share)[1])
         return kept
 
-    def _end_block(self, pieces: list[_Piece], around: tuple[str, ...]) -> None:
+    def _end_block(self, pieces: list[_Piece], path: int) -> None:
         text = " ".join("".join(p[0] for p in pieces).split())
         if not text:
             return
         linked = sum(len(p[0]) for p in pieces if p[1])
-        self.blocks.append((text, around))
-        for path in around:
-            self._text[path] = self._text.get(path, 0) + len(text)
-            self._linked[path] = self._linked.get(path, 0) + min(linked, len(text))
+        self.blocks.append((text, path))
+        self._text[path] += len(text)
+        self._linked[path] += min(linked, len(text))
 
     def _read(self, source: str) -> None:
+        scanner = _Scanner(source)
         stack: list[_Open] = []
-        around: tuple[str, ...] = ("",)
-        now = _Open("", "", False, (), -1)
+        tags: Counter[str] = Counter()  # of the open elements
+        now = _OUTSIDE
         in_link = False
         parts: list[_Piece] = []
         place = 0
         no_end: set[str] = set()  # tags that have no end tag in the rest of the page
 
-        def settle() -> None:
-            nonlocal now, around
-            now = stack[-1] if stack else _Open("", "", False, (), -1)
-            around = tuple(dict.fromkeys(("", *(entry.path for entry in stack))))
+        def close(tag: str) -> None:
+            nonlocal now
+            while tags[tag]:
+                one = stack.pop().tag
+                tags[one] -= 1
+                if one == tag:
+                    break
+            now = stack[-1] if stack else _OUTSIDE
 
         def end_block() -> None:
             nonlocal parts
             if parts:
-                self._read_blocks.append((parts, around))
+                self._read_blocks.append((parts, now.path))
                 parts = []
 
         while True:
-            found = _MARKUP.search(source, place)
-            end = found.start() if found else len(source)
+            found = scanner.after(place)
+            end = found[0] if found else len(source)
             if end > place and not now.skip:
-                parts.append((html.unescape(source[place:end]), in_link, now.doubts, now.main))
+                parts.append((html.unescape(source[place:end]), in_link, now.doubt, now.main))
             if not found:
                 break
-            place = found.end()
-            closing, tag, rest = (found[1], found[2], found[3]) if found[2] else (found[4], found[5], found[6])
+            _, place, closing, tag, rest = found
             if not tag:
                 continue
             tag = tag.lower()
@@ -280,86 +352,100 @@ class Page:
                         place = after.end() if after else len(source)
                     else:
                         no_end.add(tag)
-                parts.append((" ", False, now.doubts, -1))
+                parts.append((" ", False, now.doubt, -1))
             elif tag == "a":
                 in_link = not closing
-            elif tag in CONTAINERS or tag in BOILERPLATE or tag in ("ul", "ol", "table", "figure", "details", "p", "span", "tr", "li") and (now.skip or now.doubts or "=" in rest):
+            elif tag in CONTAINERS or tag in BOILERPLATE or tag in ("ul", "ol", "table", "figure", "details", "p", "span", "tr", "li") and (now.skip or now.doubt >= 0 or "=" in rest):
                 if tag != "span":
                     end_block()
                 if closing:
-                    for k in range(len(stack) - 1, -1, -1):
-                        if stack[k].tag == tag:
-                            del stack[k:]
-                            break
-                    settle()
+                    close(tag)
                 elif not rest.endswith("/"):
-                    self._open(tag, rest, stack)
-                    settle()
+                    self._open(tag, rest, stack, tags)
+                    now = stack[-1]
             elif tag in BLOCKS:
                 end_block()
                 if tag == "h1" and not closing:
-                    for k in now.doubts:
-                        self._doubts[k].heading = True
-                if closing and any(entry.tag == tag for entry in stack):
-                    while stack.pop().tag != tag:
-                        pass
-                    settle()
+                    if now.doubt >= 0:
+                        self._doubts[now.doubt].heading = True
+                if closing:
+                    close(tag)
             elif tag in ("br", "th"):
-                parts.append((" ", False, now.doubts, -1))
+                parts.append((" ", False, now.doubt, -1))
             elif tag == "span" and closing and stack and stack[-1].tag == "span":
-                stack.pop()
-                settle()
+                close(tag)
         end_block()
 
-    def _open(self, tag: str, rest: str, stack: list[_Open]) -> None:
+    def _open(self, tag: str, rest: str, stack: list[_Open], tags: Counter[str]) -> None:
         if tag in ("article", "main", "body"):  # ends what was left open before the content
-            for k, entry in enumerate(stack):
-                if entry.tag in ("nav", "head", "header", "menu"):
-                    del stack[k:]
-                    break
+            while any(tags[before] for before in ("nav", "head", "header", "menu")):
+                tags[stack.pop().tag] -= 1
         elif tag in ("p", "li", "tr") and stack and stack[-1].tag == tag:
-            stack.pop()
-        _, path, skip, doubts, main = stack[-1] if stack else _Open("", "", False, (), -1)
+            tags[stack.pop().tag] -= 1
+        tags[tag] += 1
+        _, path, skip, outer, main = stack[-1] if stack else _OUTSIDE
         attributes = _attributes(rest)
         names = _names(attributes)
         skip = skip or _is_boilerplate(tag, attributes)
         if skip:
-            stack.append(_Open(tag, path, True, doubts, main))
+            stack.append(_Open(tag, path, True, outer, main))
             return
-        in_story = main >= 0 or any(set(_WORDS.findall(entry.path.rpartition(">")[2].lower())) & _STORY_WORDS for entry in stack) if "id" in attributes else False
-        doubt = _doubt(tag, attributes, names, main >= 0, in_story) if len(doubts) < _DEEPEST else None
+        doubt = _doubt(tag, attributes, names, outer, main >= 0, "id" in attributes and (main >= 0 or self._story[path]))
+        inner = outer
         if doubt:
-            doubts = (*doubts, len(self._doubts))
+            inner = len(self._doubts)
             self._doubts.append(doubt)
-        elif tag in CONTAINERS and tag != "body" and names & CONTENT_WORDS:
-            for k in doubts:
-                self._doubts[k].content = True
+        elif tag in CONTAINERS and tag != "body" and names & CONTENT_WORDS and outer >= 0:
+            self._doubts[outer].content = True
         weight = _weight(tag, attributes, names)
         if weight >= 1.4 and main < 0 and not doubt:
             main = len(self._mains)
-            self._mains.append(doubts)
+            self._mains.append(inner)
         if tag in CONTAINERS:
             classes = sorted({_DIGITS.sub("#", c) for c in attributes.get("class", "").split()})
-            path = f"{path}>{'.'.join([tag, *classes])}" if path else ".".join([tag, *classes])
-            self._weights[path] = max(self._weights.get(path, 0.0), weight)
-        stack.append(_Open(tag, path, False, doubts, main))
+            path = self._below(path, ".".join([tag, *classes]))
+            self._weights[path] = max(self._weights[path], weight)
+        stack.append(_Open(tag, path, False, inner, main))
+
+    def _below(self, around: int, step: str) -> int:
+        """The number of the path with one step more."""
+        known = self._steps.get((around, step))
+        if known is not None:
+            return known
+        number = self._steps[around, step] = len(self._paths)
+        path = f"{self._paths[around]}>{step}" if around else step
+        if len(path) > _PATH_LETTERS:
+            path = f"#{_depth(path)}:{hashlib.md5(path.encode('utf-8', 'surrogatepass')).hexdigest()}"
+        self._paths.append(path)
+        self._numbers[path] = number
+        self._around.append(around)
+        self._weights.append(0.0)
+        self._story.append(self._story[around] or bool(set(_WORDS.findall(step.lower())) & _STORY_WORDS))
+        return number
 
     def best(self) -> str:
         """The path of the highest score; of equal ones the deepest, then the first by name."""
-        return min(self.scores, key=lambda p: (-self.scores[p], -p.count(">"), p), default="")
+        return min(self.scores, key=lambda p: (-self.scores[p], -_depth(p), p), default="")
+
+    def _has_text(self, path: str) -> bool:
+        return path in self._numbers and self._text[self._numbers[path]] > 0
 
     def of_host(self, winner: str | None, templates: list[tuple[str, int]]) -> str:
         """The path to take the text from, given the host's winner and its templates' paths with their pages."""
-        fits = [(-pages * self.scores[path], -path.count(">"), path) for path, pages in templates if self.scores.get(path)]
+        fits = [(-pages * self.scores[path], -_depth(path), path) for path, pages in templates if self.scores.get(path)]
         if fits:
             return min(fits)[2]
-        return winner if winner is not None and self._text.get(winner) else self.best()
+        return winner if winner is not None and self._has_text(winner) else self.best()
 
     def text(self, path: str | None = None) -> str:
         """Blocks below a path, or below the page's own best one if it has no text there."""
-        if path is None or not self._text.get(path):
+        if path is None or not self._has_text(path):
             path = self.best()
-        return "\n".join(text for text, around in self.blocks if path in around)
+        top = self._numbers[path]
+        below = [False] * len(self._paths)
+        for k in range(top, len(self._paths)):
+            below[k] = k == top or k > 0 and below[self._around[k]]
+        return "\n".join(text for text, k in self.blocks if below[k])
 
 
 def container_votes(pages: DataFrame) -> DataFrame:
@@ -392,7 +478,7 @@ def winning_paths(sums: DataFrame) -> DataFrame:
     is a path that is best on at least two pages and ``TEMPLATE_PERCENT`` of the host's pages, so a
     host has at most 100 / ``TEMPLATE_PERCENT``.
     """
-    depth = F.size(F.split("path", ">"))
+    depth = F.size(F.split("path", ">")) + F.coalesce(F.regexp_extract("path", _DIGEST.pattern, 1).try_cast("int"), F.lit(0))
     first = F.min_by("path", F.struct(-F.col("votes"), -depth, F.col("path")))
     winners = sums.groupBy("host").agg(first.alias("path"), F.sum("best_on").alias("pages"))
     often = sums.where("best_on >= 2").select("host", F.col("path").alias("template"), "best_on")

@@ -2,6 +2,8 @@
 
 import html
 import random
+import re
+import time
 
 import numpy as np
 import pytest
@@ -50,6 +52,47 @@ def test_raw_text_without_end_tag_ends_the_page(tag):
     assert Page(f"<article>a<{tag}>b <p>c</article>").text() == "a"
 
 
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<a " * 350_000, ("<a " * 350_000).strip()),
+        ("<a" * 500_000, "<a" * 500_000),
+        ("</ " * 300_000, ("</ " * 300_000).strip()),
+        ('<a "> "' * 150_000 + "w", '" ' * 149_999 + '"w'),
+        ("<div class='menu'>" * 60_000 + "w", ""),
+        ('<div class="x">w' * 60_000, "\n".join(["w"] * 60_000)),
+        ("<div id=story>w " * 60_000, "\n".join(["w"] * 60_000)),
+        ("<div>" * 60_000 + "</section>" * 60_000 + "w", "w"),
+        ("<div>" * 60_000 + "<nav>m<article>" * 60_000 + "w", "w"),
+    ],
+)
+def test_a_megabyte_of_broken_or_nested_markup_is_read_in_seconds(source, text):
+    begin = time.monotonic()
+    page = Page(source)
+    assert page.text("") == text
+    assert time.monotonic() - begin < 30 and max(map(len, page.scores), default=0) <= 1000
+
+
+def test_quotes_that_are_never_closed_end_tags_as_late_as_they_can():
+    rng = random.Random(6)
+    for _ in range(2000):
+        source = "".join(rng.choice(["<a ", ">", '"', "'", "x", " ", "<b", "</i", "="]) for _ in range(40))
+        scanner, place = html_extraction._Scanner(source), 0
+        while found := scanner.after(place):
+            start, place, _, name, rest = found
+            begin = place - 1 - len(rest)
+            quoted = re.compile(r"""(?:[^>"']|"[^"]*"|'[^']*')*>""").match(source, begin) if name else None
+            assert source[start] == "<" and place == (quoted.end() if quoted else source.index(">", begin) + 1)
+
+
+def test_paths_of_deep_containers_keep_their_order_and_meet_on_other_pages(spark):
+    deep = '<div class="level">' * 400
+    pages = [(k, f"http://deep.org/{k}", f'{deep}<div class="story">{"words here " * n}</div><div class="other">{"more words " * 8}</div>') for k, n in enumerate([40] * 8 + [2])]
+    got = html_extraction.extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {k: ("words here " * n).strip() for k, n in enumerate([40] * 8 + [2])}
+    assert all(r.path.startswith("#400:") for r in got)
+
+
 PROSE = "<h1>Head</h1><p>" + "Plain words of the story. " * 20 + "</p>"
 PROSE_TEXT = "Head\n" + ("Plain words of the story. " * 20).strip()
 
