@@ -1,8 +1,12 @@
+import gzip
+import zlib
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from ledgerloom import session
+from ledgerloom.sources import delimited
 from ledgerloom.sources.delimited import locate_input, read_delimited, write_delimited
 from ledgerloom.sources.schemas import RAW_SCHEMAS
 from ledgerloom.sources.tables import in_parallel, read_table, stored, write_table
@@ -15,6 +19,7 @@ SCHEMA = StructType(
         StructField("n", IntegerType()),
     ]
 )
+TWO_COLUMNS = StructType([StructField("a", IntegerType()), StructField("b", StringType())])
 
 
 def write(path, text):
@@ -127,3 +132,28 @@ def test_a_failed_rebuild_keeps_the_old_rows(spark, tmp_path):
     assert (reader.count(), read_table(spark, path).count()) == (3, 7)
     with pytest.raises(FileNotFoundError):
         read_table(spark, str(tmp_path / "none"))
+
+
+def test_headers_of_many_parts_are_read_in_tasks(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "many parts %41"
+    folder.mkdir()
+    for k in range(150):
+        header, row = ("a;b", f"{k};x{k}") if k % 3 else ("b;more;a", f"x{k};?;{k}")
+        text = f"{header}\r\n{row}\r\n".encode()
+        if k % 5 == 0:
+            (folder / f"part {k}.csv.gz").write_bytes(gzip.compress(text))
+        else:
+            (folder / f"part {k}.csv").write_bytes(text)
+    (folder / "empty.csv").write_bytes(b"")
+    (folder / "long.csv").write_bytes(b"\xef\xbb\xbfa;b;" + b"z" * 100_000 + b"\n150;x150;1\n")
+    with monkeypatch.context() as patch:
+        patch.setattr(delimited, "_first_line", None)
+        got = read_delimited(spark, str(folder), TWO_COLUMNS)
+    expected = [(k, f"x{k}") for k in range(151)]
+    assert sorted(map(tuple, got.collect())) == expected
+    (folder / "packed.csv.deflate").write_bytes(zlib.compress(b"b;a\nx151;151\n"))
+    got = read_delimited(spark, str(folder), TWO_COLUMNS)
+    assert sorted(map(tuple, got.collect())) == [*expected, (151, "x151")]
+    (folder / "wrong.csv").write_bytes(b"a;c\n1;2\n")
+    with pytest.raises(ValueError, match="wrong.csv lacks the columns"):
+        read_delimited(spark, str(folder), TWO_COLUMNS)
