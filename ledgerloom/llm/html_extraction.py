@@ -497,6 +497,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     pages: page_id, url, html; other columns are ignored. Null or empty html, and pages of boilerplate
     alone, have an empty text. Pages without a host (null url) vote among themselves.
+    Rows of equal or null page_id, and repeated rows, keep a row and a vote each. Of templates that fit a
+    page equally the deepest path is taken, then the first by name. An empty table gives no rows.
     """
     space = Workspace(pages.sparkSession, "html")
     hosted = _with_host(pages)
