@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +15,11 @@ from ledgerloom.session import shared_dir
 
 _CURRENT = "_CURRENT"
 
+#: Folders that one task of a partitioned write fills side by side; rows of any more are sorted by folder.
+_OPEN_FOLDERS = 32
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+_writing = threading.Lock()
+
 
 def _hadoop(spark: SparkSession, path: str):
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
@@ -54,6 +61,24 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/{version}")
 
 
+@contextmanager
+def _open_folders(spark: SparkSession) -> Iterator[None]:
+    """Partitioned writes within it keep a file open per folder.
+
+    By default a task sorts all its rows by folder to have one file open at a time, which spills once
+    they outgrow its memory. A number set on the session is left alone.
+    """
+    with _writing:
+        if int(spark.conf.get(_WRITERS)) > 0:
+            yield
+            return
+        spark.conf.set(_WRITERS, str(_OPEN_FOLDERS))
+        try:
+            yield
+        finally:
+            spark.conf.unset(_WRITERS)
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Replace the table at ``path`` and return it read back; ``partition_by`` are its last columns.
 
@@ -65,7 +90,8 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> D
     spark = df.sparkSession
     before = current_version(spark, path)
     version = f"v-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
+    with _open_folders(spark) if partition_by else nullcontext():
+        df.write.partitionBy(*partition_by).parquet(f"{path}/{version}")
     _point_to(spark, path, version)
     folder, files, _ = _hadoop(spark, path)
     for status in files.listStatus(folder):
@@ -85,7 +111,8 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     place = f"{path}/{current_version(spark, path)}"
     if place.endswith("/None"):
         raise FileNotFoundError(f"no table was written to {path}")
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(place)
+    with _open_folders(spark):
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 

@@ -1,4 +1,8 @@
 import gzip
+import json
+import os
+import subprocess
+import sys
 import zlib
 
 import pytest
@@ -157,3 +161,29 @@ def test_headers_of_many_parts_are_read_in_tasks(spark, tmp_path, monkeypatch):
     (folder / "wrong.csv").write_bytes(b"a;c\n1;2\n")
     with pytest.raises(ValueError, match="wrong.csv lacks the columns"):
         read_delimited(spark, str(folder), TWO_COLUMNS)
+
+
+def test_a_partitioned_write_sorts_nothing(spark, tmp_path):
+    """In a session of its own that logs its plans; the rows of each task go to folders in turn."""
+    program = f"""
+from pyspark.sql import functions as F
+from ledgerloom.session import build_session
+from ledgerloom.sources.tables import replace_partitions, write_table
+spark = build_session("log", "local[2]", spark__eventLog__enabled="true", spark__eventLog__dir={str(tmp_path)!r},
+                      spark__eventLog__rolling__enabled="false", spark__eventLog__compress="false",
+                      spark__checkpoint__dir={str(tmp_path / "shared")!r})
+df = spark.range(0, 600, 1, 2).select("id", (F.col("id") % 7).cast("int").alias("part"))
+table = write_table(df, {str(tmp_path / "table")!r}, ["part"])
+assert sorted(map(tuple, table.collect())) == [(i, i % 7) for i in range(600)]
+again = replace_partitions(df.where("part = 3").selectExpr("-id AS id", "part"), {str(tmp_path / "table")!r}, ["part"])
+assert sorted(map(tuple, again.collect())) == sorted((-i if i % 7 == 3 else i, i % 7) for i in range(600))
+assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+spark.stop()
+"""
+    (tmp_path / "program.py").write_text(program)
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)}
+    subprocess.run([sys.executable, str(tmp_path / "program.py")], env=env, check=True, timeout=120)
+    (log,) = [p for p in tmp_path.iterdir() if p.name.startswith(("local-", "app-"))]
+    plans = [json.loads(line).get("physicalPlanDescription", "") for line in log.read_text().splitlines()]
+    writes = [plan for plan in plans if "InsertIntoHadoopFsRelationCommand" in plan]
+    assert len(writes) >= 2 and not any("Sort" in plan for plan in writes)
