@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.sources.tables import stored
@@ -19,13 +18,6 @@ class Split:
     rejected: DataFrame
 
 
-def _match(left: DataFrame, right: DataFrame, columns: list[str], how: str) -> DataFrame:
-    """Semi or anti join on columns of the same name, NULL equal to NULL."""
-    renamed = right.select(*[F.col(f"`{c}`").alias(f"_r_{i}") for i, c in enumerate(columns)])
-    same = [F.col(f"`{c}`").eqNullSafe(F.col(f"_r_{i}")) for i, c in enumerate(columns)]
-    return left.join(renamed, reduce(Column.__and__, same), how)
-
-
 def _repeat(rows: DataFrame, times: str) -> DataFrame:
     """Each row as often as its ``times`` column says; very many copies of one row are made by several tasks."""
     copies = F.col(times)
@@ -47,23 +39,25 @@ def split_duplicates(df: DataFrame, keys: list[str], order_by: list[str]) -> Spl
     in ``order_by`` settled by the other columns. Exactly one row per key is kept, even where whole
     rows are repeated, so kept + rejected = input always holds.
 
-    No key's rows are gathered in one task, however many there are. The keys that occur more than
-    once are counted out first, which combines before its shuffle and moves the key columns only;
-    they are written, so the joins on them are planned on their true size. While they are few they
-    are broadcast by the planner and single rows are never shuffled; beyond its limit the joins
-    shuffle and adaptive execution splits a hot key. Of the repeated rows, written too so that the
-    input is read no further, an aggregation takes the first per key, and the rejects are what is
-    left when those are subtracted, counted row by row.
+    No key's rows are gathered in one task, however many there are. Hashes of keys are counted, which
+    combines before its shuffle and moves one number per key; those that occur more than once are
+    written, so the join on them is planned on their true size. One join marks the rows that have such
+    a hash: while they are few they are broadcast by the planner and no row is shuffled, beyond its
+    limit rows are shuffled once and adaptive execution splits a hot key. The marked rows are written,
+    so that the input is read no further. Two keys of one hash do no harm: of the marked rows an
+    aggregation takes the first per key, and the rejects are what is left when those are subtracted,
+    counted row by row.
     """
     columns = df.columns
     by_key = [F.col(f"`{c}`") for c in keys]
     in_order = [F.col(f"`{c}`") for c in columns]
     payload = [*order_by, *[c for c in columns if c not in keys and c not in order_by]]
-    repeated_keys = stored(
-        df.groupBy(*by_key).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").drop("_rows"), "repeated-keys"
-    )
-    single = _match(df, repeated_keys, keys, "left_anti")
-    repeated = stored(_match(df, repeated_keys, keys, "left_semi"), "repeated-rows")
+    hashes = df.groupBy(F.xxhash64(*by_key).alias("_hash")).agg(F.count(F.lit(1)).alias("_rows"))
+    often = stored(hashes.filter("_rows > 1").select("_hash"), "repeated-keys")
+    found = df.join(often, F.xxhash64(*by_key) == F.col("_hash"), "left")
+    marked = stored(found.select(*in_order, F.col("_hash").isNotNull().alias("_marked")), "marked-rows")
+    single = marked.filter(~F.col("_marked")).select(*in_order)
+    repeated = marked.filter("_marked").select(*in_order)
     first = (
         repeated.groupBy(*by_key)
         .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("_row"))

@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 import math
 import random
 from collections import Counter, defaultdict
@@ -72,6 +74,20 @@ def test_split_duplicates_of_nothing(spark):
     assert split.kept.count() == split.rejected.count() == 0
 
 
+def test_split_duplicates_joins_the_rows_once(spark, tmp_path):
+    rows = [(None, "a", 1), ("a", None, 2), ("a", None, 3), ("b", "b", 4)]  # the first two keys have one hash
+    df = spark.createDataFrame(rows, "k1 string, k2 string, id int")
+    df.write.parquet(str(tmp_path / "rows"))
+    split = split_duplicates(spark.read.parquet(str(tmp_path / "rows")), ["k1", "k2"], ["id"])
+    assert sorted(r.id for r in split.kept.collect()) == [1, 2, 4]
+    assert [r.id for r in split.rejected.collect()] == [3]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        split.kept.explain()
+        split.rejected.explain()
+    assert "Join" not in out.getvalue() and str(tmp_path) not in out.getvalue()
+
+
 ACCOUNTS = [(1, "1993-02-10"), (2, "1990-01-01"), (3, "1999-01-01"), (4, None), (5, "1993-04-30"), (6, "1993-01-01")]
 
 
