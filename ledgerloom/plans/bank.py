@@ -26,6 +26,8 @@ _SIMPLE_STAGES = {
 }
 #: Tables that are not written on their own: both are parts of the table ``trans``.
 _PARTS_OF_TRANS = ("stg_trans", "rej_trans")
+#: Tables that the profile joins, in the order of ``account_base``.
+_PARTS_OF_PROFILE = ("stg_account", "stg_disp", "stg_client", "stg_district", "stg_card", "stg_loan", "mart_account_month")
 _PARTITIONS = {"trans": ["is_kept"], "mart_account_month": marts.MONTH_PARTITIONS}
 TABLE_NAMES = (
     *_SIMPLE_STAGES,
@@ -89,16 +91,9 @@ class Bank(Mapping[str, DataFrame]):
         if name == "mart_account_month":
             return marts.build_account_month(self["stg_account"], self["stg_trans"], *self.months)
         if name == "mart_account_360":
-            base = marts.account_base(
-                self["stg_account"],
-                self["stg_disp"],
-                self["stg_client"],
-                self["stg_district"],
-                self["stg_card"],
-                self["stg_loan"],
-                self["mart_account_month"],
-            )
-            return marts.with_tier(base)
+            # Hardly any needs another, so a small one does not wait for the month table.
+            in_parallel([lambda name=name: self[name] for name in _PARTS_OF_PROFILE])
+            return marts.with_tier(marts.account_base(*[self[name] for name in _PARTS_OF_PROFILE]))
         if name in VIEWS:
             return VIEWS[name](self)
         raise KeyError(name)

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager, nullcontext
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.session import shared_dir
@@ -135,8 +136,11 @@ def run_dir(spark: SparkSession) -> str:
 def in_parallel(actions: list[Callable[[], object]], at_once: int = 8) -> None:
     """Run independent Spark actions side by side, so that small ones do not queue behind large ones.
 
-    The first error is raised once all have ended.
+    They keep the caller's local properties, such as its job group. The first error is raised once all
+    have ended.
     """
+    spark = SparkSession.active()
     with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(action) for action in actions]:
+        # One wrapper for each action: it holds the copy of the properties that the action changes.
+        for done in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]:
             done.result()

@@ -2,12 +2,15 @@
 
 import csv
 import datetime as dt
+import threading
 from collections import defaultdict
 
 import pytest
 from tests.pack import make_pack, write_pack
 
 from ledgerloom.operators.checks import QualityGateError, gate
+from ledgerloom.plans import marts
+from ledgerloom.plans.bank import Bank
 from ledgerloom.plans.fixed_values import CHECK_TEXTS
 from ledgerloom.plans.job import run_job
 from ledgerloom.plans.views import VIEWS, register_views
@@ -180,3 +183,27 @@ def test_a_second_run_gives_the_same_tables_and_a_longer_history(job, spark):
     history = spark.read.parquet(str(output / "dq_history"))
     assert history.count() == len(CHECK_TEXTS) * 2 + 2
     assert history.select("run_date").distinct().count() == 2
+
+
+def test_the_parts_of_the_profile_are_built_side_by_side(spark, monkeypatch):
+    """Each part waits until another has begun; jobs of all keep the caller's local properties."""
+    begun, groups, built = threading.Barrier(2, timeout=60), [], []
+
+    class Parts(Bank):
+        def __getitem__(self, name):
+            if threading.current_thread() is not threading.main_thread():
+                groups.append(spark.sparkContext.getLocalProperty("spark.jobGroup.id"))
+                if name in ("stg_loan", "mart_account_month"):
+                    begun.wait()
+            built.append(name)
+            return name
+
+    monkeypatch.setattr(marts, "account_base", lambda *tables: tables)
+    monkeypatch.setattr(marts, "with_tier", lambda base: base)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", "profile")
+    try:
+        parts = Parts({}, "nowhere")._build("mart_account_360")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert parts[0] == "stg_account" and parts[-1] == "mart_account_month" and len(parts) == 7
+    assert set(groups) == {"profile"} and len(groups) == 7 and len(built) == 14
