@@ -78,9 +78,9 @@ def partitions_for(df: DataFrame, mb_each: int = 64) -> int:
     return max(least, -(-estimated_bytes(df) // (mb_each << 20)))
 
 
-def bounded_chunks(texts: Iterable[bytes], most: int = 1 << 19) -> Iterable[tuple[int, list[bytes]]]:
-    """Consecutive texts in chunks of about ``most`` bytes, with the place of the first; a longer text is alone."""
-    chunk: list[bytes] = []
+def bounded_chunks[T: (bytes, str)](texts: Iterable[T], most: int = 1 << 19) -> Iterable[tuple[int, list[T]]]:
+    """Consecutive texts in chunks of about ``most`` bytes (of str: characters), with the place of the first; a longer text is alone."""
+    chunk: list[T] = []
     size = first = place = 0
     for place, text in enumerate(texts):
         if chunk and size + len(text) > most:

@@ -37,6 +37,39 @@ def test_special_tokens_in_a_text_have_their_own_ids(text):
         assert not {50256, 49406, 49407} & set(letters)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(TEXT, max_size=6))
+def test_texts_encoded_at_once_have_the_ids_of_each(texts):
+    texts = [*texts, "", "a", "a b", " a", "a ", "a  b", "a \n b", "a\n\nb c", "x <|endoftext|> y", "x\x1c y z", "Ω Σ a, b's", *texts]
+    for name, encoder in ENCODERS.items():
+        got = [np.frombuffer(data, "<u4").tolist() for data in encoder.encode_many(texts)]
+        assert got == library_ids(name, texts)
+    assert ENCODERS[BYTES].encode_many([]) == []
+
+
+def test_known_words_beside_marks_are_not_encoded_again():
+    class Counting:
+        def __init__(self, model):
+            self.model, self.seen = model, []
+
+        def tokenize(self, letters):
+            self.seen.append(letters)
+            return self.model.tokenize(letters)
+
+    words = ["stone", "river", "maison", "été"]
+    text = "start " + " ".join(f"{a}{mark}{b}" for a in words for b in words for mark in (", ", ". ", "\n", ",\n", "'s "))
+    encoder = Encoder(public_tokenizers.path(BYTES))
+    encoder._model = Counting(encoder._model)
+    assert encoder.encode(text).tolist() == library_ids(BYTES, [text])[0]
+    assert len(encoder._model.seen) == len(set(encoder._model.seen)) < 20
+
+
+def test_a_full_table_of_pieces_changes_no_ids():
+    encoder = Encoder(public_tokenizers.path(BYTES), cached_pieces=5)
+    texts = [prose(k, 40) for k in range(6)] * 2
+    assert [np.frombuffer(data, "<u4").tolist() for data in encoder.encode_many(texts)] == library_ids(BYTES, texts)
+
+
 @settings(max_examples=200, deadline=None)
 @given(TEXT, st.lists(st.tuples(st.integers(-2, 45), st.integers(-2, 45), TEXT), max_size=4), st.sampled_from([BYTES, WORDS]))
 def test_edited_counts_equal_counting_again(text, edits, name):
@@ -125,6 +158,14 @@ def test_packing_of_awkward_rows(spark):
     assert packing.pack(with_clashing_columns(spark, rows).limit(0), public_tokenizers.path(BYTES)).count() == 0
 
 
+def test_packing_encodes_a_batch_in_several_goes(spark, monkeypatch):
+    monkeypatch.setattr(packing, "_CHARS", 2_000, raising=False)
+    monkeypatch.setattr(packing, "_ROWS", 3)
+    rows = [*AWKWARD, LONG, *((200 + k, prose(k, 50 + 7 * k)) for k in range(40)), *((300 + k, "few words") for k in range(20))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    check_packing(rows, packing.pack(docs, public_tokenizers.path(BYTES)).collect())
+
+
 def test_neighbours_on_the_curve_are_alike(spark):
     french, digits = "la maison est très belle et le jardin aussi ", "1 2 3 4 5 6 7 8 9 "
     rows = [(k, (french if k % 2 else digits) * (20 + k)) for k in range(40)]
