@@ -13,10 +13,13 @@
    is left is confirmed on the full sets.
 4. Linked classes form components (least label over links, with pointer jumping). A list whose members
    are all in one component is done. Small lists that are not are finished by comparing members of
-   different components. Members of large ones enter finer lists, of the two smallest retained values
-   in each of ``GROUPS`` groups that the values fall into (a pair 85 % alike misses all of them with a
-   chance of about 10**-7), where the same is done. What is left takes further pivots, one a round,
-   until the lists are done; a pivot leaves its list once it was compared.
+   different components. Members of large ones enter finer lists, of the rarest values of their full
+   sets that other members hold too: as many as a pair of its sizes may have beyond the overlap it
+   needs, which is exact. So a member with many values of its own, like a text too far from the one
+   that all others resemble, is in none or few. Lists that are still large take a pivot first.
+5. What is left are pairs of a member outside its list's largest component and another, of which the
+   values from their common one on are still enough. They are compared in shares; pairs that one
+   component holds by then are dropped. No list takes more rounds for having more members.
 
 Copies of a hot text are one class before anything is joined, list members are counted with partial
 sums, and joins on hot keys are split by adaptive execution.
@@ -38,9 +41,12 @@ SHINGLE_WORDS = 5
 SIMILARITY = 80
 SKETCH = 64
 MISS_CHANCE = 1e-7
-GROUPS = 16
 SMALL_LIST = 64
 SMALL_FINE_LIST = 1024
+#: Steps of size in finer lists, from the least set that may be linked with another up to that.
+SIZE_STEPS = 16
+#: Pairs of a share, times the members of finer lists.
+PAIRS_A_MEMBER = 32
 IDS_TO_BROADCAST = 200_000
 
 #: Words are separated by these bytes alone.
@@ -150,8 +156,18 @@ class _Links:
         self.links: DataFrame | None = None
         self.components: DataFrame | None = None  # cid, component; of linked classes
 
-    def confirm(self, pairs: DataFrame) -> bool:
-        """Add the links among pairs (a, b); whether there were any."""
+    def full_sets(self, cids: DataFrame) -> DataFrame:
+        """cid, values (the full set) of some classes (cid)."""
+        needed = self.space.store(cids.join(self.classes.select("cid", "set_key", "rep_id"), "cid"), "needed")
+        ids = needed.select(F.col("rep_id").alias("doc_id"))
+        ids = F.broadcast(ids) if ids.count() <= IDS_TO_BROADCAST else ids
+        texts = self.docs.select("doc_id", "text").join(ids, self.docs.doc_id.eqNullSafe(ids.doc_id), "left_semi")
+        # Several rows may have a class's id, with the class's text or another.
+        sets = full_sets(texts, self.words).join(needed.select("set_key", "cid"), "set_key")
+        return self.space.store(sets.select("cid", "values"), "sets").dropDuplicates(["cid"])
+
+    def confirm(self, pairs: DataFrame, sets: DataFrame | None = None) -> bool:
+        """Add the links among pairs (a, b); whether there were any. sets: full sets that hold those of the pairs."""
         side = self.classes.select("cid", "n_shingles", "sketch")
         a = side.withColumnsRenamed({"cid": "a", "n_shingles": "a_n", "sketch": "a_sketch"})
         b = side.withColumnsRenamed({"cid": "b", "n_shingles": "b_n", "sketch": "b_sketch"})
@@ -163,14 +179,8 @@ class _Links:
         pairs = self.space.store(pairs, "likely")
         if pairs.isEmpty():
             return False
-        needed = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
-        needed = self.space.store(needed.join(self.classes.select("cid", "set_key", "rep_id"), "cid"), "needed")
-        ids = needed.select(F.col("rep_id").alias("doc_id"))
-        ids = F.broadcast(ids) if ids.count() <= IDS_TO_BROADCAST else ids
-        texts = self.docs.select("doc_id", "text").join(ids, self.docs.doc_id.eqNullSafe(ids.doc_id), "left_semi")
-        # Several rows may have a class's id, with the class's text or another.
-        sets = full_sets(texts, self.words).join(needed.select("set_key", "cid"), "set_key")
-        sets = self.space.store(sets.select("cid", "values"), "sets").dropDuplicates(["cid"])
+        if sets is None:
+            sets = self.full_sets(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
         a = sets.select(F.col("cid").alias("a"), F.col("values").alias("a_values"))
         b = sets.select(F.col("cid").alias("b"), F.col("values").alias("b_values"))
         inter = F.size(F.array_intersect("a_values", "b_values"))
@@ -247,7 +257,7 @@ def _open_lists(space: Workspace, entries: DataFrame, links: _Links) -> DataFram
     return space.store(entries.join(mixed_lists, "list"), "open")
 
 
-def _pivot_round(entries: DataFrame, links: _Links) -> DataFrame:
+def _pivot_round(entries: DataFrame, links: _Links, sets: DataFrame | None = None) -> DataFrame:
     """Compare each list's pivot, its heaviest member, with its members of other components.
 
     The pivot then leaves the list, as all its pairs there are settled; returns the lists still open.
@@ -258,7 +268,7 @@ def _pivot_round(entries: DataFrame, links: _Links) -> DataFrame:
     pivots = space.store(pivots.select("list", (-F.col("p.cid")).alias("pivot"), F.col("p.component").alias("of_pivot")), "pivots")
     rest = entries.join(pivots, "list").where(F.col("cid") != F.col("pivot"))
     pairs = rest.where(F.col("component") != F.col("of_pivot"))
-    links.confirm(pairs.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")))
+    links.confirm(pairs.select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")), sets)
     return _open_lists(space, rest.drop("pivot", "of_pivot"), links)
 
 
@@ -281,14 +291,73 @@ def _compared(entries: DataFrame, links: _Links, most: int) -> DataFrame:
     return _open_lists(links.space, entries.where(F.col("members") > most), links)
 
 
-def _finer_lists(entries: DataFrame, classes: DataFrame) -> DataFrame:
-    """The members' entries in lists of several retained values: the two smallest of each of ``GROUPS`` groups of values."""
-    members = entries.groupBy("cid").agg(F.max("weight").alias("weight"))
-    rows = classes.select("cid", "sketch", "n_shingles", "size").join(members, "cid")
-    pairs = [F.slice(F.filter("sketch", lambda v, g=g: F.pmod(v, F.lit(GROUPS)) == g), 1, 2) for g in range(GROUPS)]
-    rows = rows.select("cid", "weight", "size", F.posexplode(F.array(*pairs)).alias("at", "values")).where(F.size("values") > 0)
-    rows = rows.select("cid", "weight", "at", "values", F.explode(F.array("size", F.col("size") + 1)).alias("size"))
-    return rows.select(F.xxhash64("at", "values", "size").alias("list"), "cid", "weight")
+def _finer_lists(members: DataFrame, sets: DataFrame, links: _Links) -> DataFrame:
+    """list, cid, weight, n, n_held, at, own: the members' entries in lists of a value of their full sets and a step of sizes.
+
+    members: cid, weight, of classes that may be linked among each other alone. Two of them can only
+    have those values in common that several hold (n_held of n), so a member's prefix of these, from
+    rare to frequent, ends where fewer follow than a pair of its sizes needs. The step is that of the
+    smaller one of a pair, so a member enters its own and those that it may be the larger one for.
+    at: how many of its held values come before; own: the step is the member's.
+    """
+    space, percent = links.space, links.percent
+    step = F.floor(F.log("n") / (log(100 / percent) / SIZE_STEPS))
+    sizes = members.join(links.classes.select("cid", F.col("n_shingles").alias("n")), "cid").withColumn("own_step", step)
+    postings = sets.select("cid", F.explode("values").alias("value"))
+    counts = postings.groupBy("value").count().where("count > 1")
+    held = postings.join(counts, "value").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("count", "value"))).alias("held"))
+    rows = held.join(sizes, "cid").withColumn("n_held", F.size("held")).withColumn("held", F.transform("held", lambda h: h["value"]))
+    # No partner is smaller than the least that may be linked, so members with too many values of their own end here.
+    rows = space.store(rows.where(F.col("n_held") * 100 >= F.col("n") * percent), "held")
+    steps = F.broadcast(space.store(rows.groupBy(F.col("own_step").alias("step")).agg(F.min("n").alias("least")), "steps"))
+    rows = rows.withColumn("step", F.explode(F.sequence(F.col("own_step") - SIZE_STEPS - 1, F.col("own_step")))).join(steps, "step")
+    reach = F.col("n_held") - F.ceil((F.col("n") + F.col("least")) * percent / (100 + percent)) + 1
+    rows = rows.withColumn("reach", reach.cast("int")).where("reach > 0")
+    own = (F.col("step") == F.col("own_step")).alias("own")
+    entries = rows.select("step", "cid", "weight", "n", "n_held", own, F.posexplode(F.slice("held", F.lit(1), F.col("reach"))).alias("at", "value"))
+    entries = space.store(entries.select(F.xxhash64("value", "step").alias("list"), "cid", "weight", "n", "n_held", "at", "own"), "finer")
+    return entries.join(entries.where("own").select("list").distinct(), "list", "left_semi")
+
+
+def _finer_pairs(entries: DataFrame, links: _Links) -> DataFrame:
+    """Pairs (a, b) of finer lists that may be linked and are in different components.
+
+    The values of both from the list's on must be as many as the pair needs, which holds in the list
+    of its first common value. Members of a list's largest component meet the others alone.
+    """
+    space, percent = links.space, links.percent
+    counts = entries.groupBy("list", "component").count()
+    main = counts.groupBy("list").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
+    marked = space.store(entries.join(main, "list").withColumn("main", F.col("component") == F.col("main")), "marked")
+    names = ("cid", "component", "n", "n_held", "at", "own", "main")
+    a = marked.where("NOT main").select("list", *(F.col(c).alias(f"a_{c}") for c in names))
+    b = marked.select("list", *(F.col(c).alias(f"b_{c}") for c in names))
+    left = F.least(F.col("a_n_held") - F.col("a_at"), F.col("b_n_held") - F.col("b_at"))
+    enough = left * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent
+    once = F.col("b_main") | (F.col("a_cid") < F.col("b_cid"))
+    apart = F.col("a_component") != F.col("b_component")
+    pairs = a.join(b, "list").where(apart & (F.col("a_own") | F.col("b_own")) & once & enough)
+    pairs = pairs.select(F.least("a_cid", "b_cid").alias("a"), F.greatest("a_cid", "b_cid").alias("b")).distinct()
+    return space.store(pairs, "finer-pairs")
+
+
+def _confirm_in_shares(pairs: DataFrame, sets: DataFrame, links: _Links, most: int) -> None:
+    """Compare distinct pairs, about ``most`` at a time; those that get into one component meanwhile need it no more."""
+    turn = 0
+    while n := pairs.count():
+        shares = -(-n // most)
+        if shares == 1:
+            links.confirm(pairs, sets)
+            return
+        turn += 1
+        taken = F.pmod(F.xxhash64("a", "b", F.lit(turn)), F.lit(shares)) == 0
+        links.confirm(pairs.where(taken), sets)
+        rest = pairs.where(~taken)
+        for name in ("a", "b"):
+            rest = links.with_component(rest.withColumnRenamed(name, "cid")).withColumnsRenamed({"cid": name, "component": f"{name}_component"})
+        rest = links.space.store(rest.where("a_component <> b_component").select("a", "b"), "finer-pairs")
+        links.space.drop(pairs)
+        pairs = rest
 
 
 def _all_links(links: _Links, prefixes: DataFrame) -> None:
@@ -297,11 +366,16 @@ def _all_links(links: _Links, prefixes: DataFrame) -> None:
     entries = entries.select("cid", "weight", "value", F.explode(F.array("size", F.col("size") + 1)).alias("size"))
     entries = entries.select(F.xxhash64("value", "size").alias("list"), "cid", "weight")
     entries = _compared(_open_lists(links.space, entries, links), links, SMALL_LIST)
-    if not entries.isEmpty():
-        finer = _finer_lists(entries, links.classes.withColumn("size", _size_range(links.percent)))
-        entries = _compared(_open_lists(links.space, finer, links), links, SMALL_FINE_LIST)
-    while not entries.isEmpty():
-        entries = _pivot_round(entries, links)
+    if entries.isEmpty():
+        return
+    members = links.space.store(entries.groupBy("cid").agg(F.max("weight").alias("weight")), "members")
+    sets = links.space.store(links.full_sets(members.select("cid")), "member-sets")
+    entries = _open_lists(links.space, _finer_lists(members, sets, links), links)
+    large = entries.where(F.col("members") > SMALL_FINE_LIST)
+    if not large.isEmpty():
+        large = _pivot_round(large, links, sets)
+        entries = _open_lists(links.space, entries.where(F.col("members") <= SMALL_FINE_LIST).unionByName(large), links)
+    _confirm_in_shares(_finer_pairs(entries, links), sets, links, PAIRS_A_MEMBER * members.count())
 
 
 def near_duplicates(
