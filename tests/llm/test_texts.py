@@ -232,9 +232,16 @@ def test_components_equal_brute_force(spark, monkeypatch, words, percent, small,
     assert mine == brute_components(rows, words, percent)
 
 
-@pytest.mark.parametrize(("words", "percent", "a_member", "most"), [(3, 85, 32, 4), (5, 80, 1, 40)])
-def test_many_texts_just_too_far_apart_take_few_rounds(spark, monkeypatch, words, percent, a_member, most):
-    """Texts around one, most of them just not linked with it: every list is large, and each of its members is compared."""
+def rows_around_one_text():
+    """Most of them just not linked with it, and a few alike, but not like it."""
+    rng = random.Random(8)
+    base = " ".join(f"w{rng.randrange(900)}" for _ in range(200))
+    rows = [(k, edited(k, base, 6 + k % 3 if k % 4 else 2 + k % 5)) for k in range(60)]
+    return rows + [(100 + k, edited(k, edited(7, base, 7), k % 4)) for k in range(8)]
+
+
+def large_lists(monkeypatch, a_member, most):
+    """Every list is large; more rounds than ``most`` are an error."""
     monkeypatch.setattr(near_duplicates, "SMALL_LIST", 2)
     monkeypatch.setattr(near_duplicates, "SMALL_FINE_LIST", 4)
     monkeypatch.setattr(near_duplicates, "PAIRS_A_MEMBER", a_member, raising=False)
@@ -246,16 +253,25 @@ def test_many_texts_just_too_far_apart_take_few_rounds(spark, monkeypatch, words
         return confirm(links, pairs, *more)
 
     monkeypatch.setattr(near_duplicates._Links, "confirm", counted)
-    rng = random.Random(8)
-    base = " ".join(f"w{rng.randrange(900)}" for _ in range(200))
-    rows = [(k, edited(k, base, 6 + k % 3 if k % 4 else 2 + k % 5)) for k in range(60)]
-    rows += [(100 + k, edited(k, edited(7, base, 7), k % 4)) for k in range(8)]  # alike, but not like the base
+
+
+@pytest.mark.parametrize(("words", "percent", "a_member", "most"), [(3, 85, 32, 4), (5, 80, 1, 40)])
+def test_many_texts_just_too_far_apart_take_few_rounds(spark, monkeypatch, words, percent, a_member, most):
+    large_lists(monkeypatch, a_member, most)
+    rows = rows_around_one_text()
     got = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words, percent).collect()
     mine = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got)
     assert mine == brute_components(rows, words, percent)
     assert len({c for _, _, c, _ in mine}) > 20
 
 
+def test_the_stage_keeps_one_of_each_group_in_few_rounds(spark, monkeypatch):
+    large_lists(monkeypatch, 32, 4)
+    rows = rows_around_one_text()
+    kept = near_duplicates.without_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in kept) == [i for i, _, _, stays in brute_components(rows, 5, 80) if stays]
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = near_rows()
     docs = with_clashing_columns(spark, rows)
