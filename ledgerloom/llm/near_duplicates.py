@@ -45,8 +45,9 @@ SMALL_LIST = 64
 SMALL_FINE_LIST = 1024
 #: Steps of size in finer lists, from the least set that may be linked with another up to that.
 SIZE_STEPS = 16
-#: Pairs of a share, times the members of finer lists.
+#: Pairs of a share, times the members of finer lists, and at least.
 PAIRS_A_MEMBER = 32
+PAIRS_AT_ONCE = 200_000
 IDS_TO_BROADCAST = 200_000
 
 #: Words are separated by these bytes alone.
@@ -375,7 +376,7 @@ def _all_links(links: _Links, prefixes: DataFrame) -> None:
     if not large.isEmpty():
         large = _pivot_round(large, links, sets)
         entries = _open_lists(links.space, entries.where(F.col("members") <= SMALL_FINE_LIST).unionByName(large), links)
-    _confirm_in_shares(_finer_pairs(entries, links), sets, links, PAIRS_A_MEMBER * members.count())
+    _confirm_in_shares(_finer_pairs(entries, links), sets, links, max(PAIRS_AT_ONCE, PAIRS_A_MEMBER * members.count()))
 
 
 def near_duplicates(

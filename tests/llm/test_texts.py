@@ -245,6 +245,7 @@ def large_lists(monkeypatch, a_member, most):
     monkeypatch.setattr(near_duplicates, "SMALL_LIST", 2)
     monkeypatch.setattr(near_duplicates, "SMALL_FINE_LIST", 4)
     monkeypatch.setattr(near_duplicates, "PAIRS_A_MEMBER", a_member, raising=False)
+    monkeypatch.setattr(near_duplicates, "PAIRS_AT_ONCE", 1, raising=False)
     rounds, confirm = [], near_duplicates._Links.confirm
 
     def counted(links, pairs, *more):
